@@ -72,19 +72,23 @@ def clean_events(df: DataFrame, keep_cols: Sequence[str], date_col: str | None =
 
     Returns ``(clean, audit)``. Rows equal on ``keep_cols`` merge, whatever other
     columns (such as a source id) say. ``date_col`` is reduced to its DATE.
-    ``time_col`` is the time of day as ``'HH:MM:SS'`` text taken from
+    ``time_col`` (placed after the date) is the time of day as ``'HH:MM:SS'`` text taken from
     ``time_source``, or a typed NULL when there is none. ``group_dupe_cnt`` is
     kept only with ``keep_count=True``.
     """
     deduped = dedup_with_count(df, keep_cols)
     numbered = with_surrogate_id(deduped, id_col, list(order_by or keep_cols))
+    if time_source is not None:
+        time_value = F.date_format(quoted(time_source), "HH:mm:ss").alias(time_col)
+    else:
+        time_value = F.lit(None).cast("string").alias(time_col)
     cols = [F.col(id_col)]
     for c in keep_cols:
         cols.append(F.to_date(quoted(c)).alias(c) if c == date_col else quoted(c))
-    if time_source is not None:
-        cols.append(F.date_format(quoted(time_source), "HH:mm:ss").alias(time_col))
-    else:
-        cols.append(F.lit(None).cast("string").alias(time_col))
+        if c == date_col:
+            cols.append(time_value)
+    if date_col not in keep_cols:
+        cols.append(time_value)
     if keep_count:
         cols.append(F.col(DUPE_COUNT))
     return numbered.select(*cols), dedup_audit(deduped)

@@ -29,21 +29,19 @@ class Conformed:
     audit: DataFrame
 
 
-def _key_versions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key: the least and greatest row (as structs of the non-key columns) and the row count.
+def _versions(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``copies``: each distinct row with its multiplicity; ``versions``: per key, the
+    number of distinct rows, the row count and the number of repeated rows.
 
-    A key is consistent exactly when its least and greatest rows are equal.
-    min/max/count combine map-side, so a key holding a third of all rows is
-    reduced inside each task before anything is shuffled.
+    Both are hash aggregates with count buffers, combined map-side: a key that
+    holds a third of all rows is reduced inside each task before the shuffle.
     """
-    others = [c for c in df.columns if c not in keys]
-    if others:
-        row = F.struct(*[quoted(c) for c in others])
-        lo, hi = F.min(row), F.max(row)
-    else:
-        lo = hi = F.min(F.lit(0))
-    return df.groupBy(*[quoted(k) for k in keys]).agg(
-        lo.alias("_lo"), hi.alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    versions = copies.groupBy(*[quoted(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("_versions"),
+        F.sum("_copies").alias("_rows"),
+        F.count_if(F.col("_copies") > 1).alias("_dupes"))
+    return copies, versions
 
 
 def conform_dimension(df: DataFrame, keys: Sequence[str]) -> Conformed:
@@ -52,34 +50,25 @@ def conform_dimension(df: DataFrame, keys: Sequence[str]) -> Conformed:
     NULL keys never equal anything (as with EXISTS): rows with a NULL key stay in
     ``clean`` (deduplicated) and are never quarantined; :func:`check_unique`
     reports them. The conflict counter counts key groups, the NULL group included.
+
+    Plan: distinct rows (hash aggregate) → versions per key (hash aggregate) →
+    semi/anti join of the distinct rows with the conflicting keys. The planner
+    broadcasts the conflicting keys when their measured size allows (AQE), else
+    it sort-merge joins with skewed partitions split.
     """
     keys = list(keys)
     cols = df.columns
-    versions = _key_versions(df, keys)
-    consistent = F.col("_lo").eqNullSafe(F.col("_hi"))
-    clean_keyed = versions.where(all_not_null(keys) & consistent).select(
-        *[quoted(c) if c in keys else F.col("_lo").getField(c).alias(c) for c in cols])
-    clean_null_keys = df.where(any_null(keys)).distinct()
-    clean = clean_keyed.unionByName(clean_null_keys)
-
-    conflicting = versions.where(all_not_null(keys) & ~consistent).select(*[quoted(k) for k in keys])
-    copies = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias("_copies"))
-    quarantine = copies.select(*[quoted(c) for c in cols]).join(conflicting, keys, "left_semi")
+    copies, versions = _versions(df, keys)
+    conflicting = versions.where(all_not_null(keys) & (F.col("_versions") > 1)).select(*[quoted(k) for k in keys])
+    distinct_rows = copies.select(*[quoted(c) for c in cols])
+    clean = distinct_rows.join(conflicting, keys, "left_anti")
+    quarantine = distinct_rows.join(conflicting, keys, "left_semi")
     full_dupe_keys = copies.where(F.col("_copies") > 1).select(*[quoted(k) for k in keys])
-
-    per_key = versions.agg(
-        F.sum("_rows").alias("n_rows"),
-        F.lit(None).cast("long").alias("full_dupe_groups"),
-        F.count_if(~consistent).alias("conflicting_keys"),
-        F.max("_rows").alias("top_key_rows"))
-    per_row = copies.agg(
-        F.lit(None).cast("long").alias("n_rows"),
-        F.count_if(F.col("_copies") > 1).alias("full_dupe_groups"),
-        F.lit(None).cast("long").alias("conflicting_keys"),
-        F.lit(None).cast("long").alias("top_key_rows"))
-    audit = per_key.unionByName(per_row).agg(
-        *[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c)
-          for c in ("n_rows", "full_dupe_groups", "conflicting_keys", "top_key_rows")])
+    audit = versions.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum("_dupes"), F.lit(0)).cast("long").alias("full_dupe_groups"),
+        F.count_if(F.col("_versions") > 1).alias("conflicting_keys"),
+        F.coalesce(F.max("_rows"), F.lit(0)).cast("long").alias("top_key_rows"))
     return Conformed(clean, quarantine, full_dupe_keys, audit)
 
 
@@ -96,8 +85,8 @@ def full_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def conflicting_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys carrying more than one distinct row (A3), the NULL-key group included."""
-    return (_key_versions(df, keys).where(~F.col("_lo").eqNullSafe(F.col("_hi")))
-            .select(*[quoted(k) for k in keys]))
+    _, versions = _versions(df, keys)
+    return versions.where(F.col("_versions") > 1).select(*[quoted(k) for k in keys])
 
 
 # Fixed texts of the audit log messages.

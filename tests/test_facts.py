@@ -1,0 +1,29 @@
+import datetime as dt
+
+from asterism.operators.facts import build_event_fact, build_measure_fact
+from asterism.operators.generators import dim_dates, dim_hours
+from tests.conftest import plan, rows
+
+
+def test_measure_fact_inner(spark):
+    m = spark.createDataFrame(
+        [(dt.datetime(2020, 1, 1, 5), "x", 1.0), (dt.datetime(2020, 1, 2, 23), "y", 2.0),
+         (None, "z", 3.0), (dt.datetime(2021, 1, 1, 0), "w", 4.0)],
+        "datetime timestamp_ntz, stn string, t double")
+    out = build_measure_fact(m, dim_dates(spark, "2020-01-01", "2020-01-31"), dim_hours(spark))
+    assert out.columns == ["date_id", "hour_id", "datetime", "stn", "t"]
+    assert rows(out, "date_id", "hour_id", "stn") == [(1, 5, "x"), (2, 23, "y")]
+    assert "BroadcastHashJoin" in plan(out)
+
+
+def test_event_fact_left_and_inner(spark):
+    ev = spark.createDataFrame(
+        [(1, dt.date(2020, 1, 1), "10:00:00"), (2, dt.date(2020, 1, 2), "10:30:00"),
+         (3, dt.date(2019, 1, 1), None), (4, dt.date(2020, 1, 3), None)],
+        "id int, incident_date date, incident_time string")
+    names = spark.createDataFrame([(1, 1, 1), (2, 2, 0), (3, 1, 1)], "id int, name_cnt long, a long")
+    out = build_event_fact(ev, names, dim_dates(spark, "2020-01-01", "2020-01-31"), dim_hours(spark),
+                           ["id"], "incident_date", "incident_time")
+    assert out.columns == ["date_id", "hour_id", "id", "incident_date", "incident_time", "name_cnt", "a"]
+    # event 4 has no names → gone; 10:30 matches no hour; 2019 matches no date
+    assert rows(out, "id", "date_id", "hour_id") == [(1, 1, 10), (2, 2, None), (3, None, None)]

@@ -1,0 +1,127 @@
+import datetime as dt
+
+import pytest
+
+from asterism.operators.reshape import (
+    full_join_measures,
+    number_names,
+    pivot_counts,
+    split_to_rows,
+    union_measures,
+    unpivot_measures,
+    vocabulary,
+)
+from tests.conftest import plan, rows
+
+ODD = "Theft From Building, /Coin & Ops"
+
+
+@pytest.fixture()
+def lists(spark):
+    data = [(1, "A;B"), (2, "A;A"), (3, ""), (4, None), (5, "B;"), (6, f"{ODD};a.b")]
+    return spark.createDataFrame(data, "id int, offenses string")
+
+
+def test_split_semantics(lists):
+    got = rows(split_to_rows(lists, ["id"], "offenses"))
+    assert got == [
+        (1, 2, 1, "A"), (1, 2, 2, "B"),
+        (2, 2, 1, "A"), (2, 2, 2, "A"),
+        (3, 1, 1, ""),
+        (5, 2, 1, "B"), (5, 2, 2, ""),
+        (6, 2, 1, ODD), (6, 2, 2, "a.b"),
+    ]
+
+
+def test_split_types_and_regex_delimiter(spark):
+    df = spark.createDataFrame([(1, "x.y|z")], "id int, s string")
+    out = split_to_rows(df, ["id"], "s", delim="|")
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["int", "bigint", "bigint", "string"]
+    assert rows(out, "offense_name") == [("x.y",), ("z",)]
+
+
+def test_split_is_narrow(lists):
+    text = plan(split_to_rows(lists, ["id"], "offenses"))
+    assert "NestedLoopJoin" not in text and "Exchange" not in text
+
+
+def test_vocabulary_sorted_and_bounded(lists):
+    names = split_to_rows(lists, ["id"], "offenses")
+    assert vocabulary(names, "offense_name") == ["", "A", "B", ODD, "a.b"]
+    with pytest.raises(ValueError, match="too many"):
+        vocabulary(names, "offense_name", max_values=3)
+
+
+def test_pivot_counts_are_counts(spark, lists):
+    names = split_to_rows(lists.where("id <> 6"), ["id"], "offenses")
+    p = pivot_counts(names, ["id", "name_cnt"])
+    assert p.columns == ["id", "name_cnt", "not_named", "a", "b"]
+    assert rows(p) == [(1, 2, 0, 1, 1), (2, 2, 0, 2, 0), (3, 1, 1, 0, 0), (5, 2, 1, 0, 1)]
+
+
+def test_pivot_flags(spark, lists):
+    names = split_to_rows(lists.where("id <> 6"), ["id"], "offenses")
+    p = pivot_counts(names, ["id", "name_cnt"], vocab=["A", "B"], flags=True)
+    assert rows(p) == [(1, 2, True, True), (2, 2, True, False), (3, 1, False, False), (5, 2, False, True)]
+
+
+def test_pivot_odd_names_are_columns(spark, lists):
+    names = split_to_rows(lists.where("id = 6"), ["id"], "offenses")
+    p = pivot_counts(names, ["id"])
+    assert ODD.lower() in p.columns and rows(p) == [(6, 1, 1)]
+
+
+def test_pivot_name_collision_raises(spark):
+    df = spark.createDataFrame([(1, 1, "A"), (1, 2, "a")], "id int, num int, offense_name string")
+    with pytest.raises(ValueError, match="same column"):
+        pivot_counts(df, ["id"])
+
+
+def test_unpivot_keeps_nulls(spark):
+    t = dt.datetime(2020, 1, 1, 1)
+    wide = spark.createDataFrame([(t, 1.5, None), (None, 2.0, 3.0), (t.replace(hour=2), None, None)],
+                                 "datetime timestamp_ntz, Vancouver double, San_Jose double")
+    long = unpivot_measures(wide, ["datetime"], ["Vancouver", "San_Jose"], "stn", "temperature")
+    assert long.count() == 6
+    assert rows(long.where("datetime = '2020-01-01 02:00:00'")) == [
+        (t.replace(hour=2), "San_Jose", None), (t.replace(hour=2), "Vancouver", None)]
+
+
+def _measure_inputs(spark):
+    a = spark.createDataFrame([(1, "x", 1.0), (2, "x", 2.0), (None, "x", 9.0)], "datetime int, stn string, a double")
+    b = spark.createDataFrame([(2, "x", 20.0), (3, "x", 30.0)], "datetime int, stn string, b double")
+    c = spark.createDataFrame([(1, "x", 100.0), (2, "x", 200.0), (4, "x", None)], "datetime int, stn string, c double")
+    return {"c": c, "a": a, "b": b}
+
+
+def test_full_join_chain(spark):
+    out = full_join_measures(_measure_inputs(spark), ["datetime", "stn"])
+    assert out.columns == ["datetime", "stn", "a", "b", "c"]
+    assert rows(out) == [(None, "x", 9.0, None, None), (1, "x", 1.0, None, 100.0), (2, "x", 2.0, 20.0, 200.0),
+                         (3, "x", None, 30.0, None), (4, "x", None, None, None)]
+
+
+def test_union_equals_chain_when_unique(spark):
+    ins = _measure_inputs(spark)
+    assert rows(union_measures(ins, ["datetime", "stn"])) == rows(full_join_measures(ins, ["datetime", "stn"]))
+
+
+def test_full_join_repeated_key_multiplies(spark):
+    a = spark.createDataFrame([(1, "x", 1.0), (1, "x", 1.5)], "datetime int, stn string, a double")
+    b = spark.createDataFrame([(1, "x", 2.0), (1, "x", 2.5)], "datetime int, stn string, b double")
+    assert full_join_measures({"a": a, "b": b}, ["datetime", "stn"]).count() == 4
+
+
+def test_full_join_single_input_is_identity(spark):
+    a = _measure_inputs(spark)["a"]
+    assert full_join_measures({"a": a}, ["datetime", "stn"]) is a
+
+
+def test_union_measures_one_shuffle(spark):
+    out = union_measures(_measure_inputs(spark), ["datetime", "stn"])
+    assert plan(out).count("Exchange hashpartitioning") == 1
+
+
+def test_number_names(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "n string")
+    assert rows(number_names(df, "n")) == [("a", 1), ("b", 2), ("c", 3)]
