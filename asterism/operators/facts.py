@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asterism.functions.columns import quoted
+from asterism.operators.reshape import count_list_names
 
 # A date dimension of one million days is ~2,700 years; a few MB to broadcast.
 DEFAULT_DIM_ROWS = 1_000_000
@@ -40,22 +41,37 @@ def build_measure_fact(measures: DataFrame, dates: DataFrame, hours: DataFrame,
                          *[quoted(c) for c in measures.columns])
 
 
+def _attach_dates_hours(df: DataFrame, dates: DataFrame, hours: DataFrame, date_col: str, time_col: str,
+                        max_dim_rows: int) -> DataFrame:
+    d = bounded_broadcast(dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date")),
+                          max_dim_rows)
+    h = bounded_broadcast(hours.select(F.col("id").alias("_hour_id"), F.col("hour").alias("_hour")),
+                          max_dim_rows)
+    joined = (df.join(d, quoted(date_col) == F.col("_date"), "left")
+              .join(h, quoted(time_col) == F.col("_hour"), "left"))
+    return joined.select(F.col("_date_id").alias("date_id"), F.col("_hour_id").alias("hour_id"),
+                         *[quoted(c) for c in df.columns])
+
+
 def build_event_fact(events: DataFrame, names: DataFrame, dates: DataFrame, hours: DataFrame,
                      id_cols: Sequence[str], date_col: str, time_col: str,
                      max_dim_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
     """``date_id, hour_id, events ⋈ names``: **inner** join to the pivoted names on
     the ids (events without names vanish), **left** joins to the date and to the
     time of day (``time_col`` must equal ``'HH:00:00'`` exactly to match).
-
-    When both inputs already come partitioned by the ids (as after grouping by
-    them), the inner join adds no shuffle.
     """
     ci3 = events.join(names, list(id_cols), "inner")
-    d = bounded_broadcast(dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date")),
-                          max_dim_rows)
-    h = bounded_broadcast(hours.select(F.col("id").alias("_hour_id"), F.col("hour").alias("_hour")),
-                          max_dim_rows)
-    joined = (ci3.join(d, quoted(date_col) == F.col("_date"), "left")
-              .join(h, quoted(time_col) == F.col("_hour"), "left"))
-    return joined.select(F.col("_date_id").alias("date_id"), F.col("_hour_id").alias("hour_id"),
-                         *[quoted(c) for c in ci3.columns])
+    return _attach_dates_hours(ci3, dates, hours, date_col, time_col, max_dim_rows)
+
+
+def build_event_fact_from_lists(events: DataFrame, list_col: str, dates: DataFrame, hours: DataFrame,
+                                date_col: str, time_col: str, vocab: Sequence[str] | None = None,
+                                delim: str = ";", max_dim_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
+    """F2 when the names are the event's own delimited list and events have unique ids.
+
+    Same rows and columns as ``build_event_fact(events, pivot_counts(split_to_rows(…)))``,
+    computed row by row: no explode, no group-by and no join back, so the
+    whole fact needs no shuffle beyond the broadcast dimensions.
+    """
+    ci3 = count_list_names(events, list_col, vocab, delim)
+    return _attach_dates_hours(ci3, dates, hours, date_col, time_col, max_dim_rows)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.functions.columns import all_not_null, any_null, quoted, regex_literal
+from asterism.functions.columns import any_null, quoted, regex_literal
 from asterism.functions.names import pivot_column_names
 
 
@@ -78,6 +78,40 @@ def pivot_counts(df: DataFrame, group_cols: Sequence[str], name_col: str = "offe
     return out
 
 
+def list_vocabulary(df: DataFrame, col: str, delim: str = ";", max_values: int | None = None) -> list[str]:
+    """Sorted distinct names found in the delimited lists of ``col`` (see :func:`vocabulary`)."""
+    names = df.select(F.explode(F.split(quoted(col), regex_literal(delim), -1)).alias("_name"))
+    return vocabulary(names, "_name", max_values)
+
+
+def _equals(value: str):
+    return lambda x: x == F.lit(value)
+
+
+def count_list_names(df: DataFrame, col: str, vocab: Sequence[str] | None = None, delim: str = ";",
+                     keep_cols: Sequence[str] | None = None, count_col: str = "name_cnt",
+                     flags: bool = False) -> DataFrame:
+    """Split then pivot (R1 then R3) in one narrow step, for names that come from one row's list.
+
+    Each row with a non-NULL list gives ``keep_cols…`` (default: all columns),
+    ``count_col`` = number of names, and per vocabulary name the number of
+    times it occurs in the row's list. This equals grouping the split rows by
+    a unique row id and pivoting, without the explode, the shuffle and the
+    join back — so the list column's rows must be unique by their id.
+    """
+    if vocab is None:
+        vocab = list_vocabulary(df, col, delim)
+    keep = list(df.columns if keep_cols is None else keep_cols)
+    columns = pivot_column_names(vocab, reserved=keep + [count_col])
+    parts = F.split(quoted(col), regex_literal(delim), -1)
+    counts = []
+    for value, name in columns.items():
+        n = F.size(F.filter(parts, _equals(value))).cast("long")
+        counts.append((n > 0 if flags else n).alias(name))
+    return df.where(quoted(col).isNotNull()).select(
+        *[quoted(c) for c in keep], F.size(parts).cast("long").alias(count_col), *counts)
+
+
 def unpivot_measures(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str],
                      var_name: str = "stn", value_name: str = "value") -> DataFrame:
     """Wide → long, **keeping NULL cells**: ``(ids…, var_name, value_name)``.
@@ -128,11 +162,14 @@ def union_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
     for d in dfs:
         measure_cols += [c for c in d.columns if c not in keys and c not in measure_cols]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-    matched = (stacked.where(all_not_null(keys))
-               .groupBy(*[quoted(k) for k in keys])
-               .agg(*[F.max(quoted(c)).alias(c) for c in measure_cols]))
-    unmatched = stacked.where(any_null(keys)).select(*[quoted(c) for c in list(keys) + measure_cols])
-    return matched.unionByName(unmatched)
+    # A row with a NULL key gets a unique tag so it stays a group of its own;
+    # matched rows have a NULL tag and group by the keys alone. The inputs'
+    # hash partitioning on the keys survives the union, so the aggregate is
+    # planned with no further shuffle.
+    tag = F.when(any_null(keys), F.monotonically_increasing_id()).alias("_unmatched")
+    combined = (stacked.groupBy(*[quoted(k) for k in keys], tag)
+                .agg(*[F.max(quoted(c)).alias(c) for c in measure_cols]))
+    return combined.select(*[quoted(c) for c in list(keys) + measure_cols])
 
 
 def number_names(df: DataFrame, name_col: str, num_col: str = "num") -> DataFrame:

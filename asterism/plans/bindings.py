@@ -220,12 +220,22 @@ def fct_measures(spark, d):
 
 
 def fct_events(spark, d):
+    incidents = quality.with_typed_null(compound(spark, d), "incident_time", "string")
+    return facts.build_event_fact_from_lists(incidents, "offenses", dim_dates(spark, d),
+                                             generators.dim_hours(spark), "day", "incident_time")
+
+
+def fct_events_joined(spark, d):
     incidents = quality.with_typed_null(compound(spark, d), "incident_time", "string")
     names = reshape.pivot_counts(split_rows(spark, d), ["l_orderkey", "name_cnt"])
     return facts.build_event_fact(incidents, names, dim_dates(spark, d), generators.dim_hours(spark),
                                   ["l_orderkey"], "day", "incident_time")
 
 
+def pivot_lists(spark, d):
+    return reshape.count_list_names(compound(spark, d), "offenses", keep_cols=["l_orderkey"])
+
+
 def fct_readback(spark, d):
     path = scratch_path(spark, "fct_measures")
     sinks.write_fact(fct_measures(spark, d), path, "stn", ["stn", "date_id", "hour_id"])
@@ -293,6 +303,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_hours": dim_hours,
     "fct_measures": fct_measures,
     "fct_events": fct_events,
+    "fct_events_joined": fct_events_joined,
+    "pivot_lists": pivot_lists,
     "fct_readback": fct_readback,
     "star_daily": star_daily,
     "schema_ddl": schema_ddl,

@@ -146,6 +146,8 @@ ORACLE_SQL: dict[str, str] = {
                        "ON extract(hour FROM e.ts) = h.id GROUP BY h.id, h.hour", "hours"),
     "fct_measures": _with("SELECT * FROM fct_m", "fct_m"),
     "fct_events": _with("SELECT * FROM fct_e", "fct_e"),
+    "fct_events_joined": _with("SELECT * FROM fct_e", "fct_e"),
+    "pivot_lists": _with("SELECT * FROM pivoted", "pivoted"),
     "fct_readback": _with("SELECT * FROM fct_m", "fct_m"),
     "star_daily": _with("SELECT dd.date, max(f.hi) AS hi, min(f.lo) AS lo, CAST(sum(f.big) AS BIGINT) AS big, "
                         "count(*) AS n_rows FROM fct_m f JOIN ev_dates dd ON f.date_id = dd.id GROUP BY dd.date",

@@ -3,7 +3,9 @@ import datetime as dt
 import pytest
 
 from asterism.operators.reshape import (
+    count_list_names,
     full_join_measures,
+    list_vocabulary,
     number_names,
     pivot_counts,
     split_to_rows,
@@ -125,3 +127,18 @@ def test_union_measures_one_shuffle(spark):
 def test_number_names(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "n string")
     assert rows(number_names(df, "n")) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_count_list_names_equals_split_then_pivot(lists):
+    fused = count_list_names(lists, "offenses")
+    names = split_to_rows(lists, ["id"], "offenses")
+    assert fused.columns == ["id", "offenses", "name_cnt", "not_named", "a", "b", ODD.lower(), "a.b"]
+    expected = pivot_counts(names, ["id", "name_cnt"])
+    assert rows(fused.drop("offenses")) == rows(expected)
+    assert "Exchange" not in plan(count_list_names(lists, "offenses", vocab=["A", "B"]))
+
+
+def test_count_list_names_flags_and_vocabulary(lists):
+    assert list_vocabulary(lists, "offenses") == ["", "A", "B", ODD, "a.b"]
+    flags = count_list_names(lists.where("id < 4"), "offenses", vocab=["A"], keep_cols=["id"], flags=True)
+    assert rows(flags) == [(1, 2, True), (2, 2, True), (3, 1, False)]
