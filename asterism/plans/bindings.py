@@ -4,10 +4,9 @@ Analogues used (the reference's own inputs are not part of the test data):
 
 * ``lineitem`` keyed by (order, line) is a dimension with repeats and conflicts;
   ``documents`` keyed by the whole text is a second one.
-* Each order's lines give the compound name list (the incident's offense list):
-  the return flag of each discounted line, an empty name for an undiscounted
-  one, joined by ``;`` in line order, over lines of quantity ≤ 45. An order with
-  no such line has a NULL list. The list is bounded by the lines of one order.
+* Each line carries its own delimited name list (the incident's offense list),
+  built from the line's values, so no list is ever gathered from many rows. The
+  lines then go through the event clean step (dedup, ids) like the incidents.
 * Hourly aggregates of ``events`` per event type are the station readings.
 
 Every query reads whole tables; nothing is sampled, capped or subset by id.
@@ -126,15 +125,32 @@ def clean_events(spark, d):
 # --- compound name lists: split, vocabulary, pivot ---------------------------------------
 
 def compound(spark, d):
-    name = "CASE WHEN l_discount > 0 THEN l_returnflag ELSE '' END"
-    offenses = F.expr(f"listagg({name}, ';') WITHIN GROUP (ORDER BY l_linenumber, {name}) "
-                      "FILTER (WHERE l_quantity <= 45)")
-    return (table(spark, d, "lineitem").groupBy("l_orderkey")
-            .agg(F.to_date(F.min("l_shipdate")).alias("day"), offenses.alias("offenses")))
+    """Each line with its own delimited list of names, built from the line's values.
+
+    NULL when the quantity is over 48, empty when it is under 2; otherwise the
+    return flag (twice when the discount is at least 5%), the line status, and
+    an empty last name when the tax is zero.
+    """
+    li = table(spark, d, "lineitem")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    listed = F.concat(flag, F.when(F.col("l_discount") >= 0.05, F.concat(F.lit(";"), flag)).otherwise(F.lit("")),
+                      F.lit(";"), status, F.when(F.col("l_tax") == 0, F.lit(";")).otherwise(F.lit("")))
+    offenses = (F.when(F.col("l_quantity") > 48, F.lit(None).cast("string"))
+                .when(F.col("l_quantity") < 2, F.lit("")).otherwise(listed))
+    return li.select("l_orderkey", F.to_date("l_shipdate").alias("day"), offenses.alias("offenses"))
+
+
+INCIDENT_COLS = ["l_orderkey", "day", "offenses"]
+
+
+def incidents(spark, d):
+    """L3 on the lines: dedup on the kept columns, ids 1…n, NULL time of day."""
+    clean, _ = ev.clean_events(compound(spark, d), INCIDENT_COLS, date_col="day")
+    return clean
 
 
 def split_rows(spark, d):
-    return reshape.split_to_rows(compound(spark, d), ["l_orderkey"], "offenses")
+    return reshape.split_to_rows(incidents(spark, d), ["id"], "offenses")
 
 
 def vocabulary(spark, d):
@@ -142,11 +158,15 @@ def vocabulary(spark, d):
 
 
 def pivot_counts(spark, d):
-    return reshape.pivot_counts(split_rows(spark, d), ["l_orderkey", "name_cnt"])
+    return reshape.pivot_counts(split_rows(spark, d), ["id", "name_cnt"])
 
 
 def pivot_flags(spark, d):
-    return reshape.pivot_counts(split_rows(spark, d), ["l_orderkey", "name_cnt"], flags=True)
+    return reshape.pivot_counts(split_rows(spark, d), ["id", "name_cnt"], flags=True)
+
+
+def pivot_lists(spark, d):
+    return reshape.count_list_names(incidents(spark, d), "offenses", keep_cols=["id"])
 
 
 # --- measures: wide, long, combined -------------------------------------------------------
@@ -220,20 +240,15 @@ def fct_measures(spark, d):
 
 
 def fct_events(spark, d):
-    incidents = quality.with_typed_null(compound(spark, d), "incident_time", "string")
-    return facts.build_event_fact_from_lists(incidents, "offenses", dim_dates(spark, d),
+    return facts.build_event_fact_from_lists(incidents(spark, d), "offenses", dim_dates(spark, d),
                                              generators.dim_hours(spark), "day", "incident_time")
 
 
 def fct_events_joined(spark, d):
-    incidents = quality.with_typed_null(compound(spark, d), "incident_time", "string")
-    names = reshape.pivot_counts(split_rows(spark, d), ["l_orderkey", "name_cnt"])
-    return facts.build_event_fact(incidents, names, dim_dates(spark, d), generators.dim_hours(spark),
-                                  ["l_orderkey"], "day", "incident_time")
-
-
-def pivot_lists(spark, d):
-    return reshape.count_list_names(compound(spark, d), "offenses", keep_cols=["l_orderkey"])
+    events = incidents(spark, d)
+    names = reshape.pivot_counts(reshape.split_to_rows(events, ["id"], "offenses"), ["id", "name_cnt"])
+    return facts.build_event_fact(events, names, dim_dates(spark, d), generators.dim_hours(spark),
+                                  ["id"], "day", "incident_time")
 
 
 def fct_readback(spark, d):
@@ -291,6 +306,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_audit": dedup_audit,
     "clean_events": clean_events,
     "compound": compound,
+    "incidents": incidents,
     "split_rows": split_rows,
     "vocabulary": vocabulary,
     "pivot_counts": pivot_counts,

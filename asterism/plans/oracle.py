@@ -5,7 +5,6 @@ Shared fragments go into a leading WITH list, with the fragments they name.
 
 from __future__ import annotations
 
-_EL = "CASE WHEN l_discount > 0 THEN l_returnflag ELSE '' END"
 _HOUR = "date_trunc('hour', ts)"
 
 FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -14,20 +13,27 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
            ("li",)),
     "docs": ("SELECT text, lang, source FROM documents", ()),
     "docs_ir": ("SELECT text FROM (SELECT DISTINCT * FROM docs) GROUP BY text HAVING count(*) > 1", ("docs",)),
-    "compound": (f"SELECT l_orderkey, CAST(min(l_shipdate) AS DATE) AS day, "
-                 f"string_agg({_EL}, ';' ORDER BY l_linenumber, {_EL}) FILTER (WHERE l_quantity <= 45) AS offenses "
-                 f"FROM lineitem GROUP BY l_orderkey", ()),
-    "names": ("SELECT l_orderkey, CAST(name_cnt AS BIGINT) AS name_cnt, CAST(num AS BIGINT) AS num, offense_name "
-              "FROM (SELECT l_orderkey, len(parts) AS name_cnt, generate_subscripts(parts, 1) AS num, "
+    "compound": ("SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day, "
+                 "CASE WHEN l_quantity > 48 THEN NULL WHEN l_quantity < 2 THEN '' "
+                 "ELSE l_returnflag || CASE WHEN l_discount >= 0.05 THEN ';' || l_returnflag ELSE '' END "
+                 "|| ';' || l_linestatus || CASE WHEN l_tax = 0 THEN ';' ELSE '' END END AS offenses "
+                 "FROM lineitem", ()),
+    "incidents": ("SELECT CAST(row_number() OVER (ORDER BY l_orderkey, day, offenses NULLS FIRST) AS BIGINT) "
+                  "AS id, l_orderkey, day, CAST(NULL AS VARCHAR) AS incident_time, offenses "
+                  "FROM compound GROUP BY l_orderkey, day, offenses", ("compound",)),
+    "names": ("SELECT id, CAST(name_cnt AS BIGINT) AS name_cnt, CAST(num AS BIGINT) AS num, offense_name "
+              "FROM (SELECT id, len(parts) AS name_cnt, generate_subscripts(parts, 1) AS num, "
               "unnest(parts) AS offense_name "
-              "FROM (SELECT l_orderkey, string_split(offenses, ';') AS parts FROM compound "
-              "WHERE offenses IS NOT NULL))", ("compound",)),
-    "pivoted": ("SELECT l_orderkey, name_cnt, "
+              "FROM (SELECT id, string_split(offenses, ';') AS parts FROM incidents "
+              "WHERE offenses IS NOT NULL))", ("incidents",)),
+    "pivoted": ("SELECT id, name_cnt, "
                 "count(num) FILTER (WHERE offense_name = '') AS not_named, "
                 "count(num) FILTER (WHERE offense_name = 'A') AS a, "
+                "count(num) FILTER (WHERE offense_name = 'F') AS f, "
                 "count(num) FILTER (WHERE offense_name = 'N') AS n, "
+                "count(num) FILTER (WHERE offense_name = 'O') AS o, "
                 "count(num) FILTER (WHERE offense_name = 'R') AS r "
-                "FROM names GROUP BY l_orderkey, name_cnt", ("names",)),
+                "FROM names GROUP BY id, name_cnt", ("names",)),
     "big": (f"SELECT {_HOUR} AS datetime, event_type AS stn, count(value) AS big FROM events "
             f"WHERE value >= 50 GROUP BY ALL", ()),
     "hi": (f"SELECT {_HOUR} AS datetime, event_type AS stn, max(value) AS hi FROM events "
@@ -59,12 +65,11 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "dates": ("SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS id, CAST(d AS DATE) AS date "
               "FROM range((SELECT CAST(lo AS TIMESTAMP) FROM bounds), "
               "(SELECT CAST(hi AS TIMESTAMP) FROM bounds) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)", ("bounds",)),
-    "fct_e": ("SELECT dd.id AS date_id, dh.id AS hour_id, c.l_orderkey, c.day, c.offenses, c.incident_time, "
-              "p.name_cnt, p.not_named, p.a, p.n, p.r "
-              "FROM (SELECT *, CAST(NULL AS VARCHAR) AS incident_time FROM compound) c "
-              "JOIN pivoted p USING (l_orderkey) "
+    "fct_e": ("SELECT dd.id AS date_id, dh.id AS hour_id, c.id, c.l_orderkey, c.day, c.incident_time, "
+              "c.offenses, p.name_cnt, p.not_named, p.a, p.f, p.n, p.o, p.r "
+              "FROM incidents c JOIN pivoted p ON c.id = p.id "
               "LEFT JOIN dates dd ON c.day = dd.date LEFT JOIN hours dh ON c.incident_time = dh.hour",
-              ("compound", "pivoted", "dates", "hours")),
+              ("incidents", "pivoted", "dates", "hours")),
     "stations": ("SELECT DISTINCT n_nationkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey", ()),
     "params": ("SELECT DISTINCT r_name FROM customer JOIN nation ON c_nationkey = n_nationkey "
                "JOIN region ON n_regionkey = r_regionkey", ()),
@@ -131,11 +136,12 @@ ORACLE_SQL: dict[str, str] = {
                     "CAST(NULL AS VARCHAR) AS incident_time FROM lineitem "
                     "GROUP BY l_partkey, l_suppkey, l_returnflag, l_shipdate",
     "compound": _with("SELECT * FROM compound", "compound"),
+    "incidents": _with("SELECT * FROM incidents", "incidents"),
     "split_rows": _with("SELECT * FROM names", "names"),
     "vocabulary": _with("SELECT DISTINCT offense_name FROM names", "names"),
     "pivot_counts": _with("SELECT * FROM pivoted", "pivoted"),
-    "pivot_flags": _with("SELECT l_orderkey, name_cnt, not_named > 0 AS not_named, a > 0 AS a, n > 0 AS n, "
-                         "r > 0 AS r FROM pivoted", "pivoted"),
+    "pivot_flags": _with("SELECT id, name_cnt, not_named > 0 AS not_named, a > 0 AS a, f > 0 AS f, "
+                         "n > 0 AS n, o > 0 AS o, r > 0 AS r FROM pivoted", "pivoted"),
     "unpivot_measures": _with("SELECT datetime, stn, v FROM wide UNPIVOT INCLUDE NULLS "
                               "(v FOR stn IN (click, error, purchase, signup, view))", "wide"),
     "full_join": _with("SELECT * FROM measures", "measures"),
