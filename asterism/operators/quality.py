@@ -138,8 +138,10 @@ def check_foreign_key(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str],
                       dim_keys: Sequence[str] | None = None) -> DataFrame:
     """Foreign-key check (V2): fact key values absent from ``dim``, with their row count ``n``.
 
-    A NULL foreign key passes. The fact is first reduced to one row per key value
-    (combined map-side), so only distinct keys meet the dimension's keys.
+    A NULL foreign key passes. The count per key is a partial aggregate; Catalyst
+    places the anti join before it (the join only reads the key), so with parent
+    keys small enough to broadcast the fact is filtered map-side and shuffled
+    only as partial counts; large parents are sort-merge joined with AQE.
     """
     fact_keys = list(fact_keys)
     dim_keys = list(dim_keys or fact_keys)

@@ -50,3 +50,21 @@ def test_clean_events(spark):
     with_time, _ = clean_events(df, ["ori", "incident_date", "offenses"], date_col="incident_date",
                                 time_source="incident_date", keep_count=True)
     assert rows(with_time, "incident_time", "group_dupe_cnt") == [("13:30:00", 0), ("13:30:00", 1)]
+
+
+def test_surrogate_ids_empty_input(spark):
+    empty = spark.createDataFrame([], "a int, b string")
+    assert with_surrogate_id(empty, "id", ["a", "b"]).collect() == []
+
+
+def test_surrogate_ids_hot_leading_value(spark):
+    # a third of the rows share the leading order value; the layout splits them
+    # by the following order column, and ids stay 1…n in order
+    n = 3000
+    df = spark.range(0, n, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("a"),
+                                        F.col("id").alias("b"))
+    got = with_surrogate_id(df, "id", ["a", "b"], num_partitions=6)
+    expected = df.select(F.row_number().over(Window.orderBy("a", "b")).cast("long").alias("id"), "a", "b")
+    assert rows(got) == rows(expected)
+    per_part = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_part) < n / 2

@@ -115,3 +115,33 @@ def test_slug_key_first(spark):
 def test_typed_null(spark):
     out = with_typed_null(spark.createDataFrame([(1,)], "a int"), "incident_time", "string")
     assert out.schema["incident_time"].dataType.simpleString() == "string" and rows(out) == [(1, None)]
+
+
+def test_conform_hot_key(spark):
+    # one key holds a third of all rows (identical copies plus one conflicting version)
+    from pyspark.sql import functions as F
+
+    base = spark.range(0, 3000, 1, 6)
+    df = base.select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                     F.when(F.col("id") == 3, F.lit("other")).otherwise(F.lit("same")).alias("v"))
+    c = conform_dimension(df, ["k"])
+    assert rows(c.quarantine) == [("hot", "other"), ("hot", "same")]
+    assert c.clean.count() == 2000 and c.clean.where("k = 'hot'").count() == 0
+    a = c.audit.first()
+    assert (a.n_rows, a.conflicting_keys, a.top_key_rows) == (3000, 1, 1000)
+    text = plan(c.clean)
+    assert "SinglePartition" not in text and "Exchange hashpartitioning(k" in text
+
+
+def test_foreign_key_plan(spark):
+    from pyspark.sql import functions as F
+
+    fact = spark.range(0, 1000).select((F.col("id") % 10).alias("fk"))
+    dim = spark.range(0, 5).withColumnRenamed("id", "pk")
+    out = check_foreign_key(fact, dim, ["fk"], ["pk"])
+    assert rows(out) == [(i, 100) for i in range(5, 10)]
+    text = plan(out)
+    # small parent keys are broadcast: the anti join filters fact rows map-side,
+    # before the partial count, and the fact is shuffled only as partial counts
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "partial_count" in text
+    assert "SortMergeJoin" not in text
