@@ -71,7 +71,9 @@ def pivot_counts(df: DataFrame, group_cols: Sequence[str], name_col: str = "offe
     name = quoted(name_col)
     aggs = [F.count(F.when(name == F.lit(value), quoted(count_col))).alias(c)
             for value, c in columns.items()]
-    out = df.groupBy(*[quoted(c) for c in group_cols]).agg(*aggs)
+    keys = [quoted(c) for c in group_cols]
+    # With no names at all (e.g. every list NULL) only the groups remain.
+    out = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
     if flags:
         out = out.select(*[quoted(c) for c in group_cols],
                          *[(quoted(c) > 0).alias(c) for c in columns.values()])

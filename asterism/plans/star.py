@@ -168,6 +168,9 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
                          ["stn", "date_id", "hour_id"], cfg.mode)
         for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs"):
             sinks.write_table(tables[name], _path(cfg, cfg.stage, name), cfg.mode)
+        # The long measure table is stored in datetime order (within each file).
+        sinks.write_table(measures.sortWithinPartitions("datetime"),
+                          _path(cfg, cfg.stage, "meteodata_unpivoted"), cfg.mode)
         sinks.append_log(log, _path(cfg, cfg.stage, "log_table"))
         tables = {n: spark.read.parquet(_path(cfg, cfg.mart, n)) if n.startswith(("dim_", "fct_")) else df
                   for n, df in tables.items()}
