@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asterism.functions.columns import quoted
-from asterism.session import checkpoint_dir
+from asterism.session import scratch_path
 
 DUPE_COUNT = "group_dupe_cnt"
 
@@ -35,32 +35,34 @@ def with_surrogate_id(df: DataFrame, name: str, order_by: Sequence[str],
 
     ``row_number()`` over an unpartitioned window moves every row into one task.
     Instead rows are range-partitioned on the order and sorted within each
-    partition; that layout is checkpointed to the shared checkpoint folder so the
-    numbering is stable even if executors are lost and tasks rerun; each row then
-    gets ``offset(partition) + position in partition``. The offsets come from a
-    per-partition count (one row per partition) summed in partition order and
-    broadcast back — a table whose size is the partition count.
+    partition, and written as Parquet under the shared checkpoint folder
+    together with their range partition and their position in it. From then on
+    the numbering is fixed data: rerun tasks or a different read-back split
+    cannot change it. Each row's id is ``offset(partition) + position``; the
+    offsets come from a per-partition count (reading only the partition column,
+    one row per partition) summed in order and broadcast back.
 
     ``order_by`` must be a total order for the ids to be reproducible (after
-    :func:`dedup_with_count`, ordering by all grouping columns is one).
+    :func:`dedup_with_count`, ordering by all grouping columns is one). Size the
+    range partitions with ``num_partitions`` (default
+    ``spark.sql.shuffle.partitions``) so each holds a few hundred MB.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [quoted(c).asc_nulls_first() for c in order_by]
-    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = laid_out.select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    pid = F.spark_partition_id()
+    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+        "*", pid.alias("_pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"))
+    path = scratch_path(spark, "surrogate-ids")
+    laid_out.write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    ident = (F.col("_off") + position + 1).cast("long").alias(name)
+    ident = (F.col("_off") + F.col("_pos") + 1).cast("long").alias(name)
     data_cols = [quoted(c) for c in df.columns]
-    numbered = tagged.join(F.broadcast(offsets), "_pid")
+    numbered = stored.join(F.broadcast(offsets), "_pid")
     return numbered.select(ident, *data_cols) if first else numbered.select(*data_cols, ident)
 
 
