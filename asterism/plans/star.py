@@ -67,6 +67,7 @@ class StarConfig:
     start_not_later: str | None = None
     end_not_earlier: str | None = None
     assume_unique_measures: bool = False
+    check_headers: bool = False
     empty_strings: str = "null"
     scale_mode: str = "round"
     stage: str = "stage"
@@ -96,6 +97,14 @@ def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list
     names = [f.name for f in next(iter(schemas.values())).fields[1:]] if schemas else []
     longs = {}
     for param, struct in schemas.items():
+        # Values bind by position: a file with another number of stations would
+        # label every value with the wrong station, so that always fails; the
+        # names themselves may be renamed in the spec and are checked on request.
+        header = csv_src.csv_header(spark, f"{root}/meteodata/{param}.csv")
+        if len(header) != len(names) + 1:
+            raise ValueError(f"{param}.csv has {len(header) - 1} station columns, the spec lists {len(names)}")
+        if cfg.check_headers and [h.lower() for h in header[1:]] != [n.lower() for n in names]:
+            raise ValueError(f"{param}.csv station columns {header[1:]} differ from the spec {names}")
         wide = csv_src.read_measure_csv(spark, f"{root}/meteodata", param, struct,
                                         empty_strings=cfg.empty_strings, scale_mode=cfg.scale_mode)
         longs[param] = reshape.unpivot_measures(wide, ["datetime"], names, "stn", param)

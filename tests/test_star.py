@@ -98,3 +98,19 @@ def test_build_star_rerun_refuses_then_overwrites(spark, data_root, tmp_dir):
         build_star(spark, cfg)
     cfg.mode = "overwrite"
     build_star(spark, cfg)
+
+
+def test_build_star_checks_station_columns(spark, data_root, tmp_dir):
+    header = "datetime," + ",".join(NAMES[:3])
+    _write(f"{data_root}/meteodata/pressure.csv", [header, "2020-01-01 00:00:00,1,2,3"])
+    with pytest.raises(ValueError, match="station columns"):
+        build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out"), write=False)
+
+
+def test_build_star_header_names_on_request(spark, data_root, tmp_dir):
+    header = "datetime," + ",".join(reversed(NAMES))
+    _write(f"{data_root}/meteodata/pressure.csv", [header, "2020-01-01 00:00:00,1,2,3,4"])
+    build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/o1"), write=False)
+    with pytest.raises(ValueError, match="differ from the spec"):
+        build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/o2", check_headers=True),
+                   write=False)
