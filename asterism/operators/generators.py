@@ -18,10 +18,12 @@ DateLike = dt.date | str | None
 
 
 def _as_date(value: DateLike) -> dt.date | None:
-    if value is None or isinstance(value, dt.date) and not isinstance(value, dt.datetime):
-        return value
+    if value is None:
+        return None
     if isinstance(value, dt.datetime):
         return value.date()
+    if isinstance(value, dt.date):
+        return value
     return dt.date.fromisoformat(str(value)[:10])
 
 
