@@ -6,6 +6,8 @@ import pytest
 from asterism.plans.star import StarConfig, build_star
 from tests.conftest import rows
 
+# The header and first stations of the source station file, retyped
+# (the last row repeats one station to exercise the dedup).
 STATION_ROWS = ["City,Country,Latitude,Longitude",
                 "Vancouver,Canada,49.24966,-123.119339",
                 "Portland,United States,45.523449,-122.676208",
