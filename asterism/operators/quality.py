@@ -37,19 +37,25 @@ def _versions(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]
     holds a third of all rows is reduced inside each task before the shuffle.
     """
     copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    versions = copies.groupBy(*[quoted(k) for k in keys]).agg(
+    return copies, _versions_of(copies, keys)
+
+
+def _versions_of(copies: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return copies.groupBy(*[quoted(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_versions"),
         F.sum("_copies").alias("_rows"),
         F.count_if(F.col("_copies") > 1).alias("_dupes"))
-    return copies, versions
 
 
-def conform_dimension(df: DataFrame, keys: Sequence[str]) -> Conformed:
+def conform_dimension(df: DataFrame, keys: Sequence[str], copies_path: str | None = None,
+                      copies_mode: str = "errorifexists") -> Conformed:
     """Drop repeats of identical rows, remove and quarantine keys whose rows differ.
 
     NULL keys never equal anything (as with EXISTS): rows with a NULL key stay in
     ``clean`` (deduplicated) and are never quarantined; :func:`check_unique`
     reports them. The conflict counter counts key groups, the NULL group included.
+    With ``copies_path`` (a folder on shared storage) the distinct rows are
+    written once, so using several outputs does not re-read the raw input.
 
     Plan: distinct rows (hash aggregate) → versions per key (hash aggregate) →
     semi/anti join of the distinct rows with the conflicting keys. The planner
@@ -59,6 +65,12 @@ def conform_dimension(df: DataFrame, keys: Sequence[str]) -> Conformed:
     keys = list(keys)
     cols = df.columns
     copies, versions = _versions(df, keys)
+    if copies_path is not None:
+        # Store the distinct rows once; every output then reads them instead of
+        # re-reading and re-aggregating the raw input.
+        copies.write.mode(copies_mode).parquet(copies_path)
+        copies = df.sparkSession.read.parquet(copies_path)
+        versions = _versions_of(copies, keys)
     conflicting = versions.where(all_not_null(keys) & (F.col("_versions") > 1)).select(*[quoted(k) for k in keys])
     distinct_rows = copies.select(*[quoted(c) for c in cols])
     clean = distinct_rows.join(conflicting, keys, "left_anti")

@@ -112,27 +112,45 @@ def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list
 
 
 def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star:
+    """Build every table. With ``write=True`` the intermediate tables that are used
+    more than once (distinct dimension rows, the long measures, the cleaned
+    incidents) are stored once in the stage area and read back, as the source
+    design stores them, so no raw input is read more than once per table."""
     root = cfg.data_root.rstrip("/")
     read = lambda p, s: csv_src.read_positional_csv(
         spark, f"{root}/{p}", s, empty_strings=cfg.empty_strings, scale_mode=cfg.scale_mode)
+    stage_path = (lambda name: _path(cfg, cfg.stage, name)) if write else (lambda name: None)
+
+    def staged(df: DataFrame, name: str, sort: str | None = None) -> DataFrame:
+        if not write:
+            return df
+        sinks.write_table(df.sortWithinPartitions(sort) if sort else df, stage_path(name), cfg.mode)
+        return spark.read.parquet(stage_path(name))
+
     logs: list[DataFrame] = []
 
-    agencies = quality.conform_dimension(read("agencies.csv", AGENCIES_SCHEMA), ["ori"])
+    agencies = quality.conform_dimension(read("agencies.csv", AGENCIES_SCHEMA), ["ori"],
+                                         copies_path=stage_path("agencies_distinct"), copies_mode=cfg.mode)
     logs.append(quality.audit_rows(agencies.audit, cfg.stage, "agencies"))
 
     ws_raw = read("meteodata/weather_stations.csv", STATIONS_SCHEMA)
-    stations = quality.conform_dimension(ws_raw, ["stn_lat", "stn_long"])
+    stations = quality.conform_dimension(ws_raw, ["stn_lat", "stn_long"],
+                                         copies_path=stage_path("weather_stations_distinct"),
+                                         copies_mode=cfg.mode)
     logs.append(quality.audit_rows(stations.audit, cfg.stage, "weather_stations"))
     dim_stations = quality.add_slug_key(stations.clean, "stn_city", "stn_name")
 
     incidents, incident_audit = ev.clean_events(read("crime_incidents.csv", INCIDENTS_SCHEMA),
                                                 INCIDENT_KEEP, date_col="incident_date")
+    incidents = staged(incidents, "ci2")
     logs.append(quality.audit_rows(incident_audit, cfg.stage, "crime_incidents"))
 
     names = reshape.split_to_rows(incidents, ["id"], "offenses")
     pivoted = reshape.pivot_counts(names, ["id", "name_cnt"], vocab=reshape.vocabulary(names, "offense_name"))
 
     measures, _ = load_measures(spark, cfg)
+    # The long measure table is stored in datetime order (within each file).
+    measures = staged(measures, "meteodata_unpivoted", sort="datetime")
     dates = generators.dim_dates_between(
         spark, [(incidents, "incident_date"), (measures, "datetime")], cfg.start_not_later, cfg.end_not_earlier)
     hours = generators.dim_hours(spark)
@@ -177,9 +195,6 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
                          ["stn", "date_id", "hour_id"], cfg.mode)
         for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs"):
             sinks.write_table(tables[name], _path(cfg, cfg.stage, name), cfg.mode)
-        # The long measure table is stored in datetime order (within each file).
-        sinks.write_table(measures.sortWithinPartitions("datetime"),
-                          _path(cfg, cfg.stage, "meteodata_unpivoted"), cfg.mode)
         sinks.append_log(log, _path(cfg, cfg.stage, "log_table"))
         tables = {n: spark.read.parquet(_path(cfg, cfg.mart, n)) if n.startswith(("dim_", "fct_")) else df
                   for n, df in tables.items()}

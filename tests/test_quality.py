@@ -145,3 +145,10 @@ def test_foreign_key_plan(spark):
     # before the partial count, and the fact is shuffled only as partial counts
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "partial_count" in text
     assert "SortMergeJoin" not in text
+
+
+def test_conform_with_stored_copies(spark, dim, tmp_dir):
+    c = conform_dimension(dim, ["k"], copies_path=f"{tmp_dir}/copies")
+    assert rows(c.clean) == rows(conform_dimension(dim, ["k"]).clean)
+    assert c.audit.first().asDict()["n_rows"] == 12
+    assert "FileScan parquet" in plan(c.quarantine)
