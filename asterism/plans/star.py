@@ -13,7 +13,7 @@ log) and ``mart/`` (dimensions and facts).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,7 +72,6 @@ class StarConfig:
     scale_mode: str = "round"
     stage: str = "stage"
     mart: str = "mart"
-    extra: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -200,3 +199,33 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
                   for n, df in tables.items()}
     return Star(tables, log, checks)
 
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m asterism.plans.star DATA_ROOT OUT_ROOT [--mode overwrite] …``"""
+    import argparse
+
+    p = argparse.ArgumentParser(description="Build the star schema from raw files.")
+    p.add_argument("data_root")
+    p.add_argument("out_root")
+    p.add_argument("--mode", default="errorifexists", choices=sinks.MODES)
+    p.add_argument("--start-not-later")
+    p.add_argument("--end-not-earlier")
+    p.add_argument("--assume-unique-measures", action="store_true")
+    p.add_argument("--check-headers", action="store_true")
+    p.add_argument("--empty-strings", default="null", choices=["null", "keep"])
+    p.add_argument("--scale-mode", default="round", choices=["round", "truncate"])
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("asterism-build-star").getOrCreate()
+    cfg = StarConfig(data_root=a.data_root, out_root=a.out_root, mode=a.mode,
+                     start_not_later=a.start_not_later, end_not_earlier=a.end_not_earlier,
+                     assume_unique_measures=a.assume_unique_measures, check_headers=a.check_headers,
+                     empty_strings=a.empty_strings, scale_mode=a.scale_mode)
+    star = build_star(spark, cfg)
+    for name, check in star.checks.items():
+        bad = check.limit(1).count()
+        print(f"{name}: {'violations found' if bad else 'ok'}")
+
+
+if __name__ == "__main__":
+    main()

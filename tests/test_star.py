@@ -116,3 +116,12 @@ def test_build_star_header_names_on_request(spark, data_root, tmp_dir):
     with pytest.raises(ValueError, match="differ from the spec"):
         build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/o2", check_headers=True),
                    write=False)
+
+
+def test_command_line(spark, data_root, tmp_dir, capsys):
+    from asterism.plans.star import main
+
+    main([data_root, f"{tmp_dir}/cli", "--start-not-later", "2019-12-30"])
+    out = capsys.readouterr().out
+    assert "fk_incidents_agencies: violations found" in out and "pk_dim_agencies: ok" in out
+    assert spark.read.parquet(f"{tmp_dir}/cli/mart/fct_meteodata").count() == 12
