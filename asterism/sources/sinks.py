@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from asterism.functions.columns import quoted
 
@@ -42,7 +43,8 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
 
     ``layout="range"`` (default) range-partitions on ``dist_key`` then the sort
     keys: files hold contiguous, sorted key ranges, and one hot ``dist_key``
-    value is split across several files by the following sort keys.
+    value is split across several files by the following sort keys (and by a
+    row hash when all keys are equal).
     ``layout="hash"`` hash-partitions on ``dist_key`` (every value in one file).
     ``layout="bucket"`` saves a catalog table bucketed by ``dist_key`` and sorted
     by ``sort_keys`` so later joins on the key skip their shuffle; ``target`` is
@@ -51,7 +53,12 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
     keys = [dist_key] + [k for k in sort_keys if k != dist_key]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if layout == "range":
-        laid = df.repartitionByRange(n, *[quoted(k) for k in keys]).sortWithinPartitions(*[quoted(k) for k in keys])
+        # A hash of the whole row as the last range key (not stored): rows that
+        # share every declared key — say a third of all rows — are still spread
+        # over several partitions, while files stay sorted by the declared keys.
+        tie = F.xxhash64(*[quoted(c) for c in df.columns])
+        order = [quoted(k) for k in keys] + [tie]
+        laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "hash":
         laid = df.repartition(n, quoted(dist_key)).sortWithinPartitions(*[quoted(k) for k in keys])

@@ -41,3 +41,12 @@ def test_write_fact_bucketed_table(spark):
     write_fact(fact, "fct_bucketed_test", "stn", ["date_id", "hour_id"], layout="bucket", buckets=4,
                mode="overwrite")
     assert rows(spark.table("fct_bucketed_test")) == [("a", 1, 1), ("b", 2, 3)]
+
+
+def test_write_fact_spreads_identical_keys(spark, tmp_dir):
+    fact = spark.range(0, 4000, 1, 4).select(F.lit("hot").alias("stn"), F.lit(1).alias("date_id"),
+                                             F.lit(None).cast("int").alias("hour_id"), F.col("id").alias("v"))
+    write_fact(fact, f"{tmp_dir}/hot", "stn", ["stn", "date_id", "hour_id"], num_partitions=4)
+    back = spark.read.parquet(f"{tmp_dir}/hot")
+    assert back.count() == 4000
+    assert back.select(F.input_file_name()).distinct().count() >= 3
