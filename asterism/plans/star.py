@@ -50,6 +50,14 @@ INCIDENT_KEEP = [
     "offender_ethnicity", "victim_count", "offenses", "total_individual_victims",
     "location_name", "bias_desc", "victim_types", "multiple_offense", "multiple_bias"]
 
+# The declared sort keys of the published dimensions.
+DIMENSION_SORT_KEYS = {
+    "dim_agencies": ["ori_lat", "ori_long"],
+    "dim_weather_stations": ["stn_country", "stn_city"],
+    "dim_dates": ["date"],
+    "dim_hours": ["id"],
+}
+
 # Declared string lengths checked by V4.
 AGENCY_LENGTHS = {"ori": 9, "agency": 100, "agency_type": 100, "state": 50, "state_abbr": 2,
                   "division": 150, "region": 150, "region_desc": 150, "county": 150}
@@ -186,8 +194,9 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
     }
 
     if write:
-        for name in ("dim_agencies", "dim_weather_stations", "dim_dates", "dim_hours"):
-            sinks.write_table(tables[name], _path(cfg, cfg.mart, name), cfg.mode)
+        for name, sort_keys in DIMENSION_SORT_KEYS.items():
+            # Dimensions are small (they are broadcast): a global sort is cheap.
+            sinks.write_table(tables[name].orderBy(*sort_keys), _path(cfg, cfg.mart, name), cfg.mode)
         sinks.write_fact(fct_incidents, _path(cfg, cfg.mart, "fct_crime_incidents"), "ori",
                          ["ori", "date_id", "hour_id"], cfg.mode)
         sinks.write_fact(fct_meteodata, _path(cfg, cfg.mart, "fct_meteodata"), "stn",

@@ -69,6 +69,8 @@ def test_build_star(spark, data_root, tmp_dir):
     assert rows(t["agencies_ir"], "ori", "agency") == [("AA0000003", "Three"), ("AA0000003", "Three bis")]
     assert rows(t["full_dupe_oris"]) == [("AA0000002",)]
     assert rows(t["dim_weather_stations"], "stn_name") == [(n,) for n in sorted(NAMES)]
+    stored = spark.read.parquet(f"{tmp_dir}/out/mart/dim_weather_stations").collect()
+    assert [(r.stn_country, r.stn_city) for r in stored] == sorted((r.stn_country, r.stn_city) for r in stored)
     d = rows(t["dim_dates"])
     assert d[0] == (1, dt.date(2019, 12, 30)) and d[-1][1] == dt.date(2020, 1, 7)
     assert t["dim_hours"].count() == 24
