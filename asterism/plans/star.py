@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asterism.operators import events as ev
 from asterism.operators import facts, generators, quality, reshape, schema
@@ -74,7 +75,7 @@ class StarConfig:
     mode: str = "errorifexists"
     start_not_later: str | None = None
     end_not_earlier: str | None = None
-    assume_unique_measures: bool = False
+    assume_unique_measures: bool | None = None
     check_headers: bool = False
     empty_strings: str = "null"
     scale_mode: str = "round"
@@ -102,7 +103,7 @@ def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list
     stations = csv_src.read_ordered_names(spark, f"{root}/auxfs/station_names.csv")
     schemas = schema.measure_schemas(specs, stations)
     names = [f.name for f in next(iter(schemas.values())).fields[1:]] if schemas else []
-    longs = {}
+    longs, wides = {}, []
     for param, struct in schemas.items():
         # Values bind by position: a file with another number of stations would
         # label every value with the wrong station, so that always fails; the
@@ -114,8 +115,21 @@ def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list
             raise ValueError(f"{param}.csv station columns {header[1:]} differ from the spec {names}")
         wide = csv_src.read_measure_csv(spark, f"{root}/meteodata", param, struct,
                                         empty_strings=cfg.empty_strings, scale_mode=cfg.scale_mode)
+        wides.append(wide)
         longs[param] = reshape.unpivot_measures(wide, ["datetime"], names, "stn", param)
-    return reshape.full_join_measures(longs, ["datetime", "stn"], cfg.assume_unique_measures), names
+    unique = cfg.assume_unique_measures
+    if unique is None:
+        # (datetime, stn) is unique in a long table exactly when datetime is
+        # unique in its wide file: a one-column check, combined map-side, that
+        # lets the combine run as one aggregate instead of a chain of joins.
+        unique = all(_unique_non_null(w, "datetime") for w in wides)
+    return reshape.full_join_measures(longs, ["datetime", "stn"], unique), names
+
+
+def _unique_non_null(df: DataFrame, col: str) -> bool:
+    repeated = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") > 1))
+    return repeated.limit(1).count() == 0
 
 
 def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star:

@@ -127,3 +127,20 @@ def test_command_line(spark, data_root, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "fk_incidents_agencies: violations found" in out and "pk_dim_agencies: ok" in out
     assert spark.read.parquet(f"{tmp_dir}/cli/mart/fct_meteodata").count() == 12
+
+
+def test_measures_repeated_datetime_uses_exact_chain(spark, data_root, tmp_dir):
+    from asterism.plans.star import load_measures
+
+    cfg = StarConfig(data_root=data_root, out_root=f"{tmp_dir}/x")
+    unique, _ = load_measures(spark, cfg)
+    assert unique.count() == 12
+    header = "datetime," + ",".join(NAMES)
+    _write(f"{data_root}/meteodata/pressure.csv", [header, "2020-01-01 00:00:00,1,2,3,4",
+                                                   "2020-01-01 00:00:00,5,6,7,8"])
+    repeated, _ = load_measures(spark, cfg)
+    # the repeated hour doubles 00:00 for every station (as the join does), and
+    # 01:00 (temperature only) stays: 4 × 2 + 4 rows
+    assert repeated.count() == 4 * 2 + 4
+    assert rows(repeated.where("stn = 'Seattle' AND datetime = '2020-01-01 00:00:00'"), "pressure") == [
+        (4,), (8,)]
