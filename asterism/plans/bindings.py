@@ -29,6 +29,8 @@ from asterism.sources import sinks
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 DEDUP_COLS = ["l_partkey", "l_suppkey", "l_returnflag"]
 MEASURE_KEYS = ["datetime", "stn"]
+# Declared lengths checked on part.
+PART_LENGTHS = {"p_name": 10, "p_brand": 7, "p_type": 6}
 # Fixed value: the user bound that widens the order date dimension.
 DATES_START_NOT_LATER = "1994-12-01"
 
@@ -98,6 +100,15 @@ def length_violations(spark, d):
     return quality.check_lengths(table(spark, d, "part"), "p_name", 10, ["p_partkey"])
 
 
+def length_violations_all(spark, d):
+    # V4 over several declared lengths in one pass (long form: key, column, len).
+    return quality.check_all_lengths(table(spark, d, "part"), PART_LENGTHS, ["p_partkey"])
+
+
+def conflicting_keys(spark, d):
+    return quality.conflicting_keys(_li(spark, d), LI_KEYS)
+
+
 def slug_key(spark, d):
     return quality.add_slug_key(table(spark, d, "part"), "p_name", "slug")
 
@@ -116,6 +127,10 @@ def dedup_audit(spark, d):
     return ev.dedup_audit(_deduped(spark, d))
 
 
+def dedup_log(spark, d):
+    return quality.audit_rows(ev.dedup_audit(_deduped(spark, d)), "stage", "lineitem").drop("dt")
+
+
 def clean_events(spark, d):
     clean, _ = ev.clean_events(table(spark, d, "lineitem"), DEDUP_COLS + ["l_shipdate"],
                                date_col="l_shipdate")
@@ -301,6 +316,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_violations": pk_violations,
     "fk_orphans": fk_orphans,
     "length_violations": length_violations,
+    "length_violations_all": length_violations_all,
+    "conflicting_keys": conflicting_keys,
+    "dedup_log": dedup_log,
     "slug_key": slug_key,
     "surrogate_ids": surrogate_ids,
     "dedup_audit": dedup_audit,

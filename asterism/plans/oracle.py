@@ -125,6 +125,20 @@ ORACLE_SQL: dict[str, str] = {
                   "GROUP BY l_orderkey",
     "length_violations": "SELECT p_partkey, p_name, CAST(length(p_name) AS INTEGER) AS len FROM part "
                          "WHERE length(p_name) > 10",
+    "length_violations_all": "SELECT p_partkey, 'p_name' AS column, CAST(length(p_name) AS INTEGER) AS len "
+                             "FROM part WHERE length(p_name) > 10 "
+                             "UNION ALL SELECT p_partkey, 'p_brand', CAST(length(p_brand) AS INTEGER) FROM part "
+                             "WHERE length(p_brand) > 7 "
+                             "UNION ALL SELECT p_partkey, 'p_type', CAST(length(p_type) AS INTEGER) FROM part "
+                             "WHERE length(p_type) > 6",
+    "conflicting_keys": _with("SELECT * FROM ir", "ir"),
+    "dedup_log": "SELECT 'stage' AS schema_name, 'lineitem' AS table_name, 'Duplicate records found in ' || n || "
+                 "' groups of lineitem; repeats were removed.' AS message FROM (SELECT count(*) AS n FROM "
+                 "(SELECT count(*) AS c FROM lineitem GROUP BY l_partkey, l_suppkey, l_returnflag) WHERE c > 1) "
+                 "WHERE n > 0 UNION ALL SELECT 'stage', 'lineitem', "
+                 "'No duplicate or inconsistent records found in lineitem.' FROM (SELECT count(*) AS n FROM "
+                 "(SELECT count(*) AS c FROM lineitem GROUP BY l_partkey, l_suppkey, l_returnflag) WHERE c > 1) "
+                 "WHERE n = 0",
     "slug_key": "SELECT replace(p_name, ' ', '_') AS slug, * FROM part",
     "surrogate_ids": "SELECT CAST(row_number() OVER (ORDER BY l_partkey, l_suppkey, l_returnflag) AS BIGINT) AS id, "
                      "l_partkey, l_suppkey, l_returnflag, count(*) - 1 AS group_dupe_cnt FROM lineitem "
