@@ -27,14 +27,24 @@ def _station_list(stations: DataFrame, station_col: str, order_col: str):
     return ordered.scalar()
 
 
+# Parquet and CSV readers handle wide tables, but a station list this long is
+# not a spec any more: the build stops instead of gathering it.
+MAX_STATIONS = 10_000
+
+
 def schema_ddl_frame(specs: DataFrame, stations: DataFrame, name_col: str = "tbl_name",
                      fmt_col: str = "col_fmt", station_col: str = "station_name",
-                     order_col: str = "id", prefix: str = DATETIME_PREFIX) -> DataFrame:
+                     order_col: str = "id", prefix: str = DATETIME_PREFIX,
+                     max_stations: int = MAX_STATIONS) -> DataFrame:
     """``(name, col_defs)``: the column definition text of each parameter's table.
 
     ``A T, B T, C T`` is the station array joined by ``' T, '`` plus a last ``' T'``.
+    The station list is a spec gathered into one value; more than
+    ``max_stations`` names fail the query.
     """
-    names = _station_list(stations, station_col, order_col)
+    gathered = _station_list(stations, station_col, order_col)
+    names = F.when(F.size(gathered) <= max_stations, gathered).otherwise(
+        F.raise_error(F.lit(f"more than {max_stations} stations in the spec")))
     fmt = quoted(fmt_col)
     joined = F.call_function("array_join", names, F.concat(F.lit(" "), fmt, F.lit(", ")))
     defs = F.when(F.size(names) > 0, F.concat(joined, F.lit(" "), fmt)).otherwise(F.lit(""))

@@ -93,3 +93,11 @@ def test_measure_schemas_from_specs(spark, tmp_dir):
     ddl = dict(rows(schema_ddl_frame(spec, names)))
     assert ddl["temperature"] == ("datetime TIMESTAMP, Vancouver DECIMAL(5, 2), Portland DECIMAL(5, 2), "
                                   "San_Francisco DECIMAL(5, 2), Seattle DECIMAL(5, 2)")
+
+
+def test_schema_ddl_station_bound(spark):
+    specs = spark.createDataFrame([("t", "INT")], "tbl_name string, col_fmt string")
+    stations = spark.range(1, 6).selectExpr("CAST(id AS INT) AS id", "concat('s', id) AS station_name")
+    assert rows(schema_ddl_frame(specs, stations))[0][1].endswith("s5 INT")
+    with pytest.raises(Exception, match="more than 3 stations"):
+        schema_ddl_frame(specs, stations, max_stations=3).collect()
