@@ -17,7 +17,8 @@ from asterism.functions.columns import all_not_null, any_null, quoted
 class Conformed:
     """Result of :func:`conform_dimension`.
 
-    ``clean``: one row per key; keys whose rows disagree are removed entirely.
+    ``clean``: one row per non-NULL key (keys whose rows disagree are removed
+    entirely), plus the distinct rows with a NULL key.
     ``quarantine``: the distinct rows of those conflicting keys.
     ``full_dupe_keys``: the key of each row that appeared more than once.
     ``audit``: one row ``n_rows, full_dupe_groups, conflicting_keys, top_key_rows``.
