@@ -22,11 +22,13 @@ def split_to_rows(df: DataFrame, id_cols: Sequence[str], col: str, delim: str =
     ``''`` gives one empty name; NULL gives no rows. A narrow operator: the input
     partitioning is kept, so a following aggregate on the ids needs no shuffle.
     """
-    parts = F.split(quoted(col), regex_literal(delim), -1)
-    exploded = df.select(
+    # Split once into a column; the count and the explode both read it.
+    split = df.select(*[quoted(c) for c in id_cols],
+                      F.split(quoted(col), regex_literal(delim), -1).alias("_parts"))
+    exploded = split.select(
         *[quoted(c) for c in id_cols],
-        F.size(parts).cast("long").alias(count_col),
-        F.posexplode(parts).alias("_pos", name_col),
+        F.size("_parts").cast("long").alias(count_col),
+        F.posexplode("_parts").alias("_pos", name_col),
     )
     return exploded.select(
         *[quoted(c) for c in id_cols],
@@ -101,15 +103,17 @@ def count_list_names(df: DataFrame, col: str, vocab: Sequence[str] | None = None
         vocab = list_vocabulary(df, col, delim)
     keep = list(df.columns if keep_cols is None else keep_cols)
     columns = pivot_column_names(vocab, reserved=keep + [count_col])
-    parts = F.split(quoted(col), regex_literal(delim), -1)
+    # Split once into a column that every count reads.
+    split = df.where(quoted(col).isNotNull()).select(
+        *[quoted(c) for c in keep], F.split(quoted(col), regex_literal(delim), -1).alias("_parts"))
+    parts = F.col("_parts")
     counts = []
     for value, name in columns.items():
         # occurrences = names − names left after removing this one (code-generated
         # array functions, no lambda)
         n = (F.size(parts) - F.size(F.array_remove(parts, F.lit(value)))).cast("long")
         counts.append((n > 0 if flags else n).alias(name))
-    return df.where(quoted(col).isNotNull()).select(
-        *[quoted(c) for c in keep], F.size(parts).cast("long").alias(count_col), *counts)
+    return split.select(*[quoted(c) for c in keep], F.size(parts).cast("long").alias(count_col), *counts)
 
 
 def unpivot_measures(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str],
