@@ -42,14 +42,18 @@ def with_surrogate_id(df: DataFrame, name: str, order_by: Sequence[str],
     offsets come from a per-partition count (reading only the partition column,
     one row per partition) summed in order and broadcast back.
 
-    ``order_by`` must be a total order for the ids to be reproducible (after
-    :func:`dedup_with_count`, ordering by all grouping columns is one). Size the
+    Ties in ``order_by`` are broken by a hash of the row, so ids are reproducible
+    whenever rows are distinct (after :func:`dedup_with_count` they are). Size the
     range partitions with ``num_partitions`` (default
     ``spark.sql.shuffle.partitions``) so each holds a few hundred MB.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [quoted(c).asc_nulls_first() for c in order_by]
+    # A hash of the whole row breaks ties last: rows equal on ``order_by`` (say a
+    # third of all rows) still spread over several range partitions, and their
+    # ids follow a reproducible order. For a total order it never matters.
+    tie = F.xxhash64(*[quoted(c) for c in df.columns])
+    order = [quoted(c).asc_nulls_first() for c in order_by] + [tie.asc()]
     pid = F.spark_partition_id()
     laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
         "*", pid.alias("_pid"),

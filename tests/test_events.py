@@ -68,3 +68,18 @@ def test_surrogate_ids_hot_leading_value(spark):
     assert rows(got) == rows(expected)
     per_part = got.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in per_part) < n / 2
+
+
+def test_surrogate_ids_hot_ties_spread(spark):
+    # order by a column whose one value holds a third of the rows: ties are
+    # split over partitions by the row hash and numbered reproducibly
+    n = 3000
+    df = spark.range(0, n, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("a"),
+                                        F.col("id").alias("b"))
+    got = with_surrogate_id(df, "id", ["a"], num_partitions=6)
+    assert got.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first() == (1, n, n)
+    assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < n / 2
+    again = with_surrogate_id(df, "id", ["a"], num_partitions=3)
+    assert rows(got) == rows(again)
+    # rows with a = 0 come first, in one block
+    assert rows(got.where("a = 0"), "id")[-1] == (1000,)
