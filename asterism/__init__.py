@@ -9,11 +9,17 @@ from asterism.operators.events import (
     dedup_with_count,
     with_surrogate_id,
 )
-from asterism.operators.facts import build_event_fact, build_measure_fact
+from asterism.operators.facts import (
+    bounded_broadcast,
+    build_event_fact,
+    build_event_fact_from_lists,
+    build_measure_fact,
+)
 from asterism.operators.generators import date_bounds, dim_dates, dim_dates_between, dim_hours
 from asterism.operators.quality import (
     add_slug_key,
     audit_rows,
+    check_all_lengths,
     check_foreign_key,
     check_lengths,
     check_unique,
@@ -24,13 +30,16 @@ from asterism.operators.quality import (
     with_typed_null,
 )
 from asterism.operators.reshape import (
+    count_list_names,
     full_join_measures,
+    list_vocabulary,
     number_names,
     pivot_counts,
     split_to_rows,
     union_measures,
     unpivot_measures,
     vocabulary,
+    vocabulary_frame,
 )
 from asterism.operators.schema import measure_schemas, schema_ddl_frame
 from asterism.sources.csv import (
@@ -45,13 +54,17 @@ __all__ = [
     "add_slug_key",
     "append_log",
     "audit_rows",
+    "bounded_broadcast",
     "build_event_fact",
+    "build_event_fact_from_lists",
     "build_measure_fact",
+    "check_all_lengths",
     "check_foreign_key",
     "check_lengths",
     "check_unique",
     "clean_events",
     "conflicting_keys",
+    "count_list_names",
     "conform_dimension",
     "date_bounds",
     "dedup_audit",
@@ -62,6 +75,7 @@ __all__ = [
     "full_duplicate_keys",
     "full_join_measures",
     "key_surplus",
+    "list_vocabulary",
     "measure_schemas",
     "number_names",
     "pivot_counts",
@@ -74,6 +88,7 @@ __all__ = [
     "union_measures",
     "unpivot_measures",
     "vocabulary",
+    "vocabulary_frame",
     "with_surrogate_id",
     "with_typed_null",
     "write_fact",
