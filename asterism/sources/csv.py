@@ -78,18 +78,27 @@ def read_measure_csv(spark: SparkSession, root: str, name: str, schema: StructTy
     return read_positional_csv(spark, f"{root.rstrip('/')}/{name}.csv", schema, **options)
 
 
+# A spec of names is tens of lines; past this it is not a spec, and numbering it
+# in one window would gather a large input into one task.
+MAX_SPEC_NAMES = 10_000
+
+
 def read_ordered_names(spark: SparkSession, path: str, name_col: str = "station_name",
-                       id_col: str = "id", expected: Sequence[str] | None = None) -> DataFrame:
+                       id_col: str = "id", expected: Sequence[str] | None = None,
+                       max_names: int = MAX_SPEC_NAMES) -> DataFrame:
     """A headerless one-name-per-line spec file with its 1-based line order.
 
     Order matters: wide columns are labelled by it. Blank lines are skipped.
     When ``expected`` (e.g. the header of the data file) is given, the names must
     match it in order, else this raises instead of mislabelling every value.
-    The file is a spec of tens of lines, so numbering in one window is bounded.
+    The file is a spec of tens of lines, so numbering in one window is bounded;
+    more than ``max_names`` lines raise.
     """
     lines = (spark.read.text(path)
              .select(F.monotonically_increasing_id().alias("_at"), F.trim("value").alias(name_col))
              .where(F.col(name_col) != ""))
+    if lines.limit(max_names + 1).count() > max_names:
+        raise ValueError(f"{path} has more than {max_names} names; not a spec file")
     out = lines.select(F.row_number().over(Window.orderBy("_at")).cast("int").alias(id_col), name_col)
     if expected is not None:
         got = [r[0] for r in out.orderBy(id_col).select(name_col).collect()]

@@ -65,6 +65,8 @@ def test_ordered_names(spark, tmp_dir):
     read_ordered_names(spark, p, expected=STATIONS)
     with pytest.raises(ValueError, match="order"):
         read_ordered_names(spark, p, expected=list(reversed(STATIONS)))
+    with pytest.raises(ValueError, match="not a spec"):
+        read_ordered_names(spark, p, max_names=3)
 
 
 def test_csv_header(spark, tmp_dir):
