@@ -44,3 +44,39 @@ def test_pivot_counts_sum_to_name_count(spark, lists):
     names = [c for c in p.columns if c not in ("id", "name_cnt")]
     for r in p.collect():
         assert sum(r[c] for c in names) == r.name_cnt
+
+
+ROW = st.tuples(st.one_of(st.none(), st.sampled_from(["k1", "k2", "k3"])),
+                st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                st.one_of(st.none(), st.integers(0, 2)))
+
+
+@SETTINGS
+@given(st.lists(ROW, min_size=1, max_size=25))
+def test_conform_partitions_the_distinct_rows(spark, data):
+    from asterism.operators.quality import conform_dimension
+
+    df = spark.createDataFrame(data, "k string, a string, v int")
+    c = conform_dimension(df, ["k"])
+    clean, quarantine = [tuple(r) for r in c.clean.collect()], [tuple(r) for r in c.quarantine.collect()]
+    distinct = set(data)
+    assert sorted(clean + quarantine, key=repr) == sorted(distinct, key=repr)
+    assert len(clean) + len(quarantine) == len(distinct)
+    q_keys = {r[0] for r in quarantine}
+    assert None not in q_keys and not q_keys & {r[0] for r in clean}
+    for key in {r[0] for r in clean} - {None}:
+        assert sum(1 for r in clean if r[0] == key) == 1
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 3)), min_size=0, max_size=40))
+def test_surrogate_ids_are_row_numbers(spark, data):
+    from pyspark.sql import Window
+
+    from asterism.operators.events import with_surrogate_id
+
+    df = spark.createDataFrame(data, "a int, b int").distinct()
+    got = with_surrogate_id(df, "id", ["a", "b"], num_partitions=3)
+    want = df.select(F.row_number().over(Window.orderBy(F.col("a").asc_nulls_first(), "b")).cast("long").alias("id"),
+                     "a", "b")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
