@@ -43,19 +43,21 @@ def with_surrogate_id(df: DataFrame, name: str, order_by: Sequence[str],
     one row per partition) summed in order and broadcast back.
 
     Ties in ``order_by`` are broken by a hash of the row, so ids are reproducible
-    whenever rows are distinct (after :func:`dedup_with_count` they are). Size the
-    range partitions with ``num_partitions`` (default
-    ``spark.sql.shuffle.partitions``) so each holds a few hundred MB.
+    whenever rows are distinct (after :func:`dedup_with_count` they are). The
+    range partitions start from ``spark.sql.shuffle.partitions`` (or
+    ``num_partitions``, then fixed); AQE merges adjacent small ones.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A hash of the whole row breaks ties last: rows equal on ``order_by`` (say a
     # third of all rows) still spread over several range partitions, and their
     # ids follow a reproducible order. For a total order it never matters.
     tie = F.xxhash64(*[quoted(c) for c in df.columns])
     order = [quoted(c).asc_nulls_first() for c in order_by] + [tie.asc()]
     pid = F.spark_partition_id()
-    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+    # Without an explicit count AQE may merge adjacent range partitions (order is
+    # kept), so small inputs do not become hundreds of tiny files.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    laid_out = ranged.sortWithinPartitions(*order).select(
         "*", pid.alias("_pid"),
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"))
     path = scratch_path(spark, "surrogate-ids")

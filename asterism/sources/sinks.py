@@ -58,7 +58,9 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
         # over several partitions, while files stay sorted by the declared keys.
         tie = F.xxhash64(*[quoted(c) for c in df.columns])
         order = [quoted(k) for k in keys] + [tie]
-        laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        # Without an explicit count AQE may merge adjacent small ranges (order kept).
+        ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+        laid = ranged.sortWithinPartitions(*order)
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "hash":
         laid = df.repartition(n, quoted(dist_key)).sortWithinPartitions(*[quoted(k) for k in keys])
