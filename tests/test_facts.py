@@ -27,3 +27,20 @@ def test_event_fact_left_and_inner(spark):
     assert out.columns == ["date_id", "hour_id", "id", "incident_date", "incident_time", "name_cnt", "a"]
     # event 4 has no names → gone; 10:30 matches no hour; 2019 matches no date
     assert rows(out, "id", "date_id", "hour_id") == [(1, 1, 10), (2, 2, None), (3, None, None)]
+
+
+def test_event_fact_from_lists_equals_join_form(spark):
+    from asterism.operators.facts import build_event_fact_from_lists
+    from asterism.operators.reshape import pivot_counts, split_to_rows
+
+    ev = spark.createDataFrame(
+        [(1, dt.date(2020, 1, 1), "10:00:00", "A;B"), (2, dt.date(2020, 1, 2), None, "A;A;"),
+         (3, dt.date(2020, 1, 3), "10:30:00", ""), (4, dt.date(2020, 1, 4), None, None)],
+        "id int, incident_date date, incident_time string, offenses string")
+    dates, hours = dim_dates(spark, "2020-01-01", "2020-01-31"), dim_hours(spark)
+    names = pivot_counts(split_to_rows(ev, ["id"], "offenses"), ["id", "name_cnt"], vocab=["", "A", "B"])
+    joined = build_event_fact(ev, names, dates, hours, ["id"], "incident_date", "incident_time")
+    fused = build_event_fact_from_lists(ev, "offenses", dates, hours, "incident_date", "incident_time",
+                                        vocab=["", "A", "B"])
+    assert fused.columns == joined.columns
+    assert rows(fused) == rows(joined) and len(rows(fused)) == 3
