@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from asterism.plans import bindings, oracle
 from asterism.plans.compare import compare, duckdb_connection
 from tests.conftest import SF_SMALL, plan
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(bindings.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle.ORACLE_SQL) == set(bindings.QUERIES)
+    assert set(bindings.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 CAPS = ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample",
