@@ -43,8 +43,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64(ascii_lower(F.left("text", F.lit(PREFIX_CHARS)))).alias("prefix"))
     sketch = spool(narrow.select("doc_id", "n", "prefix"), "dedup-sketch")
 
-    lengths = sketch.groupBy("n").agg(F.count(F.lit(1)).alias("rows_n")).where("rows_n > 1").select("n")
-    prefixes = (sketch.join(lengths, "n", "left_semi").groupBy("n", "prefix")
+    lengths = spool(sketch.groupBy("n").agg(F.count(F.lit(1)).alias("rows_n")).where("rows_n > 1"), "dedup-lengths")
+    prefixes = (join_groups(sketch, lengths, "n", "rows_n").groupBy("n", "prefix")
                 .agg(F.count(F.lit(1)).alias("rows_p")).where("rows_p > 1"))
     bucket = F.pmod(F.xxhash64("n", "prefix"), F.lit(FILTER_BUCKETS))
     survivors = spool(prefixes.select(bucket.alias("bucket")).distinct(), "dedup-filter")
