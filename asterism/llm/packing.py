@@ -266,7 +266,9 @@ def search(spark, lengths: dict[int, int], capacity: int = CAPACITY) -> Bins:
                                          F.lit("").alias("genes"), F.lit(0).alias("round"))
     least, found = lower_bound(lengths, capacity), None
     for at in range(1, MIGRATIONS + 2):
-        found = spool(elites.groupBy("island").applyInPandas(island, schema), "packing-islands")
+        # a stated number of partitions, or the planner would put all islands into one task
+        dealt = elites.repartition(4 * ISLANDS, "island")
+        found = spool(dealt.groupBy("island").applyInPandas(island, schema), "packing-islands")
         if found.agg(F.min("bins")).first()[0] <= least:
             break
         best = found.where("rank < 2")
