@@ -10,7 +10,6 @@ from asterism.operators.events import (
     with_surrogate_id,
 )
 from asterism.operators.facts import (
-    bounded_broadcast,
     build_event_fact,
     build_event_fact_from_lists,
     build_measure_fact,
@@ -54,7 +53,6 @@ __all__ = [
     "add_slug_key",
     "append_log",
     "audit_rows",
-    "bounded_broadcast",
     "build_event_fact",
     "build_event_fact_from_lists",
     "build_measure_fact",

@@ -99,4 +99,4 @@ def clean_events(df: DataFrame, keep_cols: Sequence[str], date_col: str | None =
         cols.append(time_value)
     if keep_count:
         cols.append(F.col(DUPE_COUNT))
-    return numbered.select(*cols), dedup_audit(deduped)
+    return numbered.select(*cols), dedup_audit(numbered)  # both read the stored layout

@@ -1,7 +1,7 @@
 """Fact assembly: the measure fact (F1) and the event fact (F2).
 
-Dimensions are broadcast only after their row count is checked against a bound;
-past it the joins are left to the planner (sort-merge, or AQE's runtime switch).
+The planner broadcasts dimensions by their size in bytes. Only the hours, 24 rows by
+construction, carry a hint.
 """
 
 from __future__ import annotations
@@ -14,26 +14,14 @@ from pyspark.sql import functions as F
 from asterism.functions.columns import quoted
 from asterism.operators.reshape import count_list_names
 
-# A date dimension of one million days is ~2,700 years; a few MB to broadcast.
-DEFAULT_DIM_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
-    """Hint ``broadcast`` when ``dim`` has at most ``max_rows`` rows (counted, stopping early)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def build_measure_fact(measures: DataFrame, dates: DataFrame, hours: DataFrame,
-                       datetime_col: str = "datetime",
-                       max_dim_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
+                       datetime_col: str = "datetime") -> DataFrame:
     """``date_id, hour_id, measures.*``: **inner** joins on the date and the hour of ``datetime``.
 
     Rows whose datetime is NULL or outside the dimensions vanish.
     """
-    d = bounded_broadcast(dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date")),
-                          max_dim_rows)
-    h = bounded_broadcast(hours.select(F.col("id").alias("_hour_id")), max_dim_rows)
+    d = dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date"))
+    h = F.broadcast(hours.select(F.col("id").alias("_hour_id")))
     ts = quoted(datetime_col)
     joined = (measures.join(d, F.to_date(ts) == F.col("_date"))
               .join(h, F.hour(ts) == F.col("_hour_id")))
@@ -41,12 +29,9 @@ def build_measure_fact(measures: DataFrame, dates: DataFrame, hours: DataFrame,
                          *[quoted(c) for c in measures.columns])
 
 
-def _attach_dates_hours(df: DataFrame, dates: DataFrame, hours: DataFrame, date_col: str, time_col: str,
-                        max_dim_rows: int) -> DataFrame:
-    d = bounded_broadcast(dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date")),
-                          max_dim_rows)
-    h = bounded_broadcast(hours.select(F.col("id").alias("_hour_id"), F.col("hour").alias("_hour")),
-                          max_dim_rows)
+def _attach_dates_hours(df: DataFrame, dates: DataFrame, hours: DataFrame, date_col: str, time_col: str) -> DataFrame:
+    d = dates.select(F.col("id").alias("_date_id"), F.col("date").alias("_date"))
+    h = F.broadcast(hours.select(F.col("id").alias("_hour_id"), F.col("hour").alias("_hour")))
     joined = (df.join(d, quoted(date_col) == F.col("_date"), "left")
               .join(h, quoted(time_col) == F.col("_hour"), "left"))
     return joined.select(F.col("_date_id").alias("date_id"), F.col("_hour_id").alias("hour_id"),
@@ -54,24 +39,23 @@ def _attach_dates_hours(df: DataFrame, dates: DataFrame, hours: DataFrame, date_
 
 
 def build_event_fact(events: DataFrame, names: DataFrame, dates: DataFrame, hours: DataFrame,
-                     id_cols: Sequence[str], date_col: str, time_col: str,
-                     max_dim_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
+                     id_cols: Sequence[str], date_col: str, time_col: str) -> DataFrame:
     """``date_id, hour_id, events ⋈ names``: **inner** join to the pivoted names on
     the ids (events without names vanish), **left** joins to the date and to the
     time of day (``time_col`` must equal ``'HH:00:00'`` exactly to match).
     """
-    ci3 = events.join(names, list(id_cols), "inner")
-    return _attach_dates_hours(ci3, dates, hours, date_col, time_col, max_dim_rows)
+    named = events.join(names, list(id_cols), "inner")
+    return _attach_dates_hours(named, dates, hours, date_col, time_col)
 
 
 def build_event_fact_from_lists(events: DataFrame, list_col: str, dates: DataFrame, hours: DataFrame,
                                 date_col: str, time_col: str, vocab: Sequence[str] | None = None,
-                                delim: str = ";", max_dim_rows: int = DEFAULT_DIM_ROWS) -> DataFrame:
+                                delim: str = ";") -> DataFrame:
     """F2 when the names are the event's own delimited list and events have unique ids.
 
     Same rows and columns as ``build_event_fact(events, pivot_counts(split_to_rows(…)))``,
     computed row by row: no explode, no group-by and no join back, so the
     whole fact needs no shuffle beyond the broadcast dimensions.
     """
-    ci3 = count_list_names(events, list_col, vocab, delim)
-    return _attach_dates_hours(ci3, dates, hours, date_col, time_col, max_dim_rows)
+    named = count_list_names(events, list_col, vocab, delim)
+    return _attach_dates_hours(named, dates, hours, date_col, time_col)

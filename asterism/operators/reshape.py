@@ -43,19 +43,22 @@ def vocabulary_frame(df: DataFrame, col: str) -> DataFrame:
     return df.select(quoted(col)).distinct()
 
 
-def vocabulary(df: DataFrame, col: str, max_values: int | None = None) -> list[str]:
+def vocabulary(df: DataFrame, col: str) -> list[str]:
     """Sorted distinct non-NULL values of ``col``, collected for use as pivot columns.
 
-    The list becomes columns, so it must be small; more than ``max_values``
-    (default ``spark.sql.pivotMaxValues``) raises instead of truncating.
+    Runs a job when called. Each value becomes a column of the caller's result; for
+    names that are too many for columns, :func:`count_names` gives the same counts
+    as rows.
     """
-    if max_values is None:
-        max_values = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    rows = (vocabulary_frame(df, col).where(quoted(col).isNotNull())
-            .orderBy(quoted(col)).limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {col!r}; too many to pivot")
-    return [r[0] for r in rows]
+    return [r[0] for r in vocabulary_frame(df, col).where(quoted(col).isNotNull()).orderBy(quoted(col)).collect()]
+
+
+def count_names(df: DataFrame, group_cols: Sequence[str], name_col: str = "offense_name",
+                count_col: str = "num") -> DataFrame:
+    """The long form of :func:`pivot_counts`: ``(groups…, name, n)``, a row for each name that
+    a group has, however many names there are."""
+    return (df.where(quoted(name_col).isNotNull()).groupBy(*[quoted(c) for c in group_cols], quoted(name_col))
+            .agg(F.count(quoted(count_col)).alias("n")))
 
 
 def pivot_counts(df: DataFrame, group_cols: Sequence[str], name_col: str = "offense_name",
@@ -82,10 +85,10 @@ def pivot_counts(df: DataFrame, group_cols: Sequence[str], name_col: str = "offe
     return out
 
 
-def list_vocabulary(df: DataFrame, col: str, delim: str = ";", max_values: int | None = None) -> list[str]:
+def list_vocabulary(df: DataFrame, col: str, delim: str = ";") -> list[str]:
     """Sorted distinct names found in the delimited lists of ``col`` (see :func:`vocabulary`)."""
     names = df.select(F.explode(F.split(quoted(col), regex_literal(delim), -1)).alias("_name"))
-    return vocabulary(names, "_name", max_values)
+    return vocabulary(names, "_name")
 
 
 def count_list_names(df: DataFrame, col: str, vocab: Sequence[str] | None = None, delim: str = ";",
@@ -136,8 +139,9 @@ def full_join_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
                        keys: Sequence[str], assume_unique: bool = False) -> DataFrame:
     """N-way ``FULL JOIN … USING (keys)``; keys coalesced, tables in name order.
 
-    The exact chain keeps the join's multiplicity for repeated keys and never
-    matches NULL keys. With ``assume_unique=True`` (each input has at most one
+    The exact chain keeps the join's multiplicity for repeated keys. Rows with a NULL
+    key match nothing, so they go round the joins (which would put all of them into
+    one task) and are appended. With ``assume_unique=True`` (each input has at most one
     row per non-NULL key) the one-shuffle form :func:`union_measures` is used.
     """
     dfs = _ordered(frames)
@@ -147,7 +151,8 @@ def full_join_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
         return dfs[0]
     if assume_unique:
         return union_measures(dfs, keys)
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), dfs)
+    keyed = reduce(lambda a, b: a.join(b, list(keys), "full"), [d.where(~any_null(keys)) for d in dfs])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [keyed, *[d.where(any_null(keys)) for d in dfs]])
 
 
 def union_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
@@ -157,7 +162,8 @@ def union_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
     Rows are stacked (missing measure columns NULL) and grouped by the keys, so
     the whole combine is one hash shuffle however many inputs there are, and the
     aggregate combines map-side. Rows with a NULL key never match, exactly as in
-    the join, and pass through unchanged.
+    the join, and pass through unchanged. A key that repeats within an input fails
+    the job, counted in the same aggregate.
     """
     dfs = _ordered(frames)
     if len(dfs) == 1:
@@ -165,15 +171,19 @@ def union_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
     measure_cols: list[str] = []
     for d in dfs:
         measure_cols += [c for c in d.columns if c not in keys and c not in measure_cols]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                     [d.withColumn("_input", F.lit(i)) for i, d in enumerate(dfs)])
     # A row with a NULL key gets a unique tag so it stays a group of its own;
     # matched rows have a NULL tag and group by the keys alone. The inputs'
     # hash partitioning on the keys survives the union, so the aggregate is
     # planned with no further shuffle.
     tag = F.when(any_null(keys), F.monotonically_increasing_id()).alias("_unmatched")
     combined = (stacked.groupBy(*[quoted(k) for k in keys], tag)
-                .agg(*[F.max(quoted(c)).alias(c) for c in measure_cols]))
-    return combined.select(*[quoted(c) for c in list(keys) + measure_cols])
+                .agg(*[F.max(quoted(c)).alias(c) for c in measure_cols],
+                     *[F.count_if(F.col("_input") == i).alias(f"_rows{i}") for i in range(len(dfs))]))
+    repeated = F.greatest(*[F.col(f"_rows{i}") for i in range(len(dfs))]) > 1
+    once = F.when(repeated, F.raise_error(F.lit("a key repeats within a measure table"))).otherwise(F.lit(True))
+    return combined.where(once).select(*[quoted(c) for c in list(keys) + measure_cols])
 
 
 def number_names(df: DataFrame, name_col: str, num_col: str = "num") -> DataFrame:

@@ -7,7 +7,8 @@ Analogues used (the reference's own inputs are not part of the test data):
 * Each line carries its own delimited name list (the incident's offense list),
   built from the line's values, so no list is ever gathered from many rows. The
   lines then go through the event clean step (dedup, ids) like the incidents.
-* Hourly aggregates of ``events`` per event type are the station readings.
+* Aggregates per day and nation of orders and lines, and per hour and type of
+  ``events``, are the station readings.
 
 Every query reads whole tables; nothing is sampled, capped or subset by id.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +48,13 @@ def _li(spark, d):
 
 
 def _conform_li(spark, d):
-    return quality.conform_dimension(_li(spark, d), LI_KEYS)
+    # the distinct rows are stored once: every output reads them and not the raw table
+    return quality.conform_dimension(_li(spark, d), LI_KEYS, copies_path=scratch_path(spark, "conform"))
 
 
 def _conform_docs(spark, d):
-    return quality.conform_dimension(table(spark, d, "documents").select("text", "lang", "source"), ["text"])
+    return quality.conform_dimension(table(spark, d, "documents").select("text", "lang", "source"), ["text"],
+                                     copies_path=scratch_path(spark, "conform-docs"))
 
 
 def conform_clean(spark, d):
@@ -90,10 +94,8 @@ def pk_violations(spark, d):
 
 
 def fk_orphans(spark, d):
-    # The parent is the table of settled orders (status not 'P'): lines of
-    # pending orders are orphans of it.
-    parents = table(spark, d, "orders").where(F.col("o_orderstatus") != "P")
-    return quality.check_foreign_key(table(spark, d, "lineitem"), parents, ["l_orderkey"], ["o_orderkey"])
+    # labels cover some of the documents: the others are orphans
+    return quality.check_foreign_key(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
 
 
 def length_violations(spark, d):
@@ -190,16 +192,23 @@ def _events(spark, d):
     return table(spark, d, "events")
 
 
-def _hourly(spark, d, where, agg):
-    e = _events(spark, d).where(where)
-    return e.groupBy(hour_start(F.col("ts")).alias("datetime"), F.col("event_type").alias("stn")).agg(agg)
+def _nation_of(df, spark, d, party, key, party_key, nation_key):
+    """``df`` with the nation's name (``stn``) of its customer or supplier."""
+    nation = table(spark, d, "nation")
+    return (df.join(table(spark, d, party), F.col(key) == F.col(party_key))
+            .join(nation, F.col(nation_key) == F.col("n_nationkey")).withColumnRenamed("n_name", "stn"))
 
 
 def _measures(spark, d):
+    """Three measures whose keys differ by nature: orders by day and customer nation, lines by
+    day and supplier nation, events by hour and type."""
+    orders = _nation_of(table(spark, d, "orders"), spark, d, "customer", "o_custkey", "c_custkey", "c_nationkey")
+    lines = _nation_of(table(spark, d, "lineitem"), spark, d, "supplier", "l_suppkey", "s_suppkey", "s_nationkey")
+    by = lambda df, ts, stn: df.groupBy(hour_start(F.col(ts)).alias("datetime"), F.col(stn).alias("stn"))
     return {
-        "big": _hourly(spark, d, F.col("value") >= 50, F.count("value").alias("big")),
-        "hi": _hourly(spark, d, F.col("value") < 30, F.max("value").alias("hi")),
-        "lo": _hourly(spark, d, F.col("value") >= 5, F.min("value").alias("lo")),
+        "big": by(orders, "o_orderdate", "stn").agg(F.count("o_orderkey").alias("big")),
+        "hi": by(lines, "l_shipdate", "stn").agg(F.max("l_extendedprice").alias("hi")),
+        "lo": by(_events(spark, d), "ts", "event_type").agg(F.min("value").alias("lo")),
     }
 
 
@@ -237,8 +246,8 @@ def dim_dates(spark, d):
     return generators.dim_dates_between(spark, _order_date_sources(spark, d), DATES_START_NOT_LATER, None)
 
 
-def _event_dates(spark, d):
-    return generators.dim_dates_between(spark, [(_events(spark, d), "ts")])
+def _measure_dates(spark, d):
+    return generators.dim_dates_between(spark, [*_order_date_sources(spark, d), (_events(spark, d), "ts")])
 
 
 def dim_hours(spark, d):
@@ -251,7 +260,7 @@ def dim_hours(spark, d):
 
 def fct_measures(spark, d):
     measures = reshape.full_join_measures(_measures(spark, d), MEASURE_KEYS, assume_unique=True)
-    return facts.build_measure_fact(measures, _event_dates(spark, d), generators.dim_hours(spark))
+    return facts.build_measure_fact(measures, _measure_dates(spark, d), generators.dim_hours(spark))
 
 
 def fct_events(spark, d):
@@ -274,7 +283,7 @@ def fct_readback(spark, d):
 
 def star_daily(spark, d):
     fact = fct_measures(spark, d)
-    dates = facts.bounded_broadcast(_event_dates(spark, d).withColumnRenamed("id", "date_id"))
+    dates = _measure_dates(spark, d).withColumnRenamed("id", "date_id")
     return (fact.join(dates, "date_id").groupBy("date")
             .agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"),
                  F.sum("big").cast("long").alias("big"), F.count(F.lit(1)).alias("n_rows")))
@@ -282,18 +291,30 @@ def star_daily(spark, d):
 
 # --- specs: schema text, ordered names, positional CSV ------------------------------------
 
-def schema_ddl(spark, d):
+def _specs(spark, d):
     nation = table(spark, d, "nation")
     stations = (table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                 .select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("station_name")).distinct())
     params = (table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
               .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-              .select(F.col("r_name").alias("tbl_name"), F.col("r_name").alias("col_fmt")).distinct())
-    return schema.schema_ddl_frame(params, stations)
+              .select(F.col("r_name").alias("tbl_name"),
+                      F.concat(F.lit("DECIMAL(6, "), F.col("r_regionkey").cast("string"), F.lit(")")).alias("col_fmt"))
+              .distinct())
+    return params, stations
+
+
+def schema_ddl(spark, d):
+    return schema.schema_ddl_frame(*_specs(spark, d))
+
+
+def schema_types(spark, d):
+    """The structs that the wide files are read with, as text."""
+    structs = schema.measure_schemas(*_specs(spark, d))
+    return spark.createDataFrame([(name, s.simpleString()) for name, s in structs.items()], "tbl_name string, struct string")
 
 
 def param_order(spark, d):
-    return reshape.number_names(table(spark, d, "part"), "p_brand").where(F.col("num") > 1)
+    return reshape.number_names(table(spark, d, "part"), "p_brand")
 
 
 def csv_scan(spark, d):
@@ -304,6 +325,51 @@ def csv_scan(spark, d):
     return csv_src.read_positional_csv(spark, path, "id BIGINT, name STRING, price DOUBLE")
 
 
+def csv_texts(spark, d):
+    """All documents written as CSV and read back: quotes, commas, line breaks, backslashes, and
+    columns of each type that the loads use."""
+    path = scratch_path(spark, "documents_csv")
+    docs = table(spark, d, "documents").select(
+        F.col("doc_id").alias("a"), F.col("text").alias("b"), F.concat(F.lit('"'), "source", F.lit('\\\\",')).alias("c"),
+        (F.col("n_chars") / 8).cast("decimal(12,3)").alias("d"), (F.col("n_chars") % 2 == 0).alias("e"),
+        F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)").alias("f"))
+    csv_src.write_csv(docs, path)
+    return csv_src.read_positional_csv(
+        spark, path, "doc_id BIGINT, text STRING, quoted STRING, eighth DECIMAL(12,3), even BOOLEAN, written TIMESTAMP_NTZ",
+        multi_line=True, empty_strings="keep")
+
+
+def name_counts(spark, d):
+    return reshape.count_names(split_rows(spark, d), ["id", "name_cnt"])
+
+
+def fct_events_timed(spark, d):
+    """The event fact with a time of day: events reported on the hour, so hours match."""
+    reports = _events(spark, d).select(F.col("event_type").alias("offenses"), hour_start(F.col("ts")).alias("day"))
+    clean, _ = ev.clean_events(reports, ["offenses", "day"], date_col="day", time_source="day")
+    return facts.build_event_fact_from_lists(clean, "offenses", _measure_dates(spark, d), generators.dim_hours(spark),
+                                             "day", "incident_time")
+
+
+def log_appended(spark, d):
+    """Audit rows appended to a log table by two runs, and read back."""
+    path = scratch_path(spark, "log")
+    for _ in range(2):
+        sinks.append_log(quality.audit_rows(ev.dedup_audit(_deduped(spark, d)), "stage", "lineitem"), path)
+    return spark.read.parquet(path).drop("dt")
+
+
+def table_replaced(spark, d):
+    """A table that refuses a second write, is then replaced, and read back."""
+    path = scratch_path(spark, "replaced")
+    sinks.write_table(table(spark, d, "nation"), path)
+    try:
+        sinks.write_table(table(spark, d, "region"), path)
+    except AnalysisException:
+        sinks.write_table(table(spark, d, "region"), path, "overwrite")
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_clean": conform_clean,
     "conform_quarantine": conform_quarantine,
@@ -344,4 +410,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_ddl": schema_ddl,
     "param_order": param_order,
     "csv_scan": csv_scan,
+    "csv_texts": csv_texts,
+    "name_counts": name_counts,
+    "fct_events_timed": fct_events_timed,
+    "schema_types": schema_types,
+    "log_appended": log_appended,
+    "table_replaced": table_replaced,
 }

@@ -34,12 +34,11 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
                 "count(num) FILTER (WHERE offense_name = 'O') AS o, "
                 "count(num) FILTER (WHERE offense_name = 'R') AS r "
                 "FROM names GROUP BY id, name_cnt", ("names",)),
-    "big": (f"SELECT {_HOUR} AS datetime, event_type AS stn, count(value) AS big FROM events "
-            f"WHERE value >= 50 GROUP BY ALL", ()),
-    "hi": (f"SELECT {_HOUR} AS datetime, event_type AS stn, max(value) AS hi FROM events "
-           f"WHERE value < 30 GROUP BY ALL", ()),
-    "lo": (f"SELECT {_HOUR} AS datetime, event_type AS stn, min(value) AS lo FROM events "
-           f"WHERE value >= 5 GROUP BY ALL", ()),
+    "big": ("SELECT date_trunc('hour', o_orderdate) AS datetime, n_name AS stn, count(o_orderkey) AS big FROM orders "
+            "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL", ()),
+    "hi": ("SELECT date_trunc('hour', l_shipdate) AS datetime, n_name AS stn, max(l_extendedprice) AS hi FROM lineitem "
+           "JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL", ()),
+    "lo": (f"SELECT {_HOUR} AS datetime, event_type AS stn, min(value) AS lo FROM events GROUP BY ALL", ()),
     "measures": ("SELECT * FROM big FULL JOIN hi USING (datetime, stn) FULL JOIN lo USING (datetime, stn)",
                  ("big", "hi", "lo")),
     "wide": (f"SELECT {_HOUR} AS datetime, "
@@ -48,16 +47,14 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
              "max(value) FILTER (WHERE event_type = 'purchase') AS purchase, "
              "max(value) FILTER (WHERE event_type = 'signup') AS signup, "
              "max(value) FILTER (WHERE event_type = 'view') AS view FROM events GROUP BY 1", ()),
-    "ev_dates": ("SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS id, CAST(d AS DATE) AS date "
-                 "FROM range((SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) FROM events), "
-                 "(SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) FROM events) + INTERVAL 1 DAY, "
-                 "INTERVAL 1 DAY) t(d)", ()),
-    "hours": ("SELECT CAST(range AS INTEGER) AS id, "
-              "strftime(TIMESTAMP '2030-01-01' + to_hours(CAST(range AS INTEGER)), '%H:%M:%S') AS hour "
+    # the first day that any measure has: ids of days and hours follow by arithmetic
+    "day_one": ("SELECT CAST(least((SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem), "
+                "(SELECT min(ts) FROM events)) AS DATE) AS first_day", ()),
+    "hours": ("SELECT CAST(range AS INTEGER) AS id, lpad(CAST(range AS VARCHAR), 2, '0') || ':00:00' AS hour "
               "FROM range(24)", ()),
-    "fct_m": ("SELECT dd.id AS date_id, dh.id AS hour_id, md.* FROM measures md "
-              "JOIN ev_dates dd ON CAST(md.datetime AS DATE) = dd.date "
-              "JOIN hours dh ON extract(hour FROM md.datetime) = dh.id", ("measures", "ev_dates", "hours")),
+    "fct_m": ("SELECT CAST(date_diff('day', first_day, CAST(datetime AS DATE)) + 1 AS INTEGER) AS date_id, "
+              "CAST(extract(hour FROM datetime) AS INTEGER) AS hour_id, measures.* FROM measures, day_one "
+              "WHERE datetime IS NOT NULL", ("measures", "day_one")),
     "bounds": ("SELECT least(CAST((SELECT min(o_orderdate) FROM orders) AS DATE), "
                "CAST((SELECT min(l_shipdate) FROM lineitem) AS DATE), DATE '1994-12-01') AS lo, "
                "greatest(CAST((SELECT max(o_orderdate) FROM orders) AS DATE), "
@@ -65,13 +62,12 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "dates": ("SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS id, CAST(d AS DATE) AS date "
               "FROM range((SELECT CAST(lo AS TIMESTAMP) FROM bounds), "
               "(SELECT CAST(hi AS TIMESTAMP) FROM bounds) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)", ("bounds",)),
-    "fct_e": ("SELECT dd.id AS date_id, dh.id AS hour_id, c.id, c.l_orderkey, c.day, c.incident_time, "
-              "c.offenses, p.name_cnt, p.not_named, p.a, p.f, p.n, p.o, p.r "
-              "FROM incidents c JOIN pivoted p ON c.id = p.id "
-              "LEFT JOIN dates dd ON c.day = dd.date LEFT JOIN hours dh ON c.incident_time = dh.hour",
-              ("incidents", "pivoted", "dates", "hours")),
+    # the day's number, if the dimension reaches it; no event of this binding has a time of day
+    "fct_e": ("SELECT CASE WHEN day BETWEEN lo AND hi THEN CAST(date_diff('day', lo, day) + 1 AS INTEGER) END AS date_id, "
+              "CAST(NULL AS INTEGER) AS hour_id, incidents.*, pivoted.* EXCLUDE (id) "
+              "FROM incidents JOIN pivoted USING (id), bounds", ("incidents", "pivoted", "bounds")),
     "stations": ("SELECT DISTINCT n_nationkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey", ()),
-    "params": ("SELECT DISTINCT r_name FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    "params": ("SELECT DISTINCT r_name, r_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey "
                "JOIN region ON n_regionkey = r_regionkey", ()),
 }
 
@@ -120,9 +116,8 @@ ORACLE_SQL: dict[str, str] = {
     "key_surplus": "SELECT count(text) - count(DISTINCT text) AS surplus FROM documents",
     "pk_violations": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
                      "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
-    "fk_orphans": "SELECT l_orderkey, count(*) AS n FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS "
-                  "(SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P') "
-                  "GROUP BY l_orderkey",
+    "fk_orphans": "SELECT doc_id, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) "
+                  "GROUP BY doc_id",
     "length_violations": "SELECT p_partkey, p_name, CAST(length(p_name) AS INTEGER) AS len FROM part "
                          "WHERE length(p_name) > 10",
     "length_violations_all": "SELECT p_partkey, 'p_name' AS column, CAST(length(p_name) AS INTEGER) AS len "
@@ -169,13 +164,29 @@ ORACLE_SQL: dict[str, str] = {
     "fct_events_joined": _with("SELECT * FROM fct_e", "fct_e"),
     "pivot_lists": _with("SELECT * FROM pivoted", "pivoted"),
     "fct_readback": _with("SELECT * FROM fct_m", "fct_m"),
-    "star_daily": _with("SELECT dd.date, max(f.hi) AS hi, min(f.lo) AS lo, CAST(sum(f.big) AS BIGINT) AS big, "
-                        "count(*) AS n_rows FROM fct_m f JOIN ev_dates dd ON f.date_id = dd.id GROUP BY dd.date",
-                        "fct_m", "ev_dates"),
-    "schema_ddl": _with("SELECT p.r_name AS tbl_name, 'datetime TIMESTAMP, ' || string_agg(s.n_name || ' ' || "
-                        "p.r_name, ', ' ORDER BY s.n_nationkey) AS col_defs FROM params p, stations s "
+    "star_daily": _with("SELECT CAST(datetime AS DATE) AS date, max(hi) AS hi, min(lo) AS lo, "
+                        "CAST(sum(big) AS BIGINT) AS big, count(*) AS n_rows FROM measures GROUP BY 1", "measures"),
+    "schema_ddl": _with("SELECT p.r_name AS tbl_name, 'datetime DATETIME, ' || string_agg(s.n_name || ' DECIMAL(6, ' || "
+                        "p.r_regionkey || ')', ', ' ORDER BY s.n_nationkey) AS col_defs FROM params p, stations s "
                         "GROUP BY p.r_name", "params", "stations"),
-    "param_order": "SELECT * FROM (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) AS INTEGER) AS num "
-                   "FROM (SELECT DISTINCT p_brand FROM part)) WHERE num > 1",
+    "schema_types": _with("SELECT p.r_name AS tbl_name, 'struct<datetime:timestamp_ntz,' || string_agg(s.n_name || "
+                          "':decimal(6,' || p.r_regionkey || ')', ',' ORDER BY s.n_nationkey) || '>' AS struct "
+                          "FROM params p, stations s GROUP BY p.r_name", "params", "stations"),
+    "param_order": "SELECT p_brand, CAST(rank() OVER (ORDER BY p_brand) AS INTEGER) AS num "
+                   "FROM (SELECT DISTINCT p_brand FROM part)",
+    "csv_texts": "SELECT doc_id, text, '\"' || source || '\\\\\",' AS quoted, CAST(n_chars / 8 AS DECIMAL(12,3)) AS eighth, "
+                 "n_chars % 2 = 0 AS even, TIMESTAMP '2020-01-01' + to_seconds(doc_id) AS written FROM documents",
+    "name_counts": _with("SELECT id, name_cnt, offense_name, count(*) AS n FROM names GROUP BY ALL", "names"),
+    "fct_events_timed": _with(
+        "SELECT CAST(date_diff('day', first_day, CAST(reported AS DATE)) + 1 AS INTEGER) AS date_id, "
+        "CAST(extract(hour FROM reported) AS INTEGER) AS hour_id, row_number() OVER (ORDER BY offenses, reported) AS id, offenses, "
+        "CAST(reported AS DATE) AS day, strftime(reported, '%H:%M:%S') AS incident_time, CAST(1 AS BIGINT) AS name_cnt, "
+        + ", ".join(f"CAST(offenses = '{x}' AS BIGINT) AS {x}" for x in ("click", "error", "purchase", "signup", "view"))
+        + f" FROM (SELECT DISTINCT event_type AS offenses, {_HOUR} AS reported FROM events), day_one", "day_one"),
+    "log_appended": "SELECT 'stage' AS schema_name, 'lineitem' AS table_name, 'Duplicate records found in ' || n || "
+                    "' groups of lineitem; repeats were removed.' AS message FROM (SELECT count(*) AS n FROM "
+                    "(SELECT 1 FROM lineitem GROUP BY l_partkey, l_suppkey, l_returnflag HAVING count(*) > 1)), range(2) "
+                    "WHERE n > 0",
+    "table_replaced": "SELECT * FROM region",
     "csv_scan": "SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part",
 }

@@ -13,6 +13,8 @@ log) and ``mart/`` (dimensions and facts).
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,18 +58,24 @@ DIMENSION_SORT_KEYS = {
     "dim_agencies": ["ori_lat", "ori_long"],
     "dim_weather_stations": ["stn_country", "stn_city"],
     "dim_dates": ["date"],
-    "dim_hours": ["id"],
+    "dim_hours": ["hour"],
 }
 
 # Declared string lengths checked by V4.
 AGENCY_LENGTHS = {"ori": 9, "agency": 100, "agency_type": 100, "state": 50, "state_abbr": 2,
                   "division": 150, "region": 150, "region_desc": 150, "county": 150}
+STATION_LENGTHS = {"stn_city": 100, "stn_country": 100}
+SPEC_LENGTHS = {"tbl_name": 64, "col_fmt": 64}
 INCIDENT_LENGTHS = {"ori": 9, "population_group_code": 200, "population_group_desc": 150,
                     "offender_race": 200, "offender_ethnicity": 500, "offenses": 800,
                     "location_name": 500, "bias_desc": 800, "victim_types": 500,
                     "multiple_offense": 20, "multiple_bias": 20}
 
 
+#: A build makes all tables anew: it refuses to replace any, or replaces them all.
+BUILD_MODES = ("errorifexists", "overwrite")
+
+
 @dataclass
 class StarConfig:
     data_root: str
@@ -79,9 +87,20 @@ class StarConfig:
     check_headers: bool = False
     empty_strings: str = "null"
     scale_mode: str = "round"
+    timestamp_format: str | None = None
+    multi_line: bool = False
     stage: str = "stage"
     mart: str = "mart"
 
+    def __post_init__(self):
+        if self.mode not in BUILD_MODES:
+            raise ValueError(f"mode must be one of {BUILD_MODES}")
+
+    @property
+    def csv_options(self) -> dict:
+        return {"empty_strings": self.empty_strings, "scale_mode": self.scale_mode,
+                "timestamp_format": self.timestamp_format, "multi_line": self.multi_line}
+
 
 @dataclass
 class Star:
@@ -96,14 +115,22 @@ def _path(cfg: StarConfig, area: str, name: str) -> str:
     return f"{cfg.out_root.rstrip('/')}/{area}/{name}"
 
 
-def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list[str]]:
-    """Specs → schemas → wide files → long tables → one combined measure table."""
+def _read_specs(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, DataFrame]:
     root = cfg.data_root.rstrip("/")
-    specs = csv_src.read_positional_csv(spark, f"{root}/auxfs/meteoparam_names_fmts.csv", SPECS_SCHEMA)
-    stations = csv_src.read_ordered_names(spark, f"{root}/auxfs/station_names.csv")
-    schemas = schema.measure_schemas(specs, stations)
+    return (csv_src.read_positional_csv(spark, f"{root}/auxfs/meteoparam_names_fmts.csv", SPECS_SCHEMA),
+            csv_src.read_ordered_names(spark, f"{root}/auxfs/station_names.csv"))
+
+
+def load_measures(spark: SparkSession, cfg: StarConfig,
+                  staged: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> tuple[DataFrame, list[str]]:
+    """Specs → schemas → wide files → long tables → one combined measure table.
+
+    ``staged`` stores each long table, so that the raw file is read once for it.
+    """
+    root = cfg.data_root.rstrip("/")
+    schemas = schema.measure_schemas(*_read_specs(spark, cfg))
     names = [f.name for f in next(iter(schemas.values())).fields[1:]] if schemas else []
-    longs, wides = {}, []
+    longs = {}
     for param, struct in schemas.items():
         # Values bind by position: a file with another number of stations would
         # label every value with the wrong station, so that always fails; the
@@ -113,76 +140,74 @@ def load_measures(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, list
             raise ValueError(f"{param}.csv has {len(header) - 1} station columns, the spec lists {len(names)}")
         if cfg.check_headers and [h.lower() for h in header[1:]] != [n.lower() for n in names]:
             raise ValueError(f"{param}.csv station columns {header[1:]} differ from the spec {names}")
-        wide = csv_src.read_measure_csv(spark, f"{root}/meteodata", param, struct,
-                                        empty_strings=cfg.empty_strings, scale_mode=cfg.scale_mode)
-        wides.append(wide)
-        longs[param] = reshape.unpivot_measures(wide, ["datetime"], names, "stn", param)
+        wide = csv_src.read_measure_csv(spark, f"{root}/meteodata", param, struct, **cfg.csv_options)
+        longs[param] = staged(reshape.unpivot_measures(wide, ["datetime"], names, "stn", param), f"long_{param}")
     unique = cfg.assume_unique_measures
     if unique is None:
-        # (datetime, stn) is unique in a long table exactly when datetime is
-        # unique in its wide file: a one-column check, combined map-side, that
-        # lets the combine run as one aggregate instead of a chain of joins.
-        unique = all(_unique_non_null(w, "datetime") for w in wides)
+        # Each wide row gives one long row per station, so (datetime, stn) is unique
+        # if datetime is among the rows of one station. Then the combine runs as one
+        # aggregate instead of a chain of joins.
+        unique = all(_unique_non_null(long.where(F.col("stn") == names[0]), "datetime") for long in longs.values())
     return reshape.full_join_measures(longs, ["datetime", "stn"], unique), names
 
 
 def _unique_non_null(df: DataFrame, col: str) -> bool:
     repeated = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
                 .where(F.col("n") > 1))
-    return repeated.limit(1).count() == 0
+    return repeated.isEmpty()
 
 
 def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star:
     """Build every table. With ``write=True`` the intermediate tables that are used
-    more than once (distinct dimension rows, the long measures, the cleaned
-    incidents) are stored once in the stage area and read back, as the source
-    design stores them, so no raw input is read more than once per table."""
+    more than once (distinct dimension rows, the long measures, the combined
+    measures) are stored in a folder of this run under the stage area and read
+    back, so each raw input is read once for its rows and nothing of an earlier run
+    is ever read; the cleaned incidents are stored by their id layout. Key checks
+    are bound to the tables written, not to the plans that made them."""
     root = cfg.data_root.rstrip("/")
-    read = lambda p, s: csv_src.read_positional_csv(
-        spark, f"{root}/{p}", s, empty_strings=cfg.empty_strings, scale_mode=cfg.scale_mode)
-    stage_path = (lambda name: _path(cfg, cfg.stage, name)) if write else (lambda name: None)
+    read = lambda p, s: csv_src.read_positional_csv(spark, f"{root}/{p}", s, **cfg.csv_options)
+    run = f"run-{uuid.uuid4().hex}"
+    stage_path = (lambda name: _path(cfg, cfg.stage, f"{run}/{name}")) if write else (lambda name: None)
 
     def staged(df: DataFrame, name: str, sort: str | None = None) -> DataFrame:
         if not write:
             return df
-        sinks.write_table(df.sortWithinPartitions(sort) if sort else df, stage_path(name), cfg.mode)
+        sinks.write_table(df.sortWithinPartitions(sort) if sort else df, stage_path(name))
         return spark.read.parquet(stage_path(name))
 
     logs: list[DataFrame] = []
 
     agencies = quality.conform_dimension(read("agencies.csv", AGENCIES_SCHEMA), ["ori"],
-                                         copies_path=stage_path("agencies_distinct"), copies_mode=cfg.mode)
+                                         copies_path=stage_path("agencies_distinct"))
     logs.append(quality.audit_rows(agencies.audit, cfg.stage, "agencies"))
 
     ws_raw = read("meteodata/weather_stations.csv", STATIONS_SCHEMA)
     stations = quality.conform_dimension(ws_raw, ["stn_lat", "stn_long"],
-                                         copies_path=stage_path("weather_stations_distinct"),
-                                         copies_mode=cfg.mode)
+                                         copies_path=stage_path("weather_stations_distinct"))
     logs.append(quality.audit_rows(stations.audit, cfg.stage, "weather_stations"))
     dim_stations = quality.add_slug_key(stations.clean, "stn_city", "stn_name")
 
     incidents, incident_audit = ev.clean_events(read("crime_incidents.csv", INCIDENTS_SCHEMA),
                                                 INCIDENT_KEEP, date_col="incident_date")
-    incidents = staged(incidents, "ci2")
     logs.append(quality.audit_rows(incident_audit, cfg.stage, "crime_incidents"))
-
+    vocab = reshape.list_vocabulary(incidents, "offenses")
     names = reshape.split_to_rows(incidents, ["id"], "offenses")
-    pivoted = reshape.pivot_counts(names, ["id", "name_cnt"], vocab=reshape.vocabulary(names, "offense_name"))
+    pivoted = reshape.pivot_counts(names, ["id", "name_cnt"], vocab=vocab)
 
-    measures, _ = load_measures(spark, cfg)
+    measures, _ = load_measures(spark, cfg, staged)
     # The long measure table is stored in datetime order (within each file).
     measures = staged(measures, "meteodata_unpivoted", sort="datetime")
     dates = generators.dim_dates_between(
         spark, [(incidents, "incident_date"), (measures, "datetime")], cfg.start_not_later, cfg.end_not_earlier)
     hours = generators.dim_hours(spark)
 
-    fct_meteodata = facts.build_measure_fact(measures, dates, hours)
-    fct_incidents = facts.build_event_fact(incidents, pivoted, dates, hours, ["id"], "incident_date",
-                                           "incident_time")
     tables = {
         "dim_agencies": agencies.clean, "dim_weather_stations": dim_stations,
         "dim_dates": dates, "dim_hours": hours,
-        "fct_meteodata": fct_meteodata, "fct_crime_incidents": fct_incidents,
+        "fct_meteodata": facts.build_measure_fact(measures, dates, hours),
+        # ids are unique, so the names of each row are counted in place
+        "fct_crime_incidents": facts.build_event_fact_from_lists(incidents, "offenses", dates, hours, "incident_date",
+                                                                 "incident_time", vocab=vocab),
         "agencies_ir": agencies.quarantine, "full_dupe_oris": agencies.full_dupe_keys,
         "ws_ir": stations.quarantine, "full_dupe_latlongs": stations.full_dupe_keys,
         "ci2": incidents, "ci_offense_names_normalized": names,
@@ -192,36 +217,43 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
     for more in logs[1:]:
         log = log.unionByName(more)
 
-    # Key checks run after every dimension exists (the facts refer to all of them).
-    checks = {
-        "pk_dim_agencies": quality.check_unique(agencies.clean, ["ori"]),
-        "pk_dim_weather_stations": quality.check_unique(dim_stations, ["stn_name"]),
-        "pk_fct_crime_incidents": quality.check_unique(fct_incidents, ["id"]),
-        "fk_incidents_agencies": quality.check_foreign_key(fct_incidents, agencies.clean, ["ori"]),
-        "fk_incidents_dates": quality.check_foreign_key(fct_incidents, dates, ["date_id"], ["id"]),
-        "fk_incidents_hours": quality.check_foreign_key(fct_incidents, hours, ["hour_id"], ["id"]),
-        "fk_meteodata_stations": quality.check_foreign_key(fct_meteodata, dim_stations, ["stn"], ["stn_name"]),
-        "fk_meteodata_dates": quality.check_foreign_key(fct_meteodata, dates, ["date_id"], ["id"]),
-        "fk_meteodata_hours": quality.check_foreign_key(fct_meteodata, hours, ["hour_id"], ["id"]),
-        "len_agencies": quality.check_all_lengths(agencies.clean, AGENCY_LENGTHS, ["ori"]),
-        "len_incidents": quality.check_all_lengths(incidents, INCIDENT_LENGTHS, ["id"]),
-    }
-
     if write:
         for name, sort_keys in DIMENSION_SORT_KEYS.items():
             # Dimensions are small (they are broadcast): a global sort is cheap.
             sinks.write_table(tables[name].orderBy(*sort_keys), _path(cfg, cfg.mart, name), cfg.mode)
-        sinks.write_fact(fct_incidents, _path(cfg, cfg.mart, "fct_crime_incidents"), "ori",
+        sinks.write_fact(tables["fct_crime_incidents"], _path(cfg, cfg.mart, "fct_crime_incidents"), "ori",
                          ["ori", "date_id", "hour_id"], cfg.mode)
-        sinks.write_fact(fct_meteodata, _path(cfg, cfg.mart, "fct_meteodata"), "stn",
+        sinks.write_fact(tables["fct_meteodata"], _path(cfg, cfg.mart, "fct_meteodata"), "stn",
                          ["stn", "date_id", "hour_id"], cfg.mode)
         for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs"):
-            sinks.write_table(tables[name], _path(cfg, cfg.stage, name), cfg.mode)
+            table = tables[name].sort("ori") if name == "agencies_ir" else tables[name]
+            sinks.write_table(table, _path(cfg, cfg.stage, name), cfg.mode)
         sinks.append_log(log, _path(cfg, cfg.stage, "log_table"))
         tables = {n: spark.read.parquet(_path(cfg, cfg.mart, n)) if n.startswith(("dim_", "fct_")) else df
                   for n, df in tables.items()}
-    return Star(tables, log, checks)
-
+    return Star(tables, log, _checks(tables, _read_specs(spark, cfg)[0]))
+
+
+def _checks(t: dict[str, DataFrame], specs: DataFrame) -> dict[str, DataFrame]:
+    """Key and length checks of the given tables; they come last, as facts refer to all dimensions."""
+    met, inc = t["fct_meteodata"], t["fct_crime_incidents"]
+    return {
+        "pk_dim_agencies": quality.check_unique(t["dim_agencies"], ["ori"]),
+        "pk_dim_weather_stations": quality.check_unique(t["dim_weather_stations"], ["stn_name"]),
+        "pk_dim_dates": quality.check_unique(t["dim_dates"], ["id"]),
+        "pk_dim_hours": quality.check_unique(t["dim_hours"], ["id"]),
+        "pk_fct_crime_incidents": quality.check_unique(inc, ["id"]),
+        "fk_incidents_agencies": quality.check_foreign_key(inc, t["dim_agencies"], ["ori"]),
+        "fk_incidents_dates": quality.check_foreign_key(inc, t["dim_dates"], ["date_id"], ["id"]),
+        "fk_incidents_hours": quality.check_foreign_key(inc, t["dim_hours"], ["hour_id"], ["id"]),
+        "fk_meteodata_stations": quality.check_foreign_key(met, t["dim_weather_stations"], ["stn"], ["stn_name"]),
+        "fk_meteodata_dates": quality.check_foreign_key(met, t["dim_dates"], ["date_id"], ["id"]),
+        "fk_meteodata_hours": quality.check_foreign_key(met, t["dim_hours"], ["hour_id"], ["id"]),
+        "len_agencies": quality.check_all_lengths(t["dim_agencies"], AGENCY_LENGTHS, ["ori"]),
+        "len_weather_stations": quality.check_all_lengths(t["dim_weather_stations"], STATION_LENGTHS, ["stn_name"]),
+        "len_specs": quality.check_all_lengths(specs, SPEC_LENGTHS, ["tbl_name"]),
+        "len_incidents": quality.check_all_lengths(inc, INCIDENT_LENGTHS, ["id"]),
+    }
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -231,22 +263,25 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Build the star schema from raw files.")
     p.add_argument("data_root")
     p.add_argument("out_root")
-    p.add_argument("--mode", default="errorifexists", choices=sinks.MODES)
+    p.add_argument("--mode", default="errorifexists", choices=BUILD_MODES)
     p.add_argument("--start-not-later")
     p.add_argument("--end-not-earlier")
-    p.add_argument("--assume-unique-measures", action="store_true")
+    p.add_argument("--assume-unique-measures", action=argparse.BooleanOptionalAction, default=None)
     p.add_argument("--check-headers", action="store_true")
     p.add_argument("--empty-strings", default="null", choices=["null", "keep"])
     p.add_argument("--scale-mode", default="round", choices=["round", "truncate"])
+    p.add_argument("--timestamp-format")
+    p.add_argument("--multi-line", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("asterism-build-star").getOrCreate()
     cfg = StarConfig(data_root=a.data_root, out_root=a.out_root, mode=a.mode,
                      start_not_later=a.start_not_later, end_not_earlier=a.end_not_earlier,
                      assume_unique_measures=a.assume_unique_measures, check_headers=a.check_headers,
-                     empty_strings=a.empty_strings, scale_mode=a.scale_mode)
+                     empty_strings=a.empty_strings, scale_mode=a.scale_mode,
+                     timestamp_format=a.timestamp_format, multi_line=a.multi_line)
     star = build_star(spark, cfg)
     for name, check in star.checks.items():
-        bad = check.limit(1).count()
+        bad = not check.isEmpty()
         print(f"{name}: {'violations found' if bad else 'ok'}")
 
 

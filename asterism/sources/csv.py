@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DecimalType, StringType, StructField, StructType, TimestampNTZType
 
 from asterism.functions.columns import quoted
+from asterism.operators.events import with_surrogate_id
 
 # Fixed value: the null marker used when empty strings must stay empty.
 KEEP_EMPTY_NULL_VALUE = "\\N"
@@ -22,54 +23,102 @@ def _as_struct(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
+# The dialect of the source's loads: a quote inside quotes is doubled, a backslash
+# is an ordinary character.
+DIALECT = {"quote": '"', "escape": '"'}
+
+# The spellings of booleans that a load accepts (any case), and the
+# formats tried for a timestamp after ISO 8601.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+FALSE_TEXTS = ("f", "false", "n", "no", "0")
+TIME_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "d-MMM-yyyy[ H:mm[:ss]]")
+
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _boolean(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False)
+
+
+def _timestamp(text: Column, formats: Sequence[str]) -> Column:
+    return F.coalesce(text.try_cast("timestamp_ntz"),
+                      *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
+def _truncated(text: Column, kind: DecimalType) -> Column:
+    # the whole text must be a number; digits beyond the scale go, whatever the sign
+    number = F.when(text.rlike(_NUMBER), text.try_cast(DecimalType(38, max(18, kind.scale))))
+    cut = F.when(number < 0, F.ceil(number, F.lit(kind.scale))).otherwise(F.floor(number, F.lit(kind.scale)))
+    return cut.try_cast(kind)
+
+
 def read_positional_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str,
                         header: bool = True, mode: str = "FAILFAST",
                         empty_strings: str = "null", scale_mode: str = "round",
                         timestamp_format: str | None = None,
-                        corrupt_column: str | None = None) -> DataFrame:
+                        corrupt_column: str | None = None, multi_line: bool = False) -> DataFrame:
     """Read CSV with a fixed schema bound by position.
 
+    Quotes inside a quoted field are doubled; a backslash is an ordinary character.
+    ``multi_line`` allows line breaks inside quotes; such files are read whole, one
+    task each, so it is off by default. A quoted line break then leaves a row short,
+    which fails, unless it stands in the last column and what follows it happens to
+    have as many fields as a row: files that may hold such texts need ``multi_line``.
     ``mode="FAILFAST"`` fails the job on a short row or a value that does not fit
     its type (e.g. decimal overflow); ``"PERMISSIVE"`` with ``corrupt_column``
     keeps bad lines aside instead. ``empty_strings="keep"`` keeps a quoted
     ``""`` as an empty string (an unquoted empty field is still NULL).
     ``scale_mode`` decides how extra decimal digits fit ``DECIMAL(p,s)``:
-    ``"round"`` (half up) or ``"truncate"``.
+    ``"round"`` (half up) or ``"truncate"``. Booleans take the spellings above;
+    timestamps ISO 8601 and ``TIME_FORMATS``, or ``timestamp_format`` alone.
     """
     target = _as_struct(schema)
     if scale_mode not in ("round", "truncate"):
         raise ValueError("scale_mode must be 'round' or 'truncate'")
-    read_schema = target
-    decimals = [f for f in target.fields if isinstance(f.dataType, DecimalType)]
-    if scale_mode == "truncate" and decimals:
-        read_schema = StructType([StructField(f.name, StringType(), f.nullable)
-                                  if isinstance(f.dataType, DecimalType) else f for f in target.fields])
+
+    def parsed(f: StructField) -> Column | None:
+        """The field from its text, where the reader's own parser is too narrow."""
+        text = F.trim(quoted(f.name))
+        if isinstance(f.dataType, BooleanType):
+            return _boolean(text)
+        if isinstance(f.dataType, TimestampNTZType):
+            if timestamp_format:
+                return F.try_to_timestamp(text, F.lit(timestamp_format)).cast("timestamp_ntz")
+            return _timestamp(text, TIME_FORMATS)
+        if isinstance(f.dataType, DecimalType) and scale_mode == "truncate":
+            return _truncated(text, f.dataType)
+        return None
+
+    as_text = {f.name for f in target.fields if parsed(f) is not None}
+    read_schema = StructType([StructField(f.name, StringType(), f.nullable) if f.name in as_text else f
+                              for f in target.fields])
     if corrupt_column:
         read_schema = StructType(read_schema.fields + [StructField(corrupt_column, StringType())])
-    reader = spark.read.schema(read_schema).option("header", header).option("mode", mode)
-    reader = reader.option("enforceSchema", True)
+    reader = (spark.read.schema(read_schema).options(**DIALECT).option("header", header).option("mode", mode)
+              .option("multiLine", multi_line).option("enforceSchema", True))
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if empty_strings == "keep":
         reader = reader.option("nullValue", KEEP_EMPTY_NULL_VALUE).option("emptyValue", "")
     elif empty_strings != "null":
         raise ValueError("empty_strings must be 'null' or 'keep'")
-    if timestamp_format:
-        reader = reader.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     df = reader.csv(path)
-    if scale_mode == "truncate" and decimals:
-        cols = []
-        for f in target.fields:
-            if isinstance(f.dataType, DecimalType):
-                pattern = rf"^([+-]?\d*(\.\d{{0,{f.dataType.scale}}})?)"
-                kept = F.regexp_extract(F.trim(quoted(f.name)), pattern, 1).cast(f.dataType)
-                cols.append(F.when(quoted(f.name).isNull(), None).otherwise(kept).alias(f.name))
-            else:
-                cols.append(quoted(f.name))
-        if corrupt_column:
-            cols.append(quoted(corrupt_column))
-        df = df.select(*cols)
-    return df
+
+    def checked(f: StructField) -> Column:
+        raw = quoted(f.name)
+        if f.name not in as_text:
+            return raw
+        value = F.when(F.trim(raw) == "", None).otherwise(parsed(f))
+        if mode == "FAILFAST":
+            bad = raw.isNotNull() & (F.trim(raw) != "") & value.isNull()
+            failed = F.raise_error(F.concat(F.lit(f"not a {f.dataType.simpleString()} in {f.name}: "), raw))
+            value = F.when(bad, failed).otherwise(value)
+        return value.cast(f.dataType).alias(f.name)
+
+    if not as_text:
+        return df
+    return df.select(*[checked(f) for f in target.fields], *([quoted(corrupt_column)] if corrupt_column else []))
 
 
 def read_measure_csv(spark: SparkSession, root: str, name: str, schema: StructType | str,
@@ -78,30 +127,24 @@ def read_measure_csv(spark: SparkSession, root: str, name: str, schema: StructTy
     return read_positional_csv(spark, f"{root.rstrip('/')}/{name}.csv", schema, **options)
 
 
-# A spec of names is tens of lines; past this it is not a spec, and numbering it
-# in one window would gather a large input into one task.
-MAX_SPEC_NAMES = 10_000
-
-
 def read_ordered_names(spark: SparkSession, path: str, name_col: str = "station_name",
-                       id_col: str = "id", expected: Sequence[str] | None = None,
-                       max_names: int = MAX_SPEC_NAMES) -> DataFrame:
-    """A headerless one-name-per-line spec file with its 1-based line order.
+                       id_col: str = "id", expected: Sequence[str] | None = None) -> DataFrame:
+    """A headerless one-name-per-line CSV file with its 1-based line order.
 
     Order matters: wide columns are labelled by it. Blank lines are skipped.
     When ``expected`` (e.g. the header of the data file) is given, the names must
     match it in order, else this raises instead of mislabelling every value.
-    The file is a spec of tens of lines, so numbering in one window is bounded;
-    more than ``max_names`` lines raise.
+    Numbering is by a range layout, so no task sees all names; it writes the names
+    once under the scratch folder when called.
     """
-    lines = (spark.read.text(path)
-             .select(F.monotonically_increasing_id().alias("_at"), F.trim("value").alias(name_col))
+    lines = (spark.read.schema("name STRING").options(**DIALECT).csv(path)
+             .select(F.monotonically_increasing_id().alias("_at"), F.trim("name").alias(name_col))
              .where(F.col(name_col) != ""))
-    if lines.limit(max_names + 1).count() > max_names:
-        raise ValueError(f"{path} has more than {max_names} names; not a spec file")
-    out = lines.select(F.row_number().over(Window.orderBy("_at")).cast("int").alias(id_col), name_col)
+    out = (with_surrogate_id(lines, id_col, ["_at"])
+           .select(F.col(id_col).cast("int").alias(id_col), quoted(name_col)))
     if expected is not None:
-        got = [r[0] for r in out.orderBy(id_col).select(name_col).collect()]
+        # no more names than the caller holds, and one to see that there are others
+        got = [r[1] for r in out.where(quoted(id_col) <= len(expected) + 1).orderBy(id_col).collect()]
         if [g.lower() for g in got] != [e.lower() for e in expected]:
             raise ValueError(f"names in {path} do not match the expected order: {got} vs {list(expected)}")
     return out
@@ -109,10 +152,18 @@ def read_ordered_names(spark: SparkSession, path: str, name_col: str = "station_
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """The header names of a CSV file (first line only)."""
-    first = spark.read.option("header", False).csv(path).first()
+    first = spark.read.options(**DIALECT).option("header", False).csv(path).first()
     return [v for v in first] if first else []
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` with a header line in the dialect that :func:`read_positional_csv` reads back
+    (with ``multi_line`` and ``empty_strings="keep"`` where texts hold line breaks or are empty)."""
+    (df.write.options(**DIALECT).option("header", True).option("nullValue", KEEP_EMPTY_NULL_VALUE)
+     .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The JSON manifest of input files: one row per ``{local, s3}`` pair."""
     return (spark.read.option("multiLine", True).json(path)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from asterism.functions.columns import quoted
 
+#: Tasks that share one value of the distribution key in the hash layout.
+SALTS = 8
+
 MODES = ("errorifexists", "overwrite", "append", "ignore")
 
 
@@ -45,7 +48,8 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
     keys: files hold contiguous, sorted key ranges, and one hot ``dist_key``
     value is split across several files by the following sort keys (and by a
     row hash when all keys are equal).
-    ``layout="hash"`` hash-partitions on ``dist_key`` (every value in one file).
+    ``layout="hash"`` hash-partitions on ``dist_key`` and a salt of SALTS values, so a
+    value lies in at most that many files and a hot one is shared by as many tasks.
     ``layout="bucket"`` saves a catalog table bucketed by ``dist_key`` and sorted
     by ``sort_keys`` so later joins on the key skip their shuffle; ``target`` is
     then a table name.
@@ -63,10 +67,12 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
         laid = ranged.sortWithinPartitions(*order)
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "hash":
-        laid = df.repartition(n, quoted(dist_key)).sortWithinPartitions(*[quoted(k) for k in keys])
+        salt = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SALTS))
+        laid = df.repartition(n, quoted(dist_key), salt).sortWithinPartitions(*[quoted(k) for k in keys])
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "bucket":
-        (df.write.mode(mode).format(fmt).bucketBy(buckets or n, dist_key)
+        # one file a bucket: rows meet in the partition that their bucket is written from
+        (df.repartition(buckets or n, quoted(dist_key)).write.mode(mode).format(fmt).bucketBy(buckets or n, dist_key)
          .sortBy(*keys).saveAsTable(target))
     else:
         raise ValueError("layout must be 'range', 'hash' or 'bucket'")

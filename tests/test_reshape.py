@@ -50,8 +50,6 @@ def test_split_is_narrow(lists):
 def test_vocabulary_sorted_and_bounded(lists):
     names = split_to_rows(lists, ["id"], "offenses")
     assert vocabulary(names, "offense_name") == ["", "A", "B", ODD, "a.b"]
-    with pytest.raises(ValueError, match="too many"):
-        vocabulary(names, "offense_name", max_values=3)
 
 
 def test_pivot_counts_are_counts(spark, lists):
@@ -142,3 +140,30 @@ def test_count_list_names_flags_and_vocabulary(lists):
     assert list_vocabulary(lists, "offenses") == ["", "A", "B", ODD, "a.b"]
     flags = count_list_names(lists.where("id < 4"), "offenses", vocab=["A"], keep_cols=["id"], flags=True)
     assert rows(flags) == [(1, 2, True), (2, 2, True), (3, 1, False)]
+
+
+def test_wide_vocabularies_and_the_long_form(spark):
+    from asterism.operators.reshape import count_names, vocabulary
+
+    df = spark.range(12_000).selectExpr("id % 3 AS g", "concat('n', id) AS offense_name", "1L AS num")
+    assert len(vocabulary(df, "offense_name")) == 12_000
+    assert count_names(df, ["g"]).count() == 12_000
+
+
+def test_null_keys_go_round_the_full_joins(spark):
+    from asterism.operators.reshape import full_join_measures
+
+    a = spark.createDataFrame([(1, "x", 1.0), (None, "x", 2.0), (None, "x", 2.0)], "k int, s string, a double")
+    b = spark.createDataFrame([(1, "x", 5.0), (None, "x", 6.0), (1, None, 7.0)], "k int, s string, b double")
+    want = sorted([(1, "x", 1.0, 5.0), (None, "x", 2.0, None), (None, "x", 2.0, None), (None, "x", None, 6.0),
+                   (1, None, None, 7.0)], key=str)
+    for unique in (False, True):
+        assert sorted((tuple(r) for r in full_join_measures([a, b], ["k", "s"], unique).collect()), key=str) == want
+
+
+def test_union_refuses_repeated_keys(spark):
+    from asterism.operators.reshape import union_measures
+
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, a double")
+    with pytest.raises(Exception, match="repeats"):
+        union_measures([a, spark.createDataFrame([(1, 5.0)], "k int, b double")], ["k"]).collect()

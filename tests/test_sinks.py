@@ -50,3 +50,10 @@ def test_write_fact_spreads_identical_keys(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/hot")
     assert back.count() == 4000
     assert back.select(F.input_file_name()).distinct().count() >= 3
+
+
+def test_hash_layout_shares_a_hot_value(spark, tmp_dir):
+    df = spark.range(20_000).selectExpr("IF(id < 15000, 'hot', concat('k', id % 50)) AS stn", "id AS date_id")
+    write_fact(df, f"{tmp_dir}/h", "stn", ["date_id"], num_partitions=16, layout="hash")
+    files = spark.read.parquet(f"{tmp_dir}/h").selectExpr("stn", "input_file_name() AS f").where("stn = 'hot'").groupBy("f").count()
+    assert files.count() > 1 and files.agg({"count": "max"}).first()[0] <= 7_500

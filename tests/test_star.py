@@ -144,3 +144,38 @@ def test_measures_repeated_datetime_uses_exact_chain(spark, data_root, tmp_dir):
     assert repeated.count() == 4 * 2 + 4
     assert rows(repeated.where("stn = 'Seattle' AND datetime = '2020-01-01 00:00:00'"), "pressure") == [
         (4,), (8,)]
+
+
+def test_rebuild_with_changed_input(spark, data_root, tmp_dir):
+    """Neither mode reads what an earlier run has stored."""
+    cfg = StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out")
+    first = {n: rows(t) for n, t in build_star(spark, cfg).tables.items() if n.startswith(("dim_", "fct_"))}
+    _write(f"{data_root}/agencies.csv", ["hdr", _agency("AA0000001", "Other name"), _agency("AA0000009", "Nine")])
+    with pytest.raises(Exception):
+        build_star(spark, cfg)
+    stored = spark.read.parquet(f"{tmp_dir}/out/mart/dim_agencies")
+    assert rows(stored) == first["dim_agencies"]  # refused: nothing has changed
+    cfg.mode = "overwrite"
+    again = build_star(spark, cfg).tables
+    assert rows(again["dim_agencies"], "ori", "agency") == [("AA0000001", "Other name"), ("AA0000009", "Nine")]
+    assert all(rows(again[n]) == first[n] for n in first if n != "dim_agencies") and rows(again["agencies_ir"]) == []
+    for mode in ("append", "ignore"):
+        with pytest.raises(ValueError, match="mode"):
+            StarConfig(data_root=data_root, out_root=tmp_dir, mode=mode)
+
+
+def test_checks_read_the_written_tables(spark, data_root, tmp_dir):
+    from tests.conftest import plan
+
+    star = build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out"))
+    for name, check in star.checks.items():
+        scans = [line for line in plan(check).splitlines() if "FileScan" in line]
+        assert scans and all("/out/mart/" in s or name == "len_specs" for s in scans), name
+
+
+def test_event_audit_and_measures_read_stored_tables(spark, data_root, tmp_dir):
+    from tests.conftest import plan
+
+    star = build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out"))
+    for frame in (star.log, star.tables["meteodata_unpivoted"], star.tables["ci2"]):
+        assert "FileScan csv" not in plan(frame)
