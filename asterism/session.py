@@ -53,6 +53,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Scratch paths given out and not released yet.
+_given: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared checkpoint folder.
+
+    What is written there stays until :func:`release_scratch`, as results are lazy
+    and read it when they run.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove all scratch written so far, on whatever store it is; the number of paths removed.
+
+    For callers that have stored or consumed every result so far: results that are
+    still lazy lose their input.
+    """
+    removed = 0
+    while _given:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
