@@ -70,3 +70,11 @@ def drop_documents(docs: DataFrame, dropped: DataFrame, name: str, id_col: str =
     """
     ids = spool(dropped.select(F.col("doc_id").alias(id_col)).where(F.col(id_col).isNotNull()).distinct(), name)
     return docs.join(ids, id_col, "left_anti").select(*docs.columns)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called that (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import ascii_lower, drop_documents, id_text, join_groups, spool
+from asterism.llm.common import ascii_lower, drop_documents, fresh, id_text, join_groups, spool
 
 #: Characters of the normalised text that the prefix hash covers.
 PREFIX_CHARS = 128
@@ -70,6 +70,30 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return grouped.select(*out).unionByName(alone)
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` less the rows that :func:`exact_dedup` drops; rows without an id stay."""
-    return drop_documents(docs, exact_dedup(docs).where(~F.col("kept")), "dedup-dropped")
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each text, as judged by :func:`exact_dedup`.
+
+    Rows are taken out by id where the id is that of one row. Where an id repeats or
+    is missing it doesn't tell which row is meant, so these rows, usually few, go by
+    id and digest: first one row of each (combined map-side, so a row may repeat any
+    number of times), then those whose text stays elsewhere are taken out.
+
+    Defined cases: a row that repeats stays once; of rows that share an id and not a
+    text each is judged on its own; a row without an id stays if no row with an id has
+    its text; an empty table gives an empty result; other columns pass through.
+    """
+    verdicts = spool(exact_dedup(docs, id_col, text_col), "dedup-verdicts")
+    unsure = spool(verdicts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+                   .where("rows > 1 or doc_id is null").select(F.col("doc_id").alias(id_col)), "dedup-unsure")
+    named = docs.where(F.col(id_col).isNotNull())
+    single = named.join(unsure, id_col, "left_anti").select(*docs.columns)
+    kept = drop_documents(single, verdicts.where(~F.col("kept")), "dedup-dropped", id_col)
+
+    digest = fresh(docs, "text_sha256")
+    text = ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = named.join(unsure, id_col, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    rows = rows.withColumn(digest, F.sha2(text, 256)).dropDuplicates([id_col, digest])
+    gone = verdicts.where(~F.col("kept")).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha256")).distinct()
+    rest = rows.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.col(digest) == F.col("gone_sha256")), "left_anti")
+    return kept.unionByName(rest.select(*docs.columns))

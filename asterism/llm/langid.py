@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import small_batches
+from asterism.llm.common import fresh, small_batches
 
 #: Bytes of context, and what stands before a text.
 ORDER, PAD = 3, b"\n\n\n"
@@ -250,7 +250,7 @@ def keep_identified(docs: DataFrame, max_bits: float = 8.0) -> DataFrame:
     """``docs`` less the rows whose language can't be told: no letters, or no learned
     language codes the text in fewer than ``max_bits`` a byte (8 is the cost without
     any model)."""
-    model = train(docs)
-    judged = docs.withColumn("_langid", predict(docs, model))
-    told = (F.col("_langid.lang_pred") != UNDETERMINED) & (F.col("_langid.bits_per_byte") < max_bits)
+    model, result = train(docs), fresh(docs, "langid")
+    judged = docs.withColumn(result, predict(docs, model))
+    told = (F.col(f"{result}.lang_pred") != UNDETERMINED) & (F.col(f"{result}.bits_per_byte") < max_bits)
     return judged.where(told).select(*docs.columns)

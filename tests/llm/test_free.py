@@ -44,6 +44,8 @@ def test_language_edges(spark, edge_docs, no_docs):
         assert got[i]["lang_pred"] == "und" and got[i]["score"] == 0
     assert all(got[i]["lang_pred"] in model.langs for i in (4, 5, 13, 15, 21))
     assert langid.identify_languages(no_docs).count() == 0
+    kept = langid.keep_identified(docs.withColumn("langid", F.lit("mine")))  # a column of the result's name passes through
+    assert {r["langid"] for r in kept.select("langid").collect()} == {"mine"}
     only_unlabelled = edge_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in langid.identify_languages(only_unlabelled).collect()} == {"und"}
 

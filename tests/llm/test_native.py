@@ -175,6 +175,21 @@ def test_prefix_twins_are_told_apart(spark):
     assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in got} == {(1, 3, 2), (2, 2, 1), (3, 3, 2)}
 
 
+def test_one_row_of_each_text_stays(spark, edge_docs, no_docs):
+    """Repeated rows, ids shared by different texts, and rows without an id, one of which holds a third of all rows."""
+    rows = [(1, "a", 0), (2, "A", 1), (1, "b", 2), (3, "c", 3), (3, "c", 3), (None, "c", 4), (4, "d", 5), (4, "D", 5),
+            (5, None, 6), (6, "", 7), *[(None, "x", 8)] * 20, (None, "X", 8), (None, None, 9), *((i, f"t{i}", i) for i in range(10, 45))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_sha256 int").repartition(5)
+    kept = dedup.keep_one_of_each(df)
+    got = Counter((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect())
+    assert kept.columns == df.columns
+    assert got == Counter([(2, "a"), (1, "b"), (3, "c"), (4, "d"), (6, ""), (None, "x"), *((i, f"t{i}") for i in range(10, 45))])
+    norm = lambda d: Counter((t or "").translate(UP) for _, t in pairs(d))
+    assert norm(dedup.keep_one_of_each(edge_docs)) == Counter(set(norm(edge_docs)))
+    assert dedup.keep_one_of_each(no_docs).count() == 0
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan(kept))
+
+
 def test_hot_group_is_spread(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") < 20_000, "hot").otherwise(F.col("id").cast("string")).alias("key"), "id")
     groups = spool(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "test-groups")
