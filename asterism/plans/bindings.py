@@ -20,10 +20,13 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from asterism.functions.columns import hour_start
+from asterism.functions.types import spark_type
 from asterism.operators import events as ev
 from asterism.operators import facts, generators, quality, reshape, schema
+from asterism.plans import star
 from asterism.session import scratch_path
 from asterism.sources import csv as csv_src
 from asterism.sources import sinks
@@ -141,20 +144,24 @@ def clean_events(spark, d):
 
 # --- compound name lists: split, vocabulary, pivot ---------------------------------------
 
-def compound(spark, d):
-    """Each line with its own delimited list of names, built from the line's values.
+def _line_list():
+    """A delimited list of names, built from a line's values.
 
     NULL when the quantity is over 48, empty when it is under 2; otherwise the
     return flag (twice when the discount is at least 5%), the line status, and
     an empty last name when the tax is zero.
     """
-    li = table(spark, d, "lineitem")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     listed = F.concat(flag, F.when(F.col("l_discount") >= 0.05, F.concat(F.lit(";"), flag)).otherwise(F.lit("")),
                       F.lit(";"), status, F.when(F.col("l_tax") == 0, F.lit(";")).otherwise(F.lit("")))
-    offenses = (F.when(F.col("l_quantity") > 48, F.lit(None).cast("string"))
-                .when(F.col("l_quantity") < 2, F.lit("")).otherwise(listed))
-    return li.select("l_orderkey", F.to_date("l_shipdate").alias("day"), offenses.alias("offenses"))
+    return (F.when(F.col("l_quantity") > 48, F.lit(None).cast("string"))
+            .when(F.col("l_quantity") < 2, F.lit("")).otherwise(listed))
+
+
+def compound(spark, d):
+    """Each line with its own list of names."""
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", F.to_date("l_shipdate").alias("day"), _line_list().alias("offenses"))
 
 
 INCIDENT_COLS = ["l_orderkey", "day", "offenses"]
@@ -370,6 +377,76 @@ def table_replaced(spark, d):
     return spark.read.parquet(path)
 
 
+# --- the whole build, from raw files ------------------------------------------------------
+
+# The types of the measures that are written as wide files.
+WIDE_MEASURES = {"big": "BIGINT", "hi": "DECIMAL(12, 2)"}
+
+
+def _raw(df, fields, **columns):
+    """``df`` as the columns of a raw file, in order; those not given are empty."""
+    return df.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in StructType.fromDDL(fields).fields])
+
+
+def _raw_measures(spark, d, root):
+    """The specs and wide measure files: orders and lines by day and nation, a column a nation."""
+    nation = table(spark, d, "nation").orderBy("n_nationkey").select("n_name")
+    # one file, as its lines are numbered; a row a nation
+    nation.coalesce(1).write.options(**csv_src.DIALECT).csv(f"{root}/auxfs/station_names.csv")
+    csv_src.write_csv(spark.createDataFrame(list(WIDE_MEASURES.items()), star.SPECS_SCHEMA),
+                      f"{root}/auxfs/meteoparam_names_fmts.csv")
+    names = [r[0] for r in nation.collect()]  # they become columns
+    measures = _measures(spark, d)
+    for name, kind in WIDE_MEASURES.items():
+        wide = measures[name].groupBy("datetime").pivot("stn", names).agg(F.max(name).cast(spark_type(kind)))
+        csv_src.write_csv(wide, f"{root}/meteodata/{name}.csv")
+
+
+def _raw_rows(spark, d, root):
+    """The other raw files: suppliers are the agencies, nations the weather stations, lines the incidents."""
+    ori = lambda key: F.format_string("S%08d", F.col(key))
+    csv_src.write_csv(_raw(table(spark, d, "supplier"), star.AGENCIES_SCHEMA, ori=ori("s_suppkey"), agency=F.col("s_name"),
+                           nibrs=F.col("s_acctbal") > 0, ori_lat=F.col("s_acctbal")), f"{root}/agencies.csv")
+    csv_src.write_csv(_raw(table(spark, d, "nation"), star.STATIONS_SCHEMA, stn_city=F.col("n_name"),
+                           stn_lat=F.col("n_nationkey"), stn_long=F.col("n_regionkey")),
+                      f"{root}/meteodata/weather_stations.csv")
+    csv_src.write_csv(_raw(table(spark, d, "lineitem"), star.INCIDENTS_SCHEMA, incident_id_orig=F.col("l_orderkey"),
+                           ori=ori("l_suppkey"), incident_date=F.col("l_shipdate"), adult_victim_count=F.col("l_quantity"),
+                           offenses=_line_list(), location_name=F.col("l_linestatus")), f"{root}/crime_incidents.csv")
+
+
+def _star_config(spark):
+    return star.StarConfig(scratch_path(spark, "raw"), scratch_path(spark, "star"), check_headers=True, empty_strings="keep",
+                           start_not_later=DATES_START_NOT_LATER)
+
+
+def star_measures(spark, d):
+    """Specs, schemas, wide files, long tables, their combination and the stored measure fact."""
+    cfg = _star_config(spark)
+    _raw_measures(spark, d, cfg.data_root)
+
+    def staged(df, name):
+        sinks.write_table(df, f"{cfg.out_root}/{name}")
+        return spark.read.parquet(f"{cfg.out_root}/{name}")
+
+    measures = staged(star.load_measures(spark, cfg, staged)[0], "measures")
+    dates = generators.dim_dates_between(spark, [(measures, "datetime")], cfg.start_not_later)
+    sinks.write_fact(facts.build_measure_fact(measures, dates, generators.dim_hours(spark)), f"{cfg.out_root}/fact",
+                     "stn", ["stn", "date_id", "hour_id"])
+    return spark.read.parquet(f"{cfg.out_root}/fact")
+
+
+def star_incidents(spark, d):
+    """The event fact (its columns that hold data) of the whole build from raw files."""
+    cfg = _star_config(spark)
+    _raw_measures(spark, d, cfg.data_root)
+    _raw_rows(spark, d, cfg.data_root)
+    return star.build_star(spark, cfg).tables["fct_crime_incidents"].select(
+        "date_id", "id", "ori", "incident_date", "adult_victim_count", "offenses", "location_name", "name_cnt",
+        "not_named", "a", "f", "n", "o", "r")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_clean": conform_clean,
     "conform_quarantine": conform_quarantine,
@@ -416,4 +493,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_types": schema_types,
     "log_appended": log_appended,
     "table_replaced": table_replaced,
+    "star_measures": star_measures,
+    "star_incidents": star_incidents,
 }

@@ -66,6 +66,21 @@ FRAGMENTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fct_e": ("SELECT CASE WHEN day BETWEEN lo AND hi THEN CAST(date_diff('day', lo, day) + 1 AS INTEGER) END AS date_id, "
               "CAST(NULL AS INTEGER) AS hour_id, incidents.*, pivoted.* EXCLUDE (id) "
               "FROM incidents JOIN pivoted USING (id), bounds", ("incidents", "pivoted", "bounds")),
+    # the whole build: its first day is a user bound or the first day of a date or measure
+    "star_day": ("SELECT CAST(least((SELECT min(o_orderdate) FROM orders), (SELECT min(l_shipdate) FROM lineitem), "
+                 "TIMESTAMP '1994-12-01') AS DATE) AS first_day", ()),
+    # a wide row has a cell for every nation, empty or not
+    "cells": ("SELECT DISTINCT datetime, n_name AS stn FROM (SELECT datetime FROM big UNION ALL SELECT datetime FROM hi), "
+              "nation", ("big", "hi")),
+    "star_lines": ("SELECT DISTINCT 'S' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS ori, CAST(l_shipdate AS DATE) "
+                   "AS incident_date, l_shipdate, CAST(trunc(l_quantity) AS INTEGER) AS adult_victim_count, "
+                   "CASE WHEN l_quantity > 48 THEN NULL WHEN l_quantity < 2 THEN '' "
+                   "ELSE l_returnflag || CASE WHEN l_discount >= 0.05 THEN ';' || l_returnflag ELSE '' END "
+                   "|| ';' || l_linestatus || CASE WHEN l_tax = 0 THEN ';' ELSE '' END END AS offenses, "
+                   "l_linestatus AS location_name FROM lineitem", ()),
+    "star_ids": ("SELECT row_number() OVER (ORDER BY ori, l_shipdate, adult_victim_count, offenses NULLS FIRST, "
+                 "location_name) AS id, string_split(offenses, ';') AS parts, * EXCLUDE (l_shipdate) FROM star_lines",
+                 ("star_lines",)),
     "stations": ("SELECT DISTINCT n_nationkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey", ()),
     "params": ("SELECT DISTINCT r_name, r_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey "
                "JOIN region ON n_regionkey = r_regionkey", ()),
@@ -187,6 +202,17 @@ ORACLE_SQL: dict[str, str] = {
                     "' groups of lineitem; repeats were removed.' AS message FROM (SELECT count(*) AS n FROM "
                     "(SELECT 1 FROM lineitem GROUP BY l_partkey, l_suppkey, l_returnflag HAVING count(*) > 1)), range(2) "
                     "WHERE n > 0",
+    "star_measures": _with(
+        "SELECT CAST(date_diff('day', first_day, CAST(datetime AS DATE)) + 1 AS INTEGER) AS date_id, "
+        "CAST(extract(hour FROM datetime) AS INTEGER) AS hour_id, datetime, stn, big, CAST(hi AS DECIMAL(12, 2)) AS hi "
+        "FROM cells LEFT JOIN big USING (datetime, stn) LEFT JOIN hi USING (datetime, stn), star_day",
+        "cells", "big", "hi", "star_day"),
+    "star_incidents": _with(
+        "SELECT CAST(date_diff('day', first_day, incident_date) + 1 AS INTEGER) AS date_id, id, ori, incident_date, "
+        "adult_victim_count, offenses, location_name, len(parts) AS name_cnt, "
+        + ", ".join(f"CAST(len(list_filter(parts, lambda x: x = '{x}')) AS BIGINT) AS {x.lower() or 'not_named'}"
+                    for x in ("", "A", "F", "N", "O", "R"))
+        + " FROM star_ids, star_day WHERE offenses IS NOT NULL", "star_ids", "star_day"),
     "table_replaced": "SELECT * FROM region",
     "csv_scan": "SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part",
 }
