@@ -30,18 +30,17 @@ class Conformed:
     audit: DataFrame
 
 
-def _versions(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``copies``: each distinct row with its multiplicity; ``versions``: per key, the
-    number of distinct rows, the row count and the number of repeated rows.
+def _copies(df: DataFrame) -> DataFrame:
+    """Each distinct row with its multiplicity.
 
-    Both are hash aggregates with count buffers, combined map-side: a key that
-    holds a third of all rows is reduced inside each task before the shuffle.
+    Like :func:`_versions_of` a hash aggregate with count buffers, combined map-side: a
+    key that holds a third of all rows is reduced inside each task before the shuffle.
     """
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    return copies, _versions_of(copies, keys)
+    return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
 
 
 def _versions_of(copies: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key, the number of distinct rows, the row count and the number of repeated rows."""
     return copies.groupBy(*[quoted(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_versions"),
         F.sum("_copies").alias("_rows"),
@@ -49,7 +48,7 @@ def _versions_of(copies: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def conform_dimension(df: DataFrame, keys: Sequence[str], copies_path: str | None = None,
-                      copies_mode: str = "errorifexists") -> Conformed:
+                      copies_mode: str = "errorifexists", digest_key: bool = False) -> Conformed:
     """Drop repeats of identical rows, remove and quarantine keys whose rows differ.
 
     NULL keys never equal anything (as with EXISTS): rows with a NULL key stay in
@@ -57,6 +56,8 @@ def conform_dimension(df: DataFrame, keys: Sequence[str], copies_path: str | Non
     reports them. The conflict counter counts key groups, the NULL group included.
     With ``copies_path`` (a folder on shared storage) the distinct rows are
     written once, so using several outputs does not re-read the raw input.
+    ``digest_key`` is for one key of long texts: versions are counted and joined on
+    its SHA-256, so that the texts themselves are shuffled once, for the distinct rows.
 
     Plan: distinct rows (hash aggregate) → versions per key (hash aggregate) →
     semi/anti join of the distinct rows with the conflicting keys. The planner
@@ -64,18 +65,23 @@ def conform_dimension(df: DataFrame, keys: Sequence[str], copies_path: str | Non
     it sort-merge joins with skewed partitions split.
     """
     keys = list(keys)
+    if digest_key and len(keys) != 1:
+        raise ValueError("digest_key takes one key")
     cols = df.columns
-    copies, versions = _versions(df, keys)
+    copies = _copies(df)
+    if digest_key:
+        copies = copies.withColumn("_key", F.sha2(quoted(keys[0]).cast("string"), 256))
     if copies_path is not None:
         # Store the distinct rows once; every output then reads them instead of
         # re-reading and re-aggregating the raw input.
         copies.write.mode(copies_mode).parquet(copies_path)
         copies = df.sparkSession.read.parquet(copies_path)
-        versions = _versions_of(copies, keys)
-    conflicting = versions.where(all_not_null(keys) & (F.col("_versions") > 1)).select(*[quoted(k) for k in keys])
-    distinct_rows = copies.select(*[quoted(c) for c in cols])
-    clean = distinct_rows.join(conflicting, keys, "left_anti")
-    quarantine = distinct_rows.join(conflicting, keys, "left_semi")
+    by = ["_key"] if digest_key else keys
+    versions = _versions_of(copies, by)
+    conflicting = versions.where(all_not_null(by) & (F.col("_versions") > 1)).select(*[quoted(k) for k in by])
+    distinct_rows = copies.select(*[quoted(c) for c in dict.fromkeys([*cols, *by])])
+    clean = distinct_rows.join(conflicting, by, "left_anti").select(*[quoted(c) for c in cols])
+    quarantine = distinct_rows.join(conflicting, by, "left_semi").select(*[quoted(c) for c in cols])
     full_dupe_keys = copies.where(F.col("_copies") > 1).select(*[quoted(k) for k in keys])
     audit = versions.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_rows"),
@@ -98,8 +104,7 @@ def full_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def conflicting_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys carrying more than one distinct row (A3), the NULL-key group included."""
-    _, versions = _versions(df, keys)
-    return versions.where(F.col("_versions") > 1).select(*[quoted(k) for k in keys])
+    return _versions_of(_copies(df), keys).where(F.col("_versions") > 1).select(*[quoted(k) for k in keys])
 
 
 # Fixed texts of the audit log messages.

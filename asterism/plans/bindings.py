@@ -57,7 +57,7 @@ def _conform_li(spark, d):
 
 def _conform_docs(spark, d):
     return quality.conform_dimension(table(spark, d, "documents").select("text", "lang", "source"), ["text"],
-                                     copies_path=scratch_path(spark, "conform-docs"))
+                                     copies_path=scratch_path(spark, "conform-docs"), digest_key=True)
 
 
 def conform_clean(spark, d):

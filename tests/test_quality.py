@@ -38,6 +38,17 @@ def test_conform_clean_and_quarantine(dim):
     assert rows(c.full_dupe_keys) == [("k2",), ("k4",), ("k5",)]
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_conform_on_a_digest_of_the_key_is_the_same(dim, tmp_dir, stored):
+    a = conform_dimension(dim, ["k"])
+    b = conform_dimension(dim, ["k"], copies_path=f"{tmp_dir}/copies" if stored else None, digest_key=True)
+    for name in ("clean", "quarantine", "full_dupe_keys", "audit"):
+        x, y = getattr(a, name), getattr(b, name)
+        assert x.columns == y.columns and rows(x) == rows(y)
+    with pytest.raises(ValueError):
+        conform_dimension(dim, ["k", "name"], digest_key=True)
+
+
 def test_conform_audit_counts_keys(dim):
     a = conform_dimension(dim, ["k"]).audit.first().asDict()
     # conflicting key groups: k3, k4 and the NULL group (counted, never quarantined)
