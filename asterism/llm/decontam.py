@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import bind, drop_documents, id_text, spool
+from asterism.llm.common import bind, drop_documents, fresh, id_text, spool
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -81,5 +81,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` less the documents that hold a benchmark item; rows without an id stay."""
-    return drop_documents(docs, contaminated(docs, benchmark), "decontam-dropped")
+    """``docs`` less the rows that hold a benchmark item.
+
+    Rows are judged by a 64-bit hash of their id and text and not by the id, so that
+    each row is judged on its own where ids repeat or are missing (a clean row is
+    lost only if its hash is that of one of the rows that go).
+
+    Defined cases: a row without an id goes if it holds an item; rows that repeat go
+    or stay together; an empty table on either side drops nothing; other columns pass
+    through, whatever their names.
+    """
+    row = fresh(docs, "row_id")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    return drop_documents(keyed, contaminated(keyed, benchmark, row), "decontam-dropped", row).select(*docs.columns)

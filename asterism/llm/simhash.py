@@ -6,12 +6,14 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from asterism.llm.common import drop_documents, id_text, join_groups, small_batches, spool
+from asterism.llm.common import drop_documents, fresh, id_text, join_groups, small_batches, spool
 
 SHINGLE_WORDS, SEED, RADIUS, BITS = 4, 42, 4, 64
 #: Fingerprints of a bucket that are compared with each other; larger buckets go by midpoints.
@@ -200,8 +202,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS,
                     max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row; ``component_id`` is the smallest doc_id reachable
-    over fingerprints that differ in at most ``radius`` (even) bits.
+    """``doc_id, fp, component_id, root`` of every row; ``component_id`` is the smallest doc_id reachable
+    over fingerprints that differ in at most ``radius`` (even) bits, ``root`` one fingerprint of the component.
 
     Documents of one fingerprint count once in the search: links and components are
     found among distinct fingerprints, in tables, and joined back to the documents
@@ -220,10 +222,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "simhash-classes")
     roots = components(links(classes.select("fp"), radius, max_bucket)).withColumnRenamed("node", "fp")
     first = (roots.join(classes, "fp").groupBy("root").agg(F.min("first").alias("least")))
-    linked = roots.join(first, "root").select("fp", "least")
+    linked = roots.join(first, "root").select("fp", "least", "root")
     named = spool(classes.join(linked, "fp", "left")
-                  .select("fp", F.coalesce("least", "first").alias("component_id"), "size"), "simhash-components")
-    return join_groups(rows, named, "fp", "size").select("doc_id", "fp", "component_id")
+                  .select("fp", F.coalesce("least", "first").alias("component_id"),
+                          F.coalesce("root", "fp").alias("root"), "size"), "simhash-components")
+    return join_groups(rows, named, "fp", "size").select("doc_id", "fp", "component_id", "root")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -231,7 +234,38 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+@F.pandas_udf(LongType())
+def _fingerprint_column(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield batch.map(lambda t: _signed(fingerprint(t or "")))
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` less all documents of a component but the one that names it."""
-    far = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id"))
-    return drop_documents(docs, far, "simhash-dropped")
+    """``docs`` with one row of each component: that whose doc_id names it.
+
+    Rows are taken out by id where the id is that of one row. Where an id repeats or
+    is missing, rows go by id and fingerprint: one row of each stays, if it is the
+    least of its component by id (null last), then fingerprint.
+
+    Defined cases: a row that repeats stays once; of rows that share an id and are far
+    apart each is judged on its own; a row without an id stays only in a component
+    without any id; an empty table gives an empty result; other columns pass through.
+    """
+    found = spool(near_duplicates(docs), "simhash-verdicts")
+    unsure = spool(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+                   .where("rows > 1 or doc_id is null").select("doc_id"), "simhash-unsure")
+    far = found.where("doc_id <> component_id")
+    if unsure.isEmpty():
+        return drop_documents(docs, far, "simhash-dropped")
+    named = docs.where("doc_id is not null")
+    kept = drop_documents(named.join(unsure, "doc_id", "left_anti").select(*docs.columns), far, "simhash-dropped")
+
+    fp = fresh(docs, "fp")
+    rows = (named.join(unsure, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+            .withColumn(fp, _fingerprint_column(F.col("text").cast("string"))).dropDuplicates(["doc_id", fp]))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("least")
+    keepers = found.groupBy("root").agg(least).select(
+        F.col("least.doc_id").alias("keep_id"), F.col("least.fp").alias("keep_fp")).alias("keepers")
+    rest = rows.join(keepers, F.col("doc_id").eqNullSafe(F.col("keepers.keep_id")) & (F.col(fp) == F.col("keepers.keep_fp")),
+                     "left_semi")
+    return kept.unionByName(rest.select(*docs.columns))

@@ -245,6 +245,20 @@ def test_simhash_edges(spark, edge_docs, no_docs):
     assert simhash.fingerprint("word " * 200_000) == brute_fp("word " * 10)
 
 
+def test_one_row_of_each_component_stays(spark, no_docs):
+    """Repeated rows, ids shared by texts that are far apart, and rows without an id."""
+    a, x, p, k, z = ("a b c d e f", "x y z w v u", "p q r s t u v", "k l m n o", "g h i j k l m n")
+    rows = [(1, a), (1, x), (2, x), (None, x), (None, p), (None, p.upper()), (3, k), (3, k), (4, None), (5, " "), (6, z), (7, z)]
+    docs = spark.createDataFrame([(*r, "") for r in rows], "doc_id long, text string, fp string").repartition(3)
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a), (1, x), (None, p), (3, k), (4, None), (6, z)]
+    assert Counter((i, t and t.lower()) for i, t in pairs(kept)) == Counter(want)
+    named = docs.where("doc_id in (2, 4, 5, 6, 7)")
+    assert sorted(i for i, _ in pairs(simhash.keep_one_of_each(named))) == [2, 4, 6]
+    assert simhash.keep_one_of_each(no_docs).count() == 0
+
+
 def test_covering_masks_find_every_pair_within_the_radius():
     masks, rng = simhash.covering_masks(), random.Random(2)
     assert len(masks) == 31

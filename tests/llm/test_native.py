@@ -269,6 +269,19 @@ def test_decontamination_edges(spark, edge_docs):
     assert not kept & {4, 5, 40, 16, 17, 100, 102} and {101, None, 1, 13} <= kept
 
 
+def test_rows_are_decontaminated_one_by_one(spark, no_docs):
+    """Ids that repeat or are missing: the row that holds an item goes, the others stay."""
+    item = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (1, "clean"), (None, f"so {item} on"), (None, "clean"), (None, None), (2, "x"), (2, "x"), (3, item), (3, item)]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, row_id int")
+    kept = decontam.decontaminate(docs, items)
+    assert kept.columns == docs.columns
+    assert Counter(pairs(kept)) == Counter([(1, "clean"), (None, "clean"), (None, None), (2, "x"), (2, "x")])
+    assert decontam.decontaminate(docs, items.where("false")).count() == len(rows)
+    assert decontam.decontaminate(no_docs, items).count() == 0
+
+
 @pytest.mark.parametrize("make", [
     lambda d: pii.summary(pii.find_pii(d)), lambda d: dedup.exact_dedup(d),
     lambda d: secret_scan.summary(secret_scan.find_secrets(d)), lambda d: sharding.shard_documents(d, sharding.layout(24)),
