@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,10 +41,32 @@ ENCODINGS = {
                   r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+$"),
 }
 
+#: The letters in order of their use in texts, most used first.
+BY_USE = "etaoinsrhldcumfgpywbvkxjqz"
+#: Tried where none of the above fits, on the letters and digits alone. Words fit them too, so their
+#: symbols stand in order of use and one more test asks for too many common letters.
+PLAIN = {
+    "alnum_lower": (BY_USE + "0123456789", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$"),
+    "alnum_upper": (BY_USE.upper() + "0123456789", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$"),
+    "lower": (BY_USE, r"^[a-z]+$"),
+    "upper": (BY_USE.upper(), r"^[A-Z]+$"),
+    "letters": (BY_USE + BY_USE.upper(), r"^[A-Za-z]+$"),
+}
+#: Digits alone, which are no words.
+DIGITS = {"digits": ("0123456789", r"^[0-9]+$")}
+#: The least number of letters and digits that are tested without their separators.
+MIN_SYMBOLS = 20
+#: Parts of a run that are tested besides the whole of it, each of 20+: between slashes, then also
+#: between '_', between '-' and between both; and UUIDs.
+PARTS = [*[rf"(?<![^{cut}])[^{cut}]{{20,}}+" for cut in ("/", "/_", "/-", "/_-")],
+         r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])"]
+
 #: Expected share of true random strings among those that the tests dismiss.
 FALSE_DISCOVERY = 0.01
 #: p-values are ranked in bins of a tenth of a decade, down to 10 ** -30.
 BINS_PER_DECADE, BINS = 10, 300
+#: The least p-value of one test.
+P_FLOOR = 1e-30
 #: z of a test that can't be computed as all symbols are alike.
 DEGENERATE = 40.0
 
@@ -56,51 +79,96 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+
 def _p_value(values: Column, size: Column) -> Column:
     """Fisher's combination of the three tests' p-values: small if the symbols are not random."""
     n = F.size(values).cast("double")
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    # what lambdas use is computed once, so that the cost grows with the length and not with its square
+    return bind(F.struct((_total(values) / n).alias("mean"), F.transform(values, lambda v: v >= size / 2).alias("high")),
+                lambda x: _combined(values, size, n, x["mean"], x["high"]))
+
+
+def _combined(values: Column, size: Column, n: Column, mean: Column, high: Column) -> Column:
     # chi-squared against equal use of the alphabet; mean and variance of a multinomial sample
-    squares = total(F.transform(F.array_distinct(values), lambda v: F.pow(
+    squares = _total(F.transform(F.array_distinct(values), lambda v: F.pow(
         F.size(F.filter(values, lambda x: x == v)).cast("double"), F.lit(2.0))))
     chi = size / n * squares - n
     z_chi = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (1 - 1 / n))
     # runs above and below the middle of the alphabet
-    high = F.transform(values, lambda v: v >= size / 2)
-    n1 = total(F.transform(high, lambda b: b.cast("double")))
+    n1 = _total(F.transform(high, lambda b: b.cast("double")))
     mean_runs = 2 * n1 * (n - n1) / n + 1
-    runs = 1 + total(F.transform(F.sequence(F.lit(1), F.size(values) - 1), lambda i: (
+    runs = 1 + _total(F.transform(F.sequence(F.lit(1), F.size(values) - 1), lambda i: (
         F.element_at(high, i) != F.element_at(high, i + 1)).cast("double")))
     var_runs = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
     z_runs = F.when(var_runs > 0, (runs - mean_runs) / F.sqrt(var_runs)).otherwise(DEGENERATE)
     # serial correlation at lag 1
-    mean = total(values) / n
-    spread = total(F.transform(values, lambda v: (v - mean) * (v - mean)))
-    lagged = total(F.transform(F.sequence(F.lit(1), F.size(values) - 1), lambda i: (
+    spread = _total(F.transform(values, lambda v: (v - mean) * (v - mean)))
+    lagged = _total(F.transform(F.sequence(F.lit(1), F.size(values) - 1), lambda i: (
         (F.element_at(values, i) - mean) * (F.element_at(values, i + 1) - mean))))
     z_serial = F.when(spread > 0, (lagged / spread + 1 / n) * F.sqrt(n)).otherwise(DEGENERATE)
 
-    floor = F.lit(1e-30)
-    p = [F.greatest(upper_tail(z_chi), floor), F.greatest(2 * upper_tail(F.abs(z_runs)), floor),
-         F.greatest(2 * upper_tail(F.abs(z_serial)), floor)]
+    p = [F.greatest(upper_tail(z_chi), F.lit(P_FLOOR)), F.greatest(2 * upper_tail(F.abs(z_runs)), F.lit(P_FLOOR)),
+         F.greatest(2 * upper_tail(F.abs(z_serial)), F.lit(P_FLOOR))]
     x = -sum(F.ln(q) for q in p)  # half of Fisher's statistic, 6 degrees of freedom
     return bind(x, lambda h: F.least(F.exp(-h) * (1 + h + h * h / 2), F.lit(1.0)))
 
 
-def randomness(hit: Column) -> Column:
+def _p_plain(values: Column, size: Column) -> Column:
+    """The battery, or if smaller the chance of symbols as common in texts as these; doubled, as either may dismiss."""
+    n = F.size(values).cast("double")
+    z = ((size - 1) / 2 - _total(values) / n) * F.sqrt(n * 12 / (size * size - 1))
+    return F.least(2 * F.least(_p_value(values, size), F.greatest(upper_tail(z), F.lit(P_FLOOR))), F.lit(1.0))
+
+
+def randomness(hit: Column, encodings: dict[str, tuple[str, str]] = ENCODINGS,
+               p_value: Callable[[Column, Column], Column] = _p_value) -> Column:
     """p-value of the battery under the encoding inferred for a string; null if none fits."""
     alphabet = F.lit(None).cast("string")
-    for symbols, shape in reversed(list(ENCODINGS.values())):
+    for symbols, shape in reversed(list(encodings.values())):
         alphabet = F.when(hit.rlike(shape), F.lit(symbols)).otherwise(alphabet)
 
     def tested(a: Column) -> Column:
         values = F.transform(F.split(hit, ""), lambda c: (F.instr(a, c) - 1).cast("double"))
         return F.when(a.isNotNull(), bind(F.struct(values.alias("v"), F.length(a).cast("double").alias("n")),
-                                          lambda x: _p_value(x["v"], x["n"])))
+                                          lambda x: p_value(x["v"], x["n"])))
 
     return bind(alphabet, tested)
 
 
+def run_randomness(hit: Column) -> Column:
+    """p-value of a whole run or part: as it stands, else of its letters and digits without the separators.
+
+    Null only if these are fewer than ``MIN_SYMBOLS``.
+    """
+    def alone(symbols: Column) -> Column:
+        return F.when(F.length(symbols) >= MIN_SYMBOLS, F.coalesce(
+            randomness(symbols, ENCODINGS | DIGITS), randomness(symbols, PLAIN, _p_plain)))
+
+    return F.coalesce(randomness(hit), bind(F.regexp_replace(hit, "[+/_-]", ""), alone))
+
+
+def _candidates(run: Column) -> Column:
+    """(start, kind, end, p) of a run and its parts that can be tested, by start, longer ones first."""
+    def placed(s: Column, at: Column) -> Column:
+        return F.struct((at + s["start"]).alias("start"), (-at - s["end"]).alias("order"), s["hit"].alias("hit"))
+
+    whole = F.array(F.struct(run["start"].alias("start"), (-run["end"]).alias("order"), run["hit"].alias("hit")))
+    parts = F.concat(*[F.transform(find_spans(run["hit"], p), lambda s: placed(s, run["start"])) for p in PARTS])
+    strings = F.when(run["hit"].rlike("[/_-]"), F.array_sort(F.array_distinct(F.concat(whole, parts)))).otherwise(whole)
+    return F.filter(F.transform(strings, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), (-s["order"]).alias("end"),
+        run_randomness(s["hit"]).alias("p"))), lambda s: s["p"].isNotNull())
+
+
+def _outermost(spans: Column) -> Column:
+    """The spans of a run that lie in no other; they come by start, longer ones first."""
+    ends = F.transform(spans, lambda s: s["end"])
+    return F.filter(spans, lambda s, i: (i == 0) | (s["end"] > F.array_max(F.slice(ends, F.lit(1), F.greatest(i, F.lit(1))))))
+
+
 def _stratum(length: Column) -> Column:
     """Strings of like length (a power of two) are ranked together, as longer ones are tested more sharply."""
     return F.least(F.floor(F.log2(length.cast("double"))).cast("int"), F.lit(16))
@@ -130,12 +198,17 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id`` and ``secrets``, the array of (start, kind, end, p) of each whole text.
 
     Known shapes: assignments to a password-like name, access keys, long hex strings.
-    Beyond these, each run of 20 or more characters that fits an encoding is tested
-    for randomness in it: chi-squared for equal use of the alphabet, runs about its
-    middle, serial correlation; Fisher's method combines the p-values. Strings are
+    Beyond these, each run of 20 or more characters, and each part of 20 or more between
+    its '/', '-' and '_', is tested for randomness in the encoding inferred for it:
+    chi-squared for equal use of the alphabet, runs about its middle, serial correlation;
+    Fisher's method combines the p-values. Strings that fit no encoding as they stand
+    are tested without their separators, if 20 or more letters and digits are left;
+    where these may be words (letters, or letters of one case and digits), too many
+    of the letters that are common in texts dismiss them as well. Strings are
     dismissed as not random by Benjamini-Hochberg at rate ``FALSE_DISCOVERY`` within
     strata of like length, over all strings of the table; what stays is a span of
-    kind ``random``. ``p`` is null for known shapes.
+    kind ``random``, a part only if no longer string around it stays. ``p`` is null
+    for known shapes.
 
     The candidates of each text are stored once; a second read applies the limits.
     Only counts by stratum and bin are shuffled.
@@ -152,19 +225,18 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.lit(None).cast("double").alias("p")))
 
     long_value = lambda s: F.length(F.regexp_extract(s["hit"], PATTERNS["assign"], 2)) >= MIN_VALUE
-    tested = F.filter(F.transform(find_spans(text, PATTERNS["random"]), lambda s: F.struct(
-        s["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), s["end"].alias("end"),
-        randomness(s["hit"]).alias("p"))), lambda s: s["p"].isNotNull())
+    tested = F.filter(F.transform(find_spans(text, PATTERNS["random"]), _candidates), lambda run: F.size(run) > 0)
     found = spool(id_text(docs, id_col, text_col).select(
         "doc_id", F.concat(of("assign", long_value), of("access"), of("hex")).alias("known"), tested.alias("tested")),
         "secret-candidates")
 
     length = lambda s: s["end"] - s["start"]
-    strings = found.select(F.explode("tested").alias("s")).select(
+    strings = found.select(F.explode(F.flatten("tested")).alias("s")).select(
         _stratum(length(F.col("s"))).alias("stratum"), _bin(F.col("s.p")).alias("bin"))
     least = dismissed_bins(strings)
     limits = F.array(*[F.lit(least.get(i, BINS + 1)) for i in range(17)])
-    random = F.filter("tested", lambda s: _bin(s["p"]) < F.element_at(limits, _stratum(length(s)) + 1))
+    stays = lambda s: _bin(s["p"]) < F.element_at(limits, _stratum(length(s)) + 1)
+    random = F.flatten(F.transform("tested", lambda run: bind(F.filter(run, stays), _outermost)))
     return found.select("doc_id", F.array_sort(F.concat("known", random)).alias("secrets"))
 
 

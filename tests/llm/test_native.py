@@ -144,6 +144,51 @@ def test_random_strings_stay_and_patterned_ones_go(spark):
     assert lost / (200 + lost) <= 0.03  # of all dismissed, at a rate of 0.01 and some chance
 
 
+LOWER36, UPPER36 = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+WORDY = ["the-state-of-the-art-in-information-retrieval", "some_rather_long_function_name_in_the_code",
+         "internationalization-of-the-interface", "documents/archive/reports/annual/summary",
+         "sectionandsubsectionheadings", "THE_MAXIMUM_NUMBER_OF_RETRIES_ALLOWED"]
+
+
+def tokens(seed, count=60):
+    """Tokens of the shapes that the encodings with both cases and a digit leave out; prefix, token."""
+    import uuid
+
+    rng = random.Random(seed)
+    draw = lambda symbols, k: "".join(rng.choices(symbols, k=k))
+    uuid4 = lambda: str(uuid.UUID(int=rng.getrandbits(128), version=4))
+    return [t for _ in range(count) for t in [
+        ("", draw(LOWER36, 32)), ("", draw(UPPER36, 32)), ("", uuid4()), ("", uuid4().upper()),
+        ("", draw(LOWER36[:26], 32)), ("", draw(UPPER36[:26], 32)), ("", draw(LOWER36[:26] + UPPER36[:26], 32)),
+        ("", "key-" + draw(LOWER36, 32)), ("https://example.org/documents/archive/reports/annual/", draw(LOWER36, 32)),
+        ("https://example.org/documents/archive/the-annual-", uuid4())]]
+
+
+def test_tokens_of_one_case_uuids_and_path_parts_stay_and_words_go(spark):
+    planted = tokens(3)
+    rows = [(i, f"see {a}{t} end") for i, (a, t) in enumerate(planted)]
+    rows += [(10_000 + i, f"see {w} end") for i in range(100) for w in WORDY]
+    found = secret_scan.summary(secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = defaultdict(list)
+    for r in found.select("doc_id", "spans").collect():
+        got[r["doc_id"]] += [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s.startswith("random:")]
+    assert not any(v for i, v in got.items() if i >= 10_000)
+    lost = [t for i, (a, t) in enumerate(planted)
+            if not any(s <= 4 + len(a) + (4 if t.startswith("key-") else 0) and e == 4 + len(a + t) for s, e in got[i])]
+    assert len(lost) <= 0.03 * len(planted), lost
+    # the words of the path before a token are mostly no part of its span
+    paths = [i for i, (a, _) in enumerate(planted) if a]
+    assert sum(all(s == 4 + len(planted[i][0]) for s, _ in got[i]) for i in paths) >= 0.7 * len(paths)
+
+
+def test_long_runs_are_tested_in_linear_time(spark):
+    run = "".join(random.Random(4).choices(LOWER36 + UPPER36, k=100_000))
+    p = spark.createDataFrame([(run,), ("a" * 200_000,)], "hit string").select(
+        secret_scan.run_randomness(F.col("hit")).alias("p")).collect()
+    assert p[0]["p"] == pytest.approx(battery(run, secret_scan.ENCODINGS["base62"][0]), rel=1e-3, abs=1e-6)
+    assert p[1]["p"] < 1e-30
+
+
 # --- exact dedup ---
 
 def brute_dedup(rows):
