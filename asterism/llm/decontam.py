@@ -46,7 +46,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     themselves are compared.
 
     Defined cases: null and empty texts, on either side, have no shingles and match
-    nothing; texts of fewer than five words are one shingle; rows that repeat an id
+    nothing; texts of fewer than five words are one shingle, so that an item of one to
+    four words is found only in a document of just these words and not within longer
+    ones (the SQL has the same rule); rows that repeat an id
     and a text give one pair; rows with a null id are left out, as no pair could
     name them; empty tables give an empty result; other columns are ignored.
     """
