@@ -196,6 +196,21 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id
     return build(langs, lang, counts["gram"].to_numpy().astype(np.int64), counts["n"].to_numpy().astype(np.float64))
 
 
+def _lettered(texts: list[str]) -> np.ndarray:
+    return np.array([any(map(str.isalpha, t)) for t in texts], bool)
+
+
+def lettered(docs: DataFrame, text_col: str = "text") -> Column:
+    """Whether a text has a letter; false for null."""
+    small_batches(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def has(texts: pd.Series) -> pd.Series:
+        return pd.Series(_lettered([t or "" for t in texts]))
+
+    return has(F.col(text_col).cast("string"))
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
     """Column of struct (lang_pred, score, bits_per_byte) for whole texts, by ``model``.
 
@@ -215,7 +230,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
             size = len(texts)
             raw = [t.encode() for t in texts]
             lang, score, rate = np.full(size, UNDETERMINED, object), np.zeros(size), np.full(size, np.nan)
-            has = np.array([any(map(str.isalpha, t)) for t in texts], bool)
+            has = _lettered(texts)
             if model.langs and has.any():
                 bits = model.bits([r for r, h in zip(raw, has, strict=True) if h])
                 best = bits.argmin(axis=1)
@@ -246,11 +261,11 @@ def identify_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col:
                          F.nanvl("p.bits_per_byte", F.lit(None).cast("double")).alias("bits_per_byte"))
 
 
-def keep_identified(docs: DataFrame, max_bits: float = 8.0) -> DataFrame:
-    """``docs`` less the rows whose language can't be told: no letters, or no learned
-    language codes the text in fewer than ``max_bits`` a byte (8 is the cost without
-    any model)."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """``docs`` less the rows that are ``und`` for want of a letter: null texts and texts
+    without one. Where no language was learned, the other rows stay too."""
     model, result = train(docs), fresh(docs, "langid")
+    if not model.langs:
+        return docs.where(lettered(docs))
     judged = docs.withColumn(result, predict(docs, model))
-    told = (F.col(f"{result}.lang_pred") != UNDETERMINED) & (F.col(f"{result}.bits_per_byte") < max_bits)
-    return judged.where(told).select(*docs.columns)
+    return judged.where(F.col(f"{result}.lang_pred") != UNDETERMINED).select(*docs.columns)

@@ -50,6 +50,17 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert {r["lang_pred"] for r in langid.identify_languages(only_unlabelled).collect()} == {"und"}
 
 
+def test_stage_drops_only_texts_without_letters(spark):
+    texts = ["Сегодня утром мы пошли на рынок за хлебом", "今日は天気がいいので散歩に行きました", "Hôm nay trời đẹp quá", None, "", "12 + 34 = 46!"]
+    rows = [(10_000_000 + i, t, None) for i, t in enumerate(texts)]
+    clean = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = [10_000_000, 10_000_001, 10_000_002]
+    learned = documents(spark).select("doc_id", "text", "lang").unionByName(clean)
+    kept = [r["doc_id"] for r in langid.keep_identified(learned).where("doc_id >= 10000000").collect()]
+    assert sorted(kept) == want
+    assert sorted(r["doc_id"] for r in langid.keep_identified(clean).collect()) == want  # no language to learn
+
+
 def test_labels_and_sources_are_not_inputs(spark):
     docs = documents(spark)
     model = langid.train(docs)
