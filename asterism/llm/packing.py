@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import random
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -25,8 +26,22 @@ CAPACITY, END_ID = 2048, 0
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: How the vocabulary's tokenizer cuts a text before merging; white space spelt out.
 SPACE = "\t-\r \x85\xa0  -     　"
+#: Letters and numbers of newer Unicode tables, which are neither to the vocabulary's tokenizer.
+NEWER = ("\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2"
+         "\uA7F1\uAB6C-\uAB6D\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7"
+         "\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB\U00011DE0-\U00011DE9\U00011DF1\U0001246F"
+         "\U00012475-\U0001247F\U00012550-\U00012686\U00016EA0-\U00016EB8\U00016EBB-\U00016ED3"
+         "\U00016FF2-\U00016FF6\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+         "\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168"
+         "\U0001D6A6\U0001DF1F-\U0001DF24\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF"
+         "\U0001E6C0-\U0001E6DE\U0001E6E0-\U0001E6E2\U0001E6E4-\U0001E6E5\U0001E6E7-\U0001E6ED"
+         "\U0001E6F0-\U0001E6F4\U0001E6FE-\U0001E6FF\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD"
+         "\U000323B0-\U00033479\U0003D000-\U0003FC3F")
 PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: The same for texts that hold any of these.
+PATTERN_NEWER = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?![{NEWER}])\p{{L}})+| ?(?:(?![{NEWER}])\p{{N}})+"
+                 rf"| ?(?:[{NEWER}]|[^{SPACE}\p{{L}}\p{{N}}])+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Cut pieces whose ids a task remembers.
 CACHE_PIECES = 400_000
 
@@ -51,7 +66,8 @@ class Encoder:
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.merge = tiktoken.Encoding("bpe", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        self.cut = regex.compile(PATTERN).findall
+        self.cut, self.cut_newer = (regex.compile(p).findall for p in (PATTERN, PATTERN_NEWER))
+        self.plain = {chr(c) for a, b in re.findall("(.)(?:-(.))?", NEWER) for c in range(ord(a), ord(b or a) + 1)}.isdisjoint
         self.known: dict[str, bytes] = {}
 
     def _ids(self, piece: str) -> bytes:
@@ -65,7 +81,7 @@ class Encoder:
         for i, plain in enumerate(text.split(SPECIAL)):
             if i:
                 parts.append(np.array([SPECIAL_ID], "<u4").tobytes())
-            for piece in self.cut(plain):
+            for piece in (self.cut if plain.isascii() or self.plain(plain) else self.cut_newer)(plain):
                 ids = known.get(piece)
                 parts.append(self._ids(piece) if ids is None else ids)
         return b"".join(parts)

@@ -139,6 +139,16 @@ def brute_pieces(rows):
     return out
 
 
+def test_letters_and_numbers_are_those_of_the_tokenizer():
+    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    encode = packing.Encoder(VOCABULARY)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    # the pieces around a letter, a number and a suffix depend on what each character is taken for
+    for i in range(0, len(every), 50_000):
+        text = "\n".join(f"a{c}1{c}'s" for c in every[i:i + 50_000])
+        assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def check_packing(got, capacity=2048):
     by = defaultdict(list)
     for r in got:
