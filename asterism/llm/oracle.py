@@ -146,6 +146,25 @@ FROM s a JOIN s b ON a.doc AND NOT b.doc AND a.shingle = b.shingle JOIN sizes ON
 GROUP BY a.id, b.id HAVING count(*) / any_value(n) >= 0.8
 """
 
+#: All pairs of distinct sets that share a shingle, and what is reachable over links.
+MINHASH = rf"""
+WITH RECURSIVE w AS (
+SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+sets AS (
+SELECT doc_id, list_sort(list_distinct(list_transform(
+  range(1, greatest(len(words) - 1, least(len(words) + 1, 2))), lambda i: array_to_string(words[i:i + 2], ' ')))) AS set FROM w),
+classes AS (SELECT min(doc_id) AS cls, set FROM sets WHERE len(set) > 0 GROUP BY set),
+s AS (SELECT cls, len(set) AS n, unnest(set) AS shingle FROM classes),
+links AS (
+SELECT a.cls AS a, b.cls AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.cls < b.cls
+GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT cls AS node, cls AS other FROM classes UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a),
+roots AS (SELECT node, min(other) AS root FROM reach GROUP BY node)
+SELECT doc_id, len(set)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, doc_id = coalesce(root, doc_id) AS kept
+FROM sets LEFT JOIN classes USING (set) LEFT JOIN roots ON node = cls
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_pii": PII, "op2_exact_dedup": DEDUP, "op5_sharding": SHARDING, "op7_chat": CHAT, "op8_urls": URLS,
-    "op10_decontam": DECONTAM}
+    "op10_decontam": DECONTAM, "op11_minhash": MINHASH}

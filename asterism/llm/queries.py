@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterism.llm import chat, decontam, dedup, langid, packing, pii, secret_scan, sharding, simhash, urls
+from asterism.llm import (chat, decontam, dedup, langid, minhash, packing, periodic, pii, secret_scan, sharding, simhash, urls,
+                          whitening)
 
 #: The vocabulary of byte_bpe_50k.json as ranks, which gives the same ids.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -71,6 +72,19 @@ def op10_decontam(spark, d):
     return decontam.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op11_minhash(spark, d):
+    return minhash.near_duplicates(table(spark, d, "documents"))
+
+
+def op12_whitening(spark, d):
+    found = whitening.whiten(table(spark, d, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_runs(spark, d):
+    return periodic.summary(periodic.find_runs(periodic.with_repeats(table(spark, d, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_langid, op4_packing, op5_sharding, op6_simhash, op7_chat,
-                            op8_urls, op9_secrets, op10_decontam)}
+                            op8_urls, op9_secrets, op10_decontam, op11_minhash, op12_whitening, op13_runs)}

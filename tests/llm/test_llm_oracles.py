@@ -22,4 +22,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_all_are_registered():
     found = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
