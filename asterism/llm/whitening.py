@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 COMPONENTS = 32
 #: Eigenvalues of a slice at most, unless they are too close to cut between.
 SLICE = 8
+#: A slice grows while its neighbours are further away than this share of its width.
+SEPARATION = 0.1
 NODES = 8
 ROUNDS = 40
 #: Entries become floor(SCALE * c) + SHIFT.
@@ -148,8 +150,9 @@ class Slice:
 
 
 def slices(matrix: np.ndarray, k: int, most: int = SLICE) -> list[Slice]:
-    """Intervals that hold the ``k`` largest eigenvalues (more, where the next are too close to cut
-    between, fewer, where the matrix has a lower rank), each with its inertia count."""
+    """Intervals around the ``k`` largest eigenvalues (more, where the next are too close to cut between,
+    fewer, where the matrix has a lower rank). Inertia counts at all ends say that no eigenvalue
+    lies between intervals, and how many lie in each."""
     form, d = tridiagonal(matrix), len(matrix)
     bound = np.abs(matrix).sum(axis=1).max()
     # an eigenvalue below the rounding of the largest is none
@@ -165,18 +168,21 @@ def slices(matrix: np.ndarray, k: int, most: int = SLICE) -> list[Slice]:
     values = (low + high) / 2
     gaps = np.append(values[:-1] - values[1:], np.inf)  # gaps[i]: below eigenvalue i
     close = bound * 1e-7
-    out, at, top = [], 0, bound * 1.01
+    out, at = [], 0
     while at < k:
-        room = range(min(at + (most + 1) // 2, k) - 1, min(at + most, k))
-        cut = max(room, key=lambda i: gaps[i])
+        above = gaps[at - 1] if at else np.inf
+        cuts = range(at, min(at + most, k))
+        # quadrature tells a slice's neighbours apart by their distance over its width
+        apart = [min(gaps[i], above) / max(values[at] - values[i], close) for i in cuts]
+        cut = max((i for i, ratio in zip(cuts, apart) if ratio >= SEPARATION), default=cuts[int(np.argmax(apart))])
         while gaps[cut] < close:
             cut += 1
-        low_edge = values[cut] - (min(gaps[cut], values[cut] if values[cut] > 0 else bound) / 2 if cut < d - 1
-                                  else max(values[cut] / 2, close))
-        out.append(Slice(float(low_edge), float(top), cut + 1 - at))
-        at, top = cut + 1, low_edge
-    counted = inertia(form, np.array([s.low for s in out]))
-    if not (np.cumsum([s.count for s in out]) == counted).all():
+        widest = min(max(values[at] - values[cut], min(above, gaps[cut])), bound)
+        out.append(Slice(float(values[cut] - min(gaps[cut], widest) / 2), float(values[at] + min(above, widest) / 2), cut + 1 - at))
+        at = cut + 1
+    ends = np.cumsum([s.count for s in out])
+    counted = inertia(form, np.array([x for s in out for x in (s.high, s.low)])).reshape(-1, 2)
+    if not (counted == np.stack([np.append(0, ends[:-1]), ends], 1)).all():
         raise ArithmeticError("slices and inertia counts disagree")
     return out
 

@@ -76,6 +76,7 @@ def spectra():
     x = r.standard_normal((500, 64))
     return {"sample": x.T @ x / 500, "identity": np.eye(40) * 7, "rank6": of(np.r_[np.arange(1.0, 7), np.zeros(34)]),
             "ties": of(np.repeat(np.arange(1.0, 17), 4)), "decay": of(10.0 ** -np.linspace(0, 9, 60)), "one": np.array([[3.0]]),
+            "hot": x.T @ x / 500 * 50 + 300 * np.outer(x[0], x[0]) / (x[0] @ x[0]), "far": of(np.r_[1e6, 1e3, np.linspace(1, 1.2, 62)]),
             "cluster": of(np.r_[1 + 1e-9 * np.arange(12), np.linspace(2, 30, 40)])}
 
 
