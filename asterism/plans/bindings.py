@@ -29,7 +29,7 @@ from asterism.operators import facts, generators, quality, reshape, schema
 from asterism.plans import star
 from asterism.session import scratch_path
 from asterism.sources import csv as csv_src
-from asterism.sources import sinks
+from asterism.sources import load, sinks
 
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 DEDUP_COLS = ["l_partkey", "l_suppkey", "l_returnflag"]
@@ -346,6 +346,52 @@ def csv_texts(spark, d):
         multi_line=True, empty_strings="keep")
 
 
+def csv_times(spark, d):
+    """All events' times written month first, by the second from a night on that the clocks change, and read back."""
+    path = scratch_path(spark, "times_csv")
+    at = F.expr("timestamp_ntz'2021-03-14 00:00:00' + make_dt_interval(0, 0, 0, event_id % 43200)")
+    table(spark, d, "events").select("event_id", F.date_format(at, "M/d/yyyy H:mm:ss").alias("t")).write.csv(path)
+    return csv_src.read_positional_csv(spark, path, "event_id BIGINT, at TIMESTAMP_NTZ", header=False)
+
+
+def _planted_load(spark, d):
+    """All documents as CSV, where by its length a row has a number that is none, no source, or a field too few."""
+    path = scratch_path(spark, "planted_csv")
+    field = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    kind = F.col("n_chars") % 20
+    number = F.when(kind == 3, F.concat(F.lit("x"), F.col("n_chars").cast("string"))).otherwise(F.col("n_chars").cast("string"))
+    source = F.when(kind == 7, F.lit("")).otherwise(F.col("source"))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), field(F.col("text")), number, F.when(kind != 11, source))
+    table(spark, d, "documents").select(line).write.text(path)
+    fields = "doc_id BIGINT, text STRING, n_chars INT, source VARCHAR(100) NOT NULL"
+    return load.load_csv(spark, path, fields, max_errors=1 << 60, header=False, empty_strings="keep")
+
+
+def load_rows(spark, d):
+    """The good rows of a load that keeps bad ones aside."""
+    return _planted_load(spark, d).rows
+
+
+def load_errors(spark, d):
+    """What is wrong with the bad rows of that load."""
+    number = F.regexp_extract("record", "^([0-9]+),", 1).cast("long")
+    return _planted_load(spark, d).errors.select(number.alias("doc_id"), "column", "reason", "value")
+
+
+def files_loaded(spark, d):
+    """Customers and suppliers from the files that a manifest names: rows by target, counted by the file they came from."""
+    root = scratch_path(spark, "manifest")
+    pairs = [("c/customer.csv", "customer"), ("s/supplier.csv", "supplier")]
+    csv_src.write_csv(table(spark, d, "customer").select("c_custkey", "c_name"), f"{root}/{pairs[0][0]}")
+    csv_src.write_csv(table(spark, d, "supplier").select("s_suppkey", "s_name"), f"{root}/{pairs[1][0]}")
+    listed = F.array(*[F.struct(F.lit(a).alias("local"), F.lit(b).alias("s3")) for a, b in pairs])
+    spark.range(1).select(listed.alias("data_files")).write.json(f"{root}/manifest")
+    paths = load.manifest_paths(spark, csv_src.read_manifest(spark, f"{root}/manifest"), root, [b for _, b in pairs])
+    counts = [load.load_csv(spark, path, "id BIGINT, name STRING").by_file().select(F.lit(name).alias("target"), "n_rows", "n_bad")
+              for name, path in sorted(paths.items())]
+    return counts[0].unionByName(counts[1]).groupBy("target").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+
+
 def name_counts(spark, d):
     return reshape.count_names(split_rows(spark, d), ["id", "name_cnt"])
 
@@ -488,6 +534,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "param_order": param_order,
     "csv_scan": csv_scan,
     "csv_texts": csv_texts,
+    "csv_times": csv_times,
+    "load_rows": load_rows,
+    "load_errors": load_errors,
+    "files_loaded": files_loaded,
     "name_counts": name_counts,
     "fct_events_timed": fct_events_timed,
     "schema_types": schema_types,

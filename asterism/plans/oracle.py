@@ -191,6 +191,14 @@ ORACLE_SQL: dict[str, str] = {
                    "FROM (SELECT DISTINCT p_brand FROM part)",
     "csv_texts": "SELECT doc_id, text, '\"' || source || '\\\\\",' AS quoted, CAST(n_chars / 8 AS DECIMAL(12,3)) AS eighth, "
                  "n_chars % 2 = 0 AS even, TIMESTAMP '2020-01-01' + to_seconds(doc_id) AS written FROM documents",
+    "csv_times": "SELECT event_id, TIMESTAMP '2021-03-14' + to_seconds(event_id % 43200) AS at FROM events",
+    "load_rows": "SELECT doc_id, text, CAST(n_chars AS INTEGER) AS n_chars, source FROM documents "
+                 "WHERE n_chars % 20 NOT IN (3, 7, 11)",
+    "load_errors": "SELECT doc_id, CASE n_chars % 20 WHEN 3 THEN 'n_chars' WHEN 7 THEN 'source' END AS column, "
+                   "CASE n_chars % 20 WHEN 3 THEN 'not a int' WHEN 7 THEN 'missing' ELSE 'not 4 fields' END AS reason, "
+                   "CASE n_chars % 20 WHEN 3 THEN 'x' || n_chars END AS value FROM documents WHERE n_chars % 20 IN (3, 7, 11)",
+    "files_loaded": "SELECT 'customer' AS target, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad FROM customer "
+                    "UNION ALL SELECT 'supplier', count(*), 0 FROM supplier",
     "name_counts": _with("SELECT id, name_cnt, offense_name, count(*) AS n FROM names GROUP BY ALL", "names"),
     "fct_events_timed": _with(
         "SELECT CAST(date_diff('day', first_day, CAST(reported AS DATE)) + 1 AS INTEGER) AS date_id, "

@@ -14,16 +14,18 @@ log) and ``mart/`` (dimensions and facts).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from asterism.operators import events as ev
 from asterism.operators import facts, generators, quality, reshape, schema
 from asterism.sources import csv as csv_src
-from asterism.sources import sinks
+from asterism.sources import load, sinks
 
 # The columns of the source files, by position (VARCHAR(n) → STRING,
 # FLOAT → DOUBLE, TIMESTAMP → TIMESTAMP_NTZ).
@@ -89,6 +91,8 @@ class StarConfig:
     scale_mode: str = "round"
     timestamp_format: str | None = None
     multi_line: bool = False
+    manifest: str | None = None
+    max_errors: int | None = None
     stage: str = "stage"
     mart: str = "mart"
 
@@ -102,6 +106,52 @@ class StarConfig:
                 "timestamp_format": self.timestamp_format, "multi_line": self.multi_line}
 
 
+# The inputs that every build has; the specs name the wide measure files.
+INPUTS = ("agencies.csv", "crime_incidents.csv", "meteodata/weather_stations.csv", "auxfs/station_names.csv",
+          "auxfs/meteoparam_names_fmts.csv")
+
+
+@dataclass
+class Inputs:
+    """Where a build's files lie, and its loads so far: in the layout above, or as a manifest maps it."""
+
+    spark: SparkSession
+    cfg: StarConfig
+    paths: Mapping[str, str] | None = None
+    loads: dict[str, load.Load] = field(default_factory=dict)
+
+    def __post_init__(self):
+        if self.cfg.manifest is not None and self.paths is None:
+            pairs = csv_src.read_manifest(self.spark, self.cfg.manifest)
+            self.paths = load.manifest_paths(self.spark, pairs, self.cfg.data_root, INPUTS)
+
+    def path(self, name: str) -> str:
+        if self.paths is None:
+            return f"{self.cfg.data_root.rstrip('/')}/{name}"
+        if name not in self.paths:
+            raise ValueError(f"not in the manifest: {name}")
+        return self.paths[name]
+
+    def read(self, name: str, schema: StructType | str, stored: str | None = None) -> DataFrame:
+        """The rows of an input; with ``max_errors`` set, its good rows, the bad ones being kept in ``loads``."""
+        if self.cfg.max_errors is None:
+            return csv_src.read_positional_csv(self.spark, self.path(name), schema, **self.cfg.csv_options)
+        options = {k: v for k, v in self.cfg.csv_options.items() if k != "multi_line"}
+        self.loads[name] = load.load_csv(self.spark, self.path(name), schema, self.cfg.max_errors, stored, **options)
+        return self.loads[name].rows
+
+    def errors(self) -> DataFrame:
+        """What is wrong with the bad rows of all loads, by input."""
+        return reduce(DataFrame.unionByName, [x.errors.select(F.lit(name).alias("input"), "*") for name, x in self.loads.items()])
+
+    def log(self) -> list[DataFrame]:
+        """A log row for each file loaded."""
+        message = F.concat(F.col("n_rows").cast("string"), F.lit(" rows loaded, "), F.col("n_bad").cast("string"),
+                           F.lit(" rejected from "), F.col("file"))
+        return [x.by_file().select(F.lit(self.cfg.stage).alias("schema_name"), F.lit(name).alias("table_name"),
+                                   message.alias("message"), F.localtimestamp().alias("dt")) for name, x in self.loads.items()]
+
+
 @dataclass
 class Star:
     """Every table of the build, as DataFrames (written already when ``write=True``)."""
@@ -115,32 +165,32 @@ def _path(cfg: StarConfig, area: str, name: str) -> str:
     return f"{cfg.out_root.rstrip('/')}/{area}/{name}"
 
 
-def _read_specs(spark: SparkSession, cfg: StarConfig) -> tuple[DataFrame, DataFrame]:
-    root = cfg.data_root.rstrip("/")
-    return (csv_src.read_positional_csv(spark, f"{root}/auxfs/meteoparam_names_fmts.csv", SPECS_SCHEMA),
-            csv_src.read_ordered_names(spark, f"{root}/auxfs/station_names.csv"))
+def _read_specs(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
+    return (csv_src.read_positional_csv(inputs.spark, inputs.path("auxfs/meteoparam_names_fmts.csv"), SPECS_SCHEMA),
+            csv_src.read_ordered_names(inputs.spark, inputs.path("auxfs/station_names.csv")))
 
 
 def load_measures(spark: SparkSession, cfg: StarConfig,
-                  staged: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> tuple[DataFrame, list[str]]:
+                  staged: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+                  inputs: Inputs | None = None) -> tuple[DataFrame, list[str]]:
     """Specs → schemas → wide files → long tables → one combined measure table.
 
     ``staged`` stores each long table, so that the raw file is read once for it.
     """
-    root = cfg.data_root.rstrip("/")
-    schemas = schema.measure_schemas(*_read_specs(spark, cfg))
+    inputs = inputs or Inputs(spark, cfg)
+    schemas = schema.measure_schemas(*_read_specs(inputs))
     names = [f.name for f in next(iter(schemas.values())).fields[1:]] if schemas else []
     longs = {}
     for param, struct in schemas.items():
         # Values bind by position: a file with another number of stations would
         # label every value with the wrong station, so that always fails; the
         # names themselves may be renamed in the spec and are checked on request.
-        header = csv_src.csv_header(spark, f"{root}/meteodata/{param}.csv")
+        header = csv_src.csv_header(spark, inputs.path(f"meteodata/{param}.csv"))
         if len(header) != len(names) + 1:
             raise ValueError(f"{param}.csv has {len(header) - 1} station columns, the spec lists {len(names)}")
         if cfg.check_headers and [h.lower() for h in header[1:]] != [n.lower() for n in names]:
             raise ValueError(f"{param}.csv station columns {header[1:]} differ from the spec {names}")
-        wide = csv_src.read_measure_csv(spark, f"{root}/meteodata", param, struct, **cfg.csv_options)
+        wide = inputs.read(f"meteodata/{param}.csv", struct)
         longs[param] = staged(reshape.unpivot_measures(wide, ["datetime"], names, "stn", param), f"long_{param}")
     unique = cfg.assume_unique_measures
     if unique is None:
@@ -164,8 +214,8 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
     back, so each raw input is read once for its rows and nothing of an earlier run
     is ever read; the cleaned incidents are stored by their id layout. Key checks
     are bound to the tables written, not to the plans that made them."""
-    root = cfg.data_root.rstrip("/")
-    read = lambda p, s: csv_src.read_positional_csv(spark, f"{root}/{p}", s, **cfg.csv_options)
+    inputs = Inputs(spark, cfg)
+    read = inputs.read
     run = f"run-{uuid.uuid4().hex}"
     stage_path = (lambda name: _path(cfg, cfg.stage, f"{run}/{name}")) if write else (lambda name: None)
 
@@ -194,7 +244,7 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
     names = reshape.split_to_rows(incidents, ["id"], "offenses")
     pivoted = reshape.pivot_counts(names, ["id", "name_cnt"], vocab=vocab)
 
-    measures, _ = load_measures(spark, cfg, staged)
+    measures, _ = load_measures(spark, cfg, staged, inputs)
     # The long measure table is stored in datetime order (within each file).
     measures = staged(measures, "meteodata_unpivoted", sort="datetime")
     dates = generators.dim_dates_between(
@@ -213,9 +263,9 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
         "ci2": incidents, "ci_offense_names_normalized": names,
         "ci_offense_names_denormalized": pivoted, "meteodata_unpivoted": measures,
     }
-    log = logs[0]
-    for more in logs[1:]:
-        log = log.unionByName(more)
+    log = reduce(DataFrame.unionByName, [*logs, *inputs.log()])
+    if inputs.loads:
+        tables["load_errors"] = inputs.errors()
 
     if write:
         for name, sort_keys in DIMENSION_SORT_KEYS.items():
@@ -225,13 +275,13 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
                          ["ori", "date_id", "hour_id"], cfg.mode)
         sinks.write_fact(tables["fct_meteodata"], _path(cfg, cfg.mart, "fct_meteodata"), "stn",
                          ["stn", "date_id", "hour_id"], cfg.mode)
-        for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs"):
+        for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs", *(["load_errors"] if inputs.loads else [])):
             table = tables[name].sort("ori") if name == "agencies_ir" else tables[name]
             sinks.write_table(table, _path(cfg, cfg.stage, name), cfg.mode)
         sinks.append_log(log, _path(cfg, cfg.stage, "log_table"))
         tables = {n: spark.read.parquet(_path(cfg, cfg.mart, n)) if n.startswith(("dim_", "fct_")) else df
                   for n, df in tables.items()}
-    return Star(tables, log, _checks(tables, _read_specs(spark, cfg)[0]))
+    return Star(tables, log, _checks(tables, _read_specs(inputs)[0]))
 
 
 def _checks(t: dict[str, DataFrame], specs: DataFrame) -> dict[str, DataFrame]:
@@ -272,13 +322,16 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--scale-mode", default="round", choices=["round", "truncate"])
     p.add_argument("--timestamp-format")
     p.add_argument("--multi-line", action="store_true")
+    p.add_argument("--manifest", help="JSON list of the files to load, by their targets")
+    p.add_argument("--max-errors", type=int, help="keep up to so many bad rows of a file aside; default: any fails")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("asterism-build-star").getOrCreate()
     cfg = StarConfig(data_root=a.data_root, out_root=a.out_root, mode=a.mode,
                      start_not_later=a.start_not_later, end_not_earlier=a.end_not_earlier,
                      assume_unique_measures=a.assume_unique_measures, check_headers=a.check_headers,
                      empty_strings=a.empty_strings, scale_mode=a.scale_mode,
-                     timestamp_format=a.timestamp_format, multi_line=a.multi_line)
+                     timestamp_format=a.timestamp_format, multi_line=a.multi_line,
+                     manifest=a.manifest, max_errors=a.max_errors)
     star = build_star(spark, cfg)
     for name, check in star.checks.items():
         bad = not check.isEmpty()

@@ -6,6 +6,7 @@ names are ignored, exactly as a positional COPY does.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql.types import BooleanType, DecimalType, StringType, StructField,
 
 from asterism.functions.columns import quoted
 from asterism.operators.events import with_surrogate_id
+from asterism.sources.records import read_records
 
 # Fixed value: the null marker used when empty strings must stay empty.
 KEEP_EMPTY_NULL_VALUE = "\\N"
@@ -36,23 +38,52 @@ TIME_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "d-MMM-yyyy[ H:m
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _boolean(text: Column) -> Column:
+def boolean_of(text: Column) -> Column:
     low = F.lower(text)
     return F.when(low.isin(*TRUE_TEXTS), True).when(low.isin(*FALSE_TEXTS), False)
 
 
-def _timestamp(text: Column, formats: Sequence[str]) -> Column:
-    return F.coalesce(text.try_cast("timestamp_ntz"),
-                      *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+def _as_written(text: Column, fmt: str) -> Column:
+    """The time that ``text`` states in ``fmt``, whatever the session's zone (NULL if it doesn't fit).
 
+    Spark parses to an instant, and the way back goes through the zone, which has no
+    2:30 on some nights. So the text is read as a time in UTC and counted from the
+    epoch. A time with a zone of its own becomes that of UTC.
+    """
+    zoned = re.search("[VzOXxZ]", re.sub("'[^']*'", "", fmt))
+    at = F.try_to_timestamp(text, F.lit(fmt)) if zoned else F.try_to_timestamp(F.concat(text, F.lit("+00:00")), F.lit(fmt + "xxx"))
+    seconds = (F.unix_micros(at).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+
+
+def timestamp_of(text: Column, timestamp_format: str | None = None) -> Column:
+    """A time in ``timestamp_format``, or in ISO 8601 or one of TIME_FORMATS; NULL if it is none."""
+    if timestamp_format:
+        return _as_written(text, timestamp_format)
+    return F.coalesce(text.try_cast("timestamp_ntz"), *[_as_written(text, f) for f in TIME_FORMATS])
 
-def _truncated(text: Column, kind: DecimalType) -> Column:
+
+def truncated_of(text: Column, kind: DecimalType) -> Column:
     # the whole text must be a number; digits beyond the scale go, whatever the sign
     number = F.when(text.rlike(_NUMBER), text.try_cast(DecimalType(38, max(18, kind.scale))))
     cut = F.when(number < 0, F.ceil(number, F.lit(kind.scale))).otherwise(F.floor(number, F.lit(kind.scale)))
     return cut.try_cast(kind)
 
 
+def _parsed(records: DataFrame, schema: StructType, options: dict[str, str]) -> DataFrame:
+    """Records of text as the columns of ``schema``; a quote that is never closed makes a bad record."""
+    corrupt = options.get("columnNameOfCorruptRecord")
+    row = F.from_csv("record", schema.json(), {**options, "multiLine": "true", "maxCharsPerColumn": "-1"})
+    rows = records.select(row.alias("r"), "record", "unclosed")
+    if options["mode"] == "FAILFAST":
+        failed = F.raise_error(F.concat(F.lit("a quote is not closed in: "), F.left("record", F.lit(200))))
+        rows = rows.where(F.when(F.col("unclosed"), failed.cast("boolean")).otherwise(True))
+    columns = [F.col("r." + "`" + f.name.replace("`", "``") + "`") for f in schema.fields]
+    if corrupt:
+        columns[-1] = F.when(F.col("unclosed"), F.col("record")).otherwise(columns[-1]).alias(corrupt)
+    return rows.select(*columns)
+
+
 def read_positional_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str,
                         header: bool = True, mode: str = "FAILFAST",
                         empty_strings: str = "null", scale_mode: str = "round",
@@ -61,10 +92,11 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str], schema:
     """Read CSV with a fixed schema bound by position.
 
     Quotes inside a quoted field are doubled; a backslash is an ordinary character.
-    ``multi_line`` allows line breaks inside quotes; such files are read whole, one
-    task each, so it is off by default. A quoted line break then leaves a row short,
-    which fails, unless it stands in the last column and what follows it happens to
-    have as many fields as a row: files that may hold such texts need ``multi_line``.
+    ``multi_line`` allows line breaks inside quotes. Such files are read by
+    :func:`asterism.sources.records.read_records`, in blocks like any other, but in two
+    passes with Python in their tasks, so it is off by default. A quoted line break then
+    leaves a row short, which fails, unless it stands in the last column and what follows
+    it happens to have as many fields as a row: files that may hold such texts need ``multi_line``.
     ``mode="FAILFAST"`` fails the job on a short row or a value that does not fit
     its type (e.g. decimal overflow); ``"PERMISSIVE"`` with ``corrupt_column``
     keeps bad lines aside instead. ``empty_strings="keep"`` keeps a quoted
@@ -81,13 +113,11 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str], schema:
         """The field from its text, where the reader's own parser is too narrow."""
         text = F.trim(quoted(f.name))
         if isinstance(f.dataType, BooleanType):
-            return _boolean(text)
+            return boolean_of(text)
         if isinstance(f.dataType, TimestampNTZType):
-            if timestamp_format:
-                return F.try_to_timestamp(text, F.lit(timestamp_format)).cast("timestamp_ntz")
-            return _timestamp(text, TIME_FORMATS)
+            return timestamp_of(text, timestamp_format)
         if isinstance(f.dataType, DecimalType) and scale_mode == "truncate":
-            return _truncated(text, f.dataType)
+            return truncated_of(text, f.dataType)
         return None
 
     as_text = {f.name for f in target.fields if parsed(f) is not None}
@@ -95,15 +125,17 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str], schema:
                               for f in target.fields])
     if corrupt_column:
         read_schema = StructType(read_schema.fields + [StructField(corrupt_column, StringType())])
-    reader = (spark.read.schema(read_schema).options(**DIALECT).option("header", header).option("mode", mode)
-              .option("multiLine", multi_line).option("enforceSchema", True))
+    options = {**DIALECT, "mode": mode}
     if corrupt_column:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        options["columnNameOfCorruptRecord"] = corrupt_column
     if empty_strings == "keep":
-        reader = reader.option("nullValue", KEEP_EMPTY_NULL_VALUE).option("emptyValue", "")
+        options |= {"nullValue": KEEP_EMPTY_NULL_VALUE, "emptyValue": ""}
     elif empty_strings != "null":
         raise ValueError("empty_strings must be 'null' or 'keep'")
-    df = reader.csv(path)
+    if multi_line:
+        df = _parsed(read_records(spark, path, header), read_schema, options)
+    else:
+        df = spark.read.schema(read_schema).options(**options, header=header, enforceSchema=True).csv(path)
 
     def checked(f: StructField) -> Column:
         raw = quoted(f.name)

@@ -1,9 +1,11 @@
 import datetime as dt
+import json
 import os
 
 import pytest
 
 from asterism.plans.star import StarConfig, build_star
+from asterism.sources.load import LoadError
 from tests.conftest import rows
 
 # The header and first stations of the source station file, retyped
@@ -179,3 +181,26 @@ def test_event_audit_and_measures_read_stored_tables(spark, data_root, tmp_dir):
     star = build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out"))
     for frame in (star.log, star.tables["meteodata_unpivoted"], star.tables["ci2"]):
         assert "FileScan csv" not in plan(frame)
+
+
+def test_build_from_a_manifest_with_bad_rows_kept_aside(spark, data_root, tmp_dir):
+    names = ["agencies.csv", "crime_incidents.csv", "meteodata/weather_stations.csv", "auxfs/station_names.csv",
+             "auxfs/meteoparam_names_fmts.csv", "meteodata/temperature.csv", "meteodata/pressure.csv", "meteodata/description.csv"]
+    os.rename(f"{data_root}/agencies.csv", f"{data_root}/agencies-2020.csv")
+    with open(f"{data_root}/crime_incidents.csv", "a") as f:
+        f.write(_incident(6, "AA0000001", "no date", "Robbery") + "\n")
+    pairs = [{"local": "agencies-2020.csv" if n == "agencies.csv" else n, "s3": n} for n in names]
+    _write(f"{tmp_dir}/files.json", [json.dumps({"data_files": pairs})])
+    cfg = dict(data_root=data_root, out_root=f"{tmp_dir}/out", manifest=f"{tmp_dir}/files.json", mode="overwrite")
+    with pytest.raises(LoadError, match="1 of 6 records are bad"):
+        build_star(spark, StarConfig(**cfg, max_errors=0))
+    star = build_star(spark, StarConfig(**cfg, max_errors=1))
+    assert rows(star.tables["fct_crime_incidents"], "ori") == [("AA0000001",), ("AA0000002",), ("AA0000003",)]
+    assert rows(spark.read.parquet(f"{tmp_dir}/out/stage/load_errors"), "input", "line", "column", "reason", "value") == [
+        ("crime_incidents.csv", 7, "incident_date", "not a timestamp_ntz", "no date")]
+    log = [r[0] for r in spark.read.parquet(f"{tmp_dir}/out/stage/log_table").select("message").collect()]
+    assert [m for m in log if m.startswith("5 rows loaded, 1 rejected") and m.endswith("crime_incidents.csv")]
+    assert [m for m in log if m.startswith("5 rows loaded, 0 rejected") and m.endswith("agencies-2020.csv")]
+    os.remove(f"{data_root}/meteodata/pressure.csv")
+    with pytest.raises(ValueError, match="not found: meteodata/pressure.csv"):
+        build_star(spark, StarConfig(**cfg))
