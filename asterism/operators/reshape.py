@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from asterism.functions.columns import any_null, quoted, regex_literal
 from asterism.functions.names import pivot_column_names
+from asterism.session import scratch_path
 
 
 def split_to_rows(df: DataFrame, id_cols: Sequence[str], col: str, delim: str = ";",
@@ -135,14 +136,67 @@ def _ordered(frames: Mapping[str, DataFrame] | Sequence[DataFrame]) -> list[Data
     return list(frames)
 
 
+#: Rows of one input that a group of the full join gathers; a key with more is split.
+MAX_GROUP_ROWS = 4096
+#: Split keys at most, whose shares are broadcast; beyond, groups grow.
+MAX_SPLIT_KEYS = 1_000_000
+
+
+def key_shares(dfs: Sequence[DataFrame], keys: Sequence[str], group_rows: int = MAX_GROUP_ROWS,
+               max_keys: int = MAX_SPLIT_KEYS) -> DataFrame | None:
+    """``keys…, _s0, _s1, …``: into how many pieces each input's rows of a key are dealt; only keys with
+    more than ``group_rows`` rows of an input have a row. None where no key has. Stored.
+
+    One map-side counted aggregate over the keys of all inputs.
+    """
+    spark, n = dfs[0].sparkSession, range(len(dfs))
+    stacked = reduce(DataFrame.unionByName, [d.where(~any_null(keys)).select(*[quoted(k) for k in keys], F.lit(i).alias("_i"))
+                                             for i, d in enumerate(dfs)])
+    counts = (stacked.groupBy(*[quoted(k) for k in keys]).agg(*[F.count_if(F.col("_i") == i).alias(f"_s{i}") for i in n])
+              .withColumn("_most", F.greatest(*[F.col(f"_s{i}") for i in n])).where(F.col("_most") > group_rows))
+    path = scratch_path(spark, "key-shares")
+    counts.write.parquet(path)
+    stored = spark.read.parquet(path)
+    while (found := stored.where(F.col("_most") > group_rows).count()) > max_keys:
+        group_rows *= 2
+    if not found:
+        return None
+    share = lambda i: F.greatest(F.lit(1), F.ceil(F.col(f"_s{i}") / group_rows)).cast("long").alias(f"_s{i}")
+    return stored.where(F.col("_most") > group_rows).select(*[quoted(k) for k in keys], *[share(i) for i in n])
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], at: int, shares: DataFrame, n: int) -> DataFrame:
+    """The rows of split keys of input ``at`` with the groups (``_g``) that they go to.
+
+    A group is a choice of one piece of each input, numbered in mixed radix; a row lies in one
+    piece of its own input, and goes to all choices of the others. Rows are stored with
+    their piece, so that a rerun task can't deal them otherwise.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "split-rows")
+    size = lambda over: reduce(lambda a, b: a * b, [F.col(f"_s{j}") for j in over], F.lit(1))
+    # repeated rows share a hash, so rows are dealt by their place
+    piece = F.pmod(F.monotonically_increasing_id(), F.col(f"_s{at}"))
+    (df.join(F.broadcast(shares), list(keys)).withColumn("_piece", piece).write.parquet(path))
+    after = size(range(at + 1, n))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), size([j for j in range(n) if j != at]) - 1))
+    return (spark.read.parquet(path).withColumn("_other", other)
+            .withColumn("_g", (F.floor(F.col("_other") / after) * F.col(f"_s{at}") + F.col("_piece")) * after + F.col("_other") % after)
+            .select(*[quoted(c) for c in df.columns], F.col("_g").cast("long").alias("_g")))
+
+
 def full_join_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
-                       keys: Sequence[str], assume_unique: bool = False) -> DataFrame:
+                       keys: Sequence[str], assume_unique: bool = False,
+                       group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """N-way ``FULL JOIN … USING (keys)``; keys coalesced, tables in name order.
 
-    The exact chain keeps the join's multiplicity for repeated keys. Rows with a NULL
-    key match nothing, so they go round the joins (which would put all of them into
-    one task) and are appended. With ``assume_unique=True`` (each input has at most one
-    row per non-NULL key) the one-shuffle form :func:`union_measures` is used.
+    A key's rows are the product of the inputs' rows of that key, NULL for inputs without
+    one, just as in a chain of joins, but grouped once: all inputs' rows meet in one
+    shuffle, a group holds each input's rows of a key, and the product is exploded. No
+    intermediate result is shuffled. A key with more than ``group_rows`` rows of an input is
+    split (:func:`key_shares`, counted beforehand when called): its rows are dealt to pieces,
+    and each choice of pieces is a group of its own. Rows with a NULL key match nothing and
+    are appended. With ``assume_unique=True`` (each input has at most one row per non-NULL
+    key) the form :func:`union_measures` is used.
     """
     dfs = _ordered(frames)
     if not dfs:
@@ -151,7 +205,23 @@ def full_join_measures(frames: Mapping[str, DataFrame] | Sequence[DataFrame],
         return dfs[0]
     if assume_unique:
         return union_measures(dfs, keys)
-    keyed = reduce(lambda a, b: a.join(b, list(keys), "full"), [d.where(~any_null(keys)) for d in dfs])
+    by, n = [quoted(k) for k in keys], len(dfs)
+    shares = key_shares(dfs, keys, group_rows)
+    columns = [[c for c in d.columns if c not in keys] for d in dfs]
+    parts = []
+    for i, d in enumerate(dfs):
+        keyed = d.where(~any_null(keys))
+        # an input without measures still has rows to multiply
+        row = F.struct(*[quoted(c) for c in columns[i]], F.lit(1).alias("_row")).alias(f"_r{i}")
+        whole = keyed if shares is None else keyed.join(F.broadcast(shares.select(*by)), list(keys), "left_anti")
+        parts.append(whole.select(*by, F.lit(0).cast("long").alias("_g"), row))
+        if shares is not None:
+            parts.append(_dealt(keyed, keys, i, shares, n).select(*by, "_g", row))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    grouped = stacked.groupBy(*by, "_g").agg(*[F.collect_list(f"_r{i}").alias(f"_r{i}") for i in range(n)])
+    for i in range(n):
+        grouped = grouped.withColumn(f"_r{i}", F.explode_outer(f"_r{i}"))
+    keyed = grouped.select(*by, *[F.col(f"_r{i}")[c].alias(c) for i in range(n) for c in columns[i]])
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [keyed, *[d.where(any_null(keys)) for d in dfs]])
 
 

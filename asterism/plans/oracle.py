@@ -169,6 +169,12 @@ ORACLE_SQL: dict[str, str] = {
     "unpivot_measures": _with("SELECT datetime, stn, v FROM wide UNPIVOT INCLUDE NULLS "
                               "(v FOR stn IN (click, error, purchase, signup, view))", "wide"),
     "full_join": _with("SELECT * FROM measures", "measures"),
+    "full_join_repeated": "SELECT * FROM (SELECT CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS day, "
+                          "o_custkey % 25 AS k, o_orderkey FROM orders) "
+                          "FULL JOIN (SELECT CAST(l_shipdate AS DATE) AS day, CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey % 25 END AS k, "
+                          "l_extendedprice FROM lineitem WHERE l_linenumber = 1) USING (day, k) "
+                          "FULL JOIN (SELECT CAST(DATE '1995-01-01' + CAST(p_partkey % 900 AS INTEGER) AS DATE) AS day, "
+                          "p_partkey % 25 AS k, p_retailprice FROM part) USING (day, k)",
     "union_measures": _with("SELECT * FROM measures", "measures"),
     "date_bounds": _with("SELECT * FROM bounds", "bounds"),
     "dim_dates": _with("SELECT * FROM dates", "dates"),

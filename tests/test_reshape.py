@@ -1,10 +1,14 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from asterism.operators.reshape import (
+    _dealt,
     count_list_names,
     full_join_measures,
+    key_shares,
     list_vocabulary,
     number_names,
     pivot_counts,
@@ -167,3 +171,53 @@ def test_union_refuses_repeated_keys(spark):
     a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, a double")
     with pytest.raises(Exception, match="repeats"):
         union_measures([a, spark.createDataFrame([(1, 5.0)], "k int, b double")], ["k"]).collect()
+
+
+def chained(dfs, keys):
+    """The full join as a chain of joins on coalesced keys."""
+    from functools import reduce
+
+    return reduce(lambda a, b: a.join(b, keys, "full"), dfs)
+
+
+@pytest.mark.parametrize("group_rows", [4096, 3, 1])
+def test_full_join_equals_the_chain_with_repeated_and_null_keys(spark, group_rows):
+    r = random.Random(group_rows)
+    dfs = []
+    for i, c in enumerate("abcd"):
+        data = [(r.choice([None, 1, 1, 2, 3, 4 + i]), r.choice(["x", "x", None]), float(r.randrange(4))) for _ in range(9)]
+        data += data[:2]  # whole rows that repeat
+        dfs.append(spark.createDataFrame(data, f"k int, s string, {c} double").repartition(2))
+    assert rows(full_join_measures(dfs, ["k", "s"], group_rows=group_rows)) == rows(chained(dfs, ["k", "s"]))
+
+
+def test_full_join_of_inputs_without_measures(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    b = spark.createDataFrame([(1, 5.0), (3, None)], "k int, b double")
+    assert rows(full_join_measures([a, b], ["k"])) == [(1, 5.0), (1, 5.0), (2, None), (3, None)]
+    assert rows(full_join_measures([a.where("false"), b], ["k"])) == [(1, 5.0), (3, None)]
+
+
+def test_full_join_shuffles_each_input_once(spark, tmp_dir):
+    dfs = []
+    for c in "abc":
+        spark.range(3000).selectExpr("id % 700 AS k", f"id AS {c}").write.parquet(f"{tmp_dir}/{c}")
+        dfs.append(spark.read.parquet(f"{tmp_dir}/{c}"))
+    text = plan(full_join_measures(dfs, ["k"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_full_join_spreads_a_hot_key(spark, tmp_dir):
+    """A key with a third of all rows: no group holds more of an input than its bound."""
+    for c, hot in (("a", 10_000), ("b", 3)):
+        spark.range(3 * hot).selectExpr(f"IF(id < {hot}, -1, id) AS k", f"id AS {c}").write.parquet(f"{tmp_dir}/{c}")
+    dfs = [spark.read.parquet(f"{tmp_dir}/{c}") for c in "ab"]
+    shares = key_shares(dfs, ["k"], 500)
+    assert rows(shares) == [(-1, 20, 1)]
+    dealt = _dealt(dfs[0], ["k"], 0, shares, 2)
+    sizes = [r["count"] for r in dealt.groupBy("_g").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 600
+    out = full_join_measures(dfs, ["k"], group_rows=500)
+    assert out.where("k = -1").count() == 30_000
+    assert out.where("k = -1").select(F.countDistinct("a", "b")).first()[0] == 30_000
+    assert out.count() == 30_000 + 20_000 + 6
