@@ -30,6 +30,7 @@ from asterism.plans import star
 from asterism.session import scratch_path
 from asterism.sources import csv as csv_src
 from asterism.sources import load, sinks
+from asterism.sources.store import Store
 
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 DEDUP_COLS = ["l_partkey", "l_suppkey", "l_returnflag"]
@@ -436,14 +437,45 @@ def log_appended(spark, d):
 def table_replaced(spark, d):
     """A table that refuses a second write, is then replaced, and read back."""
     path = scratch_path(spark, "replaced")
-    sinks.write_table(table(spark, d, "nation"), path)
+    sinks.write_table(table(spark, d, "supplier"), path)
     try:
-        sinks.write_table(table(spark, d, "region"), path)
+        sinks.write_table(table(spark, d, "orders"), path)
     except AnalysisException:
-        sinks.write_table(table(spark, d, "region"), path, "overwrite")
+        sinks.write_table(table(spark, d, "orders"), path, "overwrite")
     return spark.read.parquet(path)
 
 
+def table_rewritten(spark, d):
+    """A stored table replaced by a result that reads it: customers with what their nation's largest balance has more."""
+    store = Store(spark, scratch_path(spark, "store"))
+    with store.change() as change:
+        change.replace("customer", table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal"))
+    with store.change() as change:
+        rows = store.read("customer")
+        largest = rows.groupBy("c_nationkey").agg(F.max("c_acctbal").alias("largest"))
+        change.replace("customer", rows.join(largest, "c_nationkey").select(
+            "c_custkey", (F.col("largest") - F.col("c_acctbal")).alias("behind")))
+    return store.read("customer")
+
+
+def _loads(spark, d):
+    """Compound lists by the ship dates of two loads, the second one holding rows of the first."""
+    rows = compound(spark, d)
+    return [rows.where("day < '1996-01-01'"), rows.where("day >= '1995-01-01'")]
+
+
+def rows_inserted(spark, d):
+    """A table loaded in two overlapping parts: the second adds only rows that are new, with ids that run on."""
+    store = Store(spark, scratch_path(spark, "store"))
+    first, second = _loads(spark, d)
+    with store.change() as change:
+        columns = first.columns
+        change.replace("incidents", ev.with_surrogate_id(first.distinct(), "id", columns))
+    with store.change() as change:
+        change.insert_new("incidents", second, "id")
+    return store.read("incidents")
+
+
 # --- the whole build, from raw files ------------------------------------------------------
 
 # The types of the measures that are written as wide files.
@@ -565,6 +597,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_types": schema_types,
     "log_appended": log_appended,
     "table_replaced": table_replaced,
+    "table_rewritten": table_rewritten,
+    "rows_inserted": rows_inserted,
     "star_measures": star_measures,
     "star_incidents": star_incidents,
 }

@@ -227,6 +227,13 @@ ORACLE_SQL: dict[str, str] = {
         + ", ".join(f"CAST(len(list_filter(parts, lambda x: x = '{x}')) AS BIGINT) AS {x.lower() or 'not_named'}"
                     for x in ("", "A", "F", "N", "O", "R"))
         + " FROM star_ids, star_day WHERE offenses IS NOT NULL", "star_ids", "star_day"),
-    "table_replaced": "SELECT * FROM region",
+    "table_replaced": "SELECT * FROM orders",
+    "table_rewritten": "SELECT c_custkey, max(c_acctbal) OVER (PARTITION BY c_nationkey) - c_acctbal AS behind FROM customer",
+    "rows_inserted": _with(
+        "SELECT row_number() OVER (ORDER BY l_orderkey, day, offenses NULLS FIRST) AS id, * FROM "
+        "(SELECT DISTINCT * FROM compound WHERE day < DATE '1996-01-01') UNION ALL "
+        "SELECT (SELECT count(*) FROM (SELECT DISTINCT * FROM compound WHERE day < DATE '1996-01-01')) "
+        "+ row_number() OVER (ORDER BY l_orderkey, day, offenses NULLS FIRST) AS id, * FROM "
+        "(SELECT DISTINCT * FROM compound WHERE day >= DATE '1996-01-01')", "compound"),
     "csv_scan": "SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part",
 }

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,7 @@ from asterism.operators import events as ev
 from asterism.operators import facts, generators, quality, reshape, schema
 from asterism.sources import csv as csv_src
 from asterism.sources import load, sinks
+from asterism.sources.store import Store
 
 # The columns of the source files, by position (VARCHAR(n) → STRING,
 # FLOAT → DOUBLE, TIMESTAMP → TIMESTAMP_NTZ).
@@ -74,8 +75,9 @@ INCIDENT_LENGTHS = {"ori": 9, "population_group_code": 200, "population_group_de
                     "multiple_offense": 20, "multiple_bias": 20}
 
 
-#: A build makes all tables anew: it refuses to replace any, or replaces them all.
-BUILD_MODES = ("errorifexists", "overwrite")
+#: A build makes all tables anew: it refuses to replace any, or replaces them one by one, or
+#: writes them beside the earlier ones and makes them seen all at once (see ``sources.store``).
+BUILD_MODES = ("errorifexists", "overwrite", "versioned")
 
 
 @dataclass
@@ -159,6 +161,7 @@ class Star:
     tables: dict[str, DataFrame]
     log: DataFrame
     checks: dict[str, DataFrame]
+    written: dict[str, str] = field(default_factory=dict)  # folders of the stored tables, under the root
 
 
 def _path(cfg: StarConfig, area: str, name: str) -> str:
@@ -208,6 +211,32 @@ def _unique_non_null(df: DataFrame, col: str) -> bool:
 
 
 def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star:
+    """Build every table (see :func:`_build`).
+
+    ``mode="versioned"`` writes into a version folder and commits all tables together when
+    the last is written: until then, and if the build fails or is killed, readers of
+    ``Store(spark, out_root)`` see the earlier star. The log goes on from commit to commit.
+    """
+    if not write or cfg.mode != "versioned":
+        return _build(spark, cfg, write)
+    with Store(spark, cfg.out_root).change() as change:
+        star = _build(spark, replace(cfg, out_root=f"{change.store.root}/{change.folder}", mode="errorifexists"), write)
+        for name, folder in star.written.items():
+            earlier = change.tables.get(name, []) if name == "log_table" else []
+            change.tables[name] = [*earlier, f"{change.folder}/{folder}"]
+    return star
+
+
+def _drop_runs(spark: SparkSession, cfg: StarConfig, but: str) -> None:
+    """Remove what earlier builds stored on their way: their tables have just been replaced."""
+    stage = spark._jvm.org.apache.hadoop.fs.Path(_path(cfg, cfg.stage, ""))
+    fs = stage.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(stage):
+        if status.getPath().getName().startswith("run-") and status.getPath().getName() != but:
+            fs.delete(status.getPath(), True)
+
+
+def _build(spark: SparkSession, cfg: StarConfig, write: bool) -> Star:
     """Build every table. With ``write=True`` the intermediate tables that are used
     more than once (distinct dimension rows, the long measures, the combined
     measures) are stored in a folder of this run under the stage area and read
@@ -267,21 +296,28 @@ def build_star(spark: SparkSession, cfg: StarConfig, write: bool = True) -> Star
     if inputs.loads:
         tables["load_errors"] = inputs.errors()
 
+    written = {}
     if write:
+        def target(area: str, name: str) -> str:
+            written[name] = f"{area}/{name}"
+            return _path(cfg, area, name)
+
         for name, sort_keys in DIMENSION_SORT_KEYS.items():
             # Dimensions are small (they are broadcast): a global sort is cheap.
-            sinks.write_table(tables[name].orderBy(*sort_keys), _path(cfg, cfg.mart, name), cfg.mode)
-        sinks.write_fact(tables["fct_crime_incidents"], _path(cfg, cfg.mart, "fct_crime_incidents"), "ori",
+            sinks.write_table(tables[name].orderBy(*sort_keys), target(cfg.mart, name), cfg.mode)
+        sinks.write_fact(tables["fct_crime_incidents"], target(cfg.mart, "fct_crime_incidents"), "ori",
                          ["ori", "date_id", "hour_id"], cfg.mode)
-        sinks.write_fact(tables["fct_meteodata"], _path(cfg, cfg.mart, "fct_meteodata"), "stn",
+        sinks.write_fact(tables["fct_meteodata"], target(cfg.mart, "fct_meteodata"), "stn",
                          ["stn", "date_id", "hour_id"], cfg.mode)
         for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs", *(["load_errors"] if inputs.loads else [])):
             table = tables[name].sort("ori") if name == "agencies_ir" else tables[name]
-            sinks.write_table(table, _path(cfg, cfg.stage, name), cfg.mode)
-        sinks.append_log(log, _path(cfg, cfg.stage, "log_table"))
+            sinks.write_table(table, target(cfg.stage, name), cfg.mode)
+        sinks.append_log(log, target(cfg.stage, "log_table"))
+        if cfg.mode == "overwrite":
+            _drop_runs(spark, cfg, but=run)
         tables = {n: spark.read.parquet(_path(cfg, cfg.mart, n)) if n.startswith(("dim_", "fct_")) else df
                   for n, df in tables.items()}
-    return Star(tables, log, _checks(tables, _read_specs(inputs)[0]))
+    return Star(tables, log, _checks(tables, _read_specs(inputs)[0]), written)
 
 
 def _checks(t: dict[str, DataFrame], specs: DataFrame) -> dict[str, DataFrame]:

@@ -5,7 +5,9 @@ import os
 import pytest
 
 from asterism.plans.star import StarConfig, build_star
+from asterism.sources import sinks
 from asterism.sources.load import LoadError
+from asterism.sources.store import Store
 from tests.conftest import rows
 
 # The header and first stations of the source station file, retyped
@@ -204,3 +206,34 @@ def test_build_from_a_manifest_with_bad_rows_kept_aside(spark, data_root, tmp_di
     os.remove(f"{data_root}/meteodata/pressure.csv")
     with pytest.raises(ValueError, match="not found: meteodata/pressure.csv"):
         build_star(spark, StarConfig(**cfg))
+
+
+def test_a_versioned_build_is_seen_whole_or_not_at_all(spark, data_root, tmp_dir, monkeypatch):
+    cfg = StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out", mode="versioned")
+    build_star(spark, cfg)
+    store = Store(spark, f"{tmp_dir}/out")
+    first = rows(store.read("fct_crime_incidents"))
+    assert first and set(store.tables()) >= {"dim_agencies", "dim_dates", "fct_meteodata", "agencies_ir", "log_table"}
+    _write(f"{data_root}/crime_incidents.csv", ["hdr", _incident(9, "AA0000001", "2020-02-02 00:00:00", "Arson")])
+    real = sinks.write_fact
+
+    def killed(df, target, *rest, **options):
+        if "fct_meteodata" in target:
+            raise KeyboardInterrupt
+        real(df, target, *rest, **options)
+
+    monkeypatch.setattr(sinks, "write_fact", killed)
+    with pytest.raises(KeyboardInterrupt):
+        build_star(spark, cfg)
+    assert rows(store.read("fct_crime_incidents")) == first and store.commits() == [1]
+    monkeypatch.setattr(sinks, "write_fact", real)
+    star = build_star(spark, cfg)
+    assert rows(store.read("fct_crime_incidents"), "offenses") == [("Arson",)] and star.checks["pk_dim_dates"].isEmpty()
+    assert rows(store.read("fct_crime_incidents", 1)) == first
+    assert store.read("log_table").count() == 2 * store.read("log_table", 1).count()
+
+
+def test_overwriting_removes_what_earlier_builds_stored_on_their_way(spark, data_root, tmp_dir):
+    for mode in ("errorifexists", "overwrite", "overwrite"):
+        build_star(spark, StarConfig(data_root=data_root, out_root=f"{tmp_dir}/out", mode=mode))
+        assert len([n for n in os.listdir(f"{tmp_dir}/out/stage") if n.startswith("run-")]) == 1

@@ -1,0 +1,143 @@
+"""Versioned tables: replacement, insertion with running ids, failed and concurrent changes."""
+
+import os
+import time
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from asterism.sources.store import ConflictError, Store, read_all
+from tests.conftest import plan, rows
+
+
+@pytest.fixture()
+def store(spark, tmp_dir):
+    return Store(spark, f"{tmp_dir}/store")
+
+
+def fill(spark, store, n=5):
+    with store.change() as change:
+        change.replace("t", spark.range(n).selectExpr("id + 1 AS id", "id % 3 AS a", "IF(id = 4, NULL, CAST(id AS STRING)) AS b"))
+
+
+def versions(store):
+    return sorted(os.listdir(f"{store.root}/versions"))
+
+
+def test_a_table_is_replaced_by_a_result_that_reads_it(spark, store):
+    fill(spark, store)
+    with store.change() as change:
+        change.replace("t", store.read("t").selectExpr("id * 10 AS id", "a", "b"))
+        assert rows(store.read("t"), "id")[0] == (1,)  # not seen before the commit
+    assert rows(store.read("t"), "id") == [(10,), (20,), (30,), (40,), (50,)]
+    assert rows(store.read("t", 1), "id")[-1] == (5,)  # as of the first commit
+    assert store.commits() == [1, 2]
+
+
+def test_several_tables_change_together(spark, store):
+    with store.change() as change:
+        change.replace("a", spark.range(1))
+        change.replace("b", spark.range(2))
+        assert store.tables() == {} and store.commits() == []
+    assert {k: v.count() for k, v in read_all(store, "ab").items()} == {"a": 1, "b": 2}
+    with pytest.raises(KeyError):
+        store.read("c")
+
+
+def test_a_change_that_fails_leaves_everything(spark, store):
+    fill(spark, store)
+    before = versions(store)
+    with pytest.raises(RuntimeError, match="midway"):
+        with store.change() as change:
+            change.replace("t", spark.range(100))
+            raise RuntimeError("midway")
+    assert store.read("t").count() == 5 and versions(store) == before
+    broken = store.read("t").select(F.raise_error(F.lit("bad row")).alias("id"))
+    with pytest.raises((PySparkException, Py4JJavaError), match="bad row"):
+        with store.change() as change:
+            change.replace("t", broken)
+    assert store.read("t").count() == 5 and store.commits() == [1]
+
+
+def test_a_killed_change_is_never_seen_and_is_removed_later(spark, store):
+    fill(spark, store)
+    killed = store.change()
+    killed.replace("t", spark.range(100))
+    del killed  # no commit, no clean-up
+    half = f"{store.root}/_commits/000000000002.json"
+    with open(half, "w") as f:  # killed while it wrote its commit
+        f.write('{"t": ["versions')
+    assert store.read("t").count() == 5
+    assert len(versions(store)) == 2 and store.vacuum(older_than=3600) == 0
+    assert store.vacuum(older_than=-5) == 1 and len(versions(store)) == 1
+    assert store.read("t").count() == 5
+    fill(spark, store, 7)  # goes on behind the broken commit
+    assert store.read("t").count() == 7
+
+
+def test_only_one_of_two_changes_is_committed(spark, store):
+    fill(spark, store)
+    one, two, three = store.change(), store.change(), store.change()
+    for change, n in ((one, 6), (two, 7), (three, 8)):
+        change.replace("t", spark.range(n))
+    assert one.commit() == 2
+    with pytest.raises(ConflictError):
+        two.commit()
+    three.base = [1]
+    three.store = type("Late", (), {"commits": lambda self: [1], "_fs": store._fs, "_path": store._path, "root": store.root})()
+    with pytest.raises(ConflictError):  # saw nothing new, yet was second to write the commit's file
+        three.commit()
+    assert store.read("t").count() == 6
+
+
+def test_vacuum_keeps_what_the_last_commits_use(spark, store):
+    for n in range(4):
+        fill(spark, store, n + 1)
+    time.sleep(0.01)
+    assert store.vacuum(keep=2, older_than=-5) == 2
+    assert store.read("t").count() == 4 and store.read("t", 3).count() == 3
+
+
+def test_columns_bind_by_position(spark, store):
+    fill(spark, store)
+    with store.change() as change:
+        change.insert("t", spark.createDataFrame([("9", 2, "x")], "b string, id int, a string"))
+    assert rows(store.read("t"))[-1] == (9, 2, "x")
+    assert [f.simpleString() for f in store.read("t").schema] == ["id:bigint", "a:bigint", "b:string"]
+    with pytest.raises(ValueError, match="3 columns, not 2"):
+        with store.change() as change:
+            change.insert("t", spark.range(1).selectExpr("id", "id AS a"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        with store.change() as change:
+            change.insert("t", spark.sql("SELECT 'no number', 1, 'x'"))
+    assert store.read("t").count() == 6
+
+
+def test_loading_in_parts_equals_loading_at_once(spark, store):
+    raw = spark.range(0, 4000, 1, 4).selectExpr("id % 97 AS a", "IF(id % 5 = 0, NULL, concat('n', id % 31)) AS b")
+    with store.change() as change:
+        change.replace("t", spark.createDataFrame([], "id long, a long, b string"))
+    seen = {}
+    for low, high in ((0, 40), (20, 60), (50, 97), (0, 97)):
+        with store.change() as change:
+            change.insert_new("t", raw.where(f"a >= {low} AND a < {high}"), "id")
+        now = {(r.a, r.b): r.id for r in store.read("t").collect()}
+        assert {k: now[k] for k in seen} == seen  # ids given before stay
+        assert sorted(now.values()) == list(range(1, len(now) + 1))
+        seen = now
+    assert set(seen) == {(r.a, r.b) for r in raw.distinct().collect()}
+    assert store.read("t").count() == len(seen)
+
+
+def test_the_stored_table_is_not_shuffled_by_an_insert(spark, store, monkeypatch):
+    fill(spark, store, 50)
+    held = []
+    real = type(store.read("t")).distinct
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.distinct", lambda self: held.append(real(self)) or held[-1])
+    with store.change() as change:
+        change.insert_new("t", spark.range(9).selectExpr("id % 5", "CAST(NULL AS STRING)"), "id")
+    text = plan(held[1])
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 1  # of the keys held by both, for distinct
