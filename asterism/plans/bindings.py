@@ -15,6 +15,7 @@ Every query reads whole tables; nothing is sampled, capped or subset by id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,7 @@ from asterism.functions.columns import hour_start
 from asterism.functions.types import spark_type
 from asterism.operators import events as ev
 from asterism.operators import facts, generators, quality, reshape, schema
+from asterism.operators import keys as key_checks
 from asterism.plans import star
 from asterism.session import scratch_path
 from asterism.sources import csv as csv_src
@@ -97,6 +99,13 @@ def pk_violations(spark, d):
     return quality.check_unique(table(spark, d, "lineitem"), LI_KEYS)
 
 
+def pk_violations_sorted(spark, d):
+    """Parts and suppliers of lines that repeat, from files that hold the lines in that order."""
+    path, keys = scratch_path(spark, "sorted"), ["l_partkey", "l_suppkey"]
+    sinks.write_fact(table(spark, d, "lineitem").select(*keys, "l_quantity"), path, keys[0], keys)
+    return key_checks.check_unique_sorted(spark.read.parquet(path), keys)
+
+
 def fk_orphans(spark, d):
     # labels cover some of the documents: the others are orphans
     return quality.check_foreign_key(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
@@ -310,6 +319,26 @@ def fct_readback(spark, d):
     return spark.read.parquet(path)
 
 
+def fct_range(spark, d):
+    """Some weeks of the measure fact of a range of stations, from the files that its index names."""
+    path = scratch_path(spark, "fct_indexed")
+    sinks.write_fact(fct_measures(spark, d), path, "stn", ["stn", "date_id", "hour_id"], index=True)
+    return sinks.read_range(spark, path, {"stn": ("NATION_10", "NATION_17"), "date_id": (100, 400)})
+
+
+def bucketed_join(spark, d):
+    """Lines with their orders, both stored in buckets of the order's key: joined where they lie."""
+    run = uuid.uuid4().hex
+    for name, key, columns in (("orders", "o_orderkey", ["o_orderkey", "o_orderdate"]),
+                               ("lineitem", "l_orderkey", ["l_orderkey", "l_linenumber", "l_shipdate"])):
+        sinks.write_fact(table(spark, d, name).select(*columns), f"{name}_{run}", key, columns, layout="bucket", buckets=16,
+                         table_path=scratch_path(spark, f"bucketed-{name}"))
+    lines, orders = spark.table(f"lineitem_{run}"), spark.table(f"orders_{run}")
+    days = F.date_diff("l_shipdate", "o_orderdate")
+    return (lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max(days).alias("longest")))
+
+
 def star_daily(spark, d):
     fact = fct_measures(spark, d)
     dates = _measure_dates(spark, d).withColumnRenamed("id", "date_id")
@@ -556,6 +585,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_quarantine_docs": conform_quarantine_docs,
     "key_surplus": key_surplus,
     "pk_violations": pk_violations,
+    "pk_violations_sorted": pk_violations_sorted,
     "fk_orphans": fk_orphans,
     "length_violations": length_violations,
     "length_violations_all": length_violations_all,
@@ -583,6 +613,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_events_joined": fct_events_joined,
     "pivot_lists": pivot_lists,
     "fct_readback": fct_readback,
+    "fct_range": fct_range,
+    "bucketed_join": bucketed_join,
     "star_daily": star_daily,
     "schema_ddl": schema_ddl,
     "param_order": param_order,

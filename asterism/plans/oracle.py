@@ -131,6 +131,8 @@ ORACLE_SQL: dict[str, str] = {
     "key_surplus": "SELECT count(text) - count(DISTINCT text) AS surplus FROM documents",
     "pk_violations": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem "
                      "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+    "pk_violations_sorted": "SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY l_partkey, l_suppkey "
+                            "HAVING count(*) > 1",
     "fk_orphans": "SELECT doc_id, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) "
                   "GROUP BY doc_id",
     "length_violations": "SELECT p_partkey, p_name, CAST(length(p_name) AS INTEGER) AS len FROM part "
@@ -185,6 +187,9 @@ ORACLE_SQL: dict[str, str] = {
     "fct_events_joined": _with("SELECT * FROM fct_e", "fct_e"),
     "pivot_lists": _with("SELECT * FROM pivoted", "pivoted"),
     "fct_readback": _with("SELECT * FROM fct_m", "fct_m"),
+    "fct_range": _with("SELECT * FROM fct_m WHERE stn BETWEEN 'NATION_10' AND 'NATION_17' AND date_id BETWEEN 100 AND 400", "fct_m"),
+    "bucketed_join": "SELECT o_orderkey, count(*) AS n, max(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) "
+                     "AS longest FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey",
     "star_daily": _with("SELECT CAST(datetime AS DATE) AS date, max(hi) AS hi, min(lo) AS lo, "
                         "CAST(sum(big) AS BIGINT) AS big, count(*) AS n_rows FROM measures GROUP BY 1", "measures"),
     "schema_ddl": _with("SELECT p.r_name AS tbl_name, 'datetime DATETIME, ' || string_agg(s.n_name || ' DECIMAL(6, ' || "

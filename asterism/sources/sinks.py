@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterism.functions.columns import quoted
@@ -41,7 +41,8 @@ def append_log(log_rows: DataFrame, target: str, fmt: str = "parquet") -> None:
 
 def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[str],
                mode: str = "errorifexists", num_partitions: int | None = None,
-               layout: str = "range", buckets: int | None = None, fmt: str = "parquet") -> None:
+               layout: str = "range", buckets: int | None = None, fmt: str = "parquet",
+               table_path: str | None = None, index: bool = False) -> None:
     """Write a fact sorted by ``sort_keys`` so Parquet min/max statistics prune.
 
     ``layout="range"`` (default) range-partitions on ``dist_key`` then the sort
@@ -52,8 +53,12 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
     value lies in at most that many files and a hot one is shared by as many tasks.
     ``layout="bucket"`` saves a catalog table bucketed by ``dist_key`` and sorted
     by ``sort_keys`` so later joins on the key skip their shuffle; ``target`` is
-    then a table name.
+    then a table name, and ``table_path`` the folder of its files (default: the warehouse's).
+    A bucket is one file and one task of each join, so a hot key makes one long task there.
+    ``index`` adds the least and largest keys of each file (:func:`write_index`).
     """
+    if index and layout == "bucket":
+        raise ValueError("a bucketed table has no index of files")
     keys = [dist_key] + [k for k in sort_keys if k != dist_key]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if layout == "range":
@@ -72,7 +77,59 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "bucket":
         # one file a bucket: rows meet in the partition that their bucket is written from
-        (df.repartition(buckets or n, quoted(dist_key)).write.mode(mode).format(fmt).bucketBy(buckets or n, dist_key)
-         .sortBy(*keys).saveAsTable(target))
+        writer = (df.repartition(buckets or n, quoted(dist_key)).write.mode(mode).format(fmt).bucketBy(buckets or n, dist_key)
+                  .sortBy(*keys))
+        (writer.option("path", table_path) if table_path else writer).saveAsTable(target)
     else:
         raise ValueError("layout must be 'range', 'hash' or 'bucket'")
+    if index:
+        write_index(df.sparkSession, target, keys)
+
+
+#: Kept inside the table's folder; readers pass over names with an underscore.
+INDEX = "_index"
+#: Files of a range that are listed by name; beyond, the whole folder is read and filtered.
+MAX_LISTED_FILES = 100_000
+
+
+def write_index(spark: SparkSession, target: str, keys: Sequence[str]) -> None:
+    """Store ``file, n`` and the least and largest value of each key for the files of a Parquet table (D3).
+
+    Reads only the key columns; a row for each file.
+    """
+    rows = spark.read.parquet(target).select(F.col("_metadata.file_name").alias("file"), *[quoted(k) for k in keys])
+    bounds = [f(quoted(k)).alias(f"{side}_{k}") for k in keys for side, f in (("low", F.min), ("high", F.max))]
+    rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *bounds).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{INDEX}")
+
+
+def files_of_range(spark: SparkSession, target: str, ranges: Mapping[str, tuple]) -> DataFrame:
+    """``file, n`` of the files that may hold rows within ``ranges`` (key → least and largest value, None: open)."""
+    index = spark.read.parquet(f"{target.rstrip('/')}/{INDEX}")
+    fits = F.lit(True)
+    for key, (low, high) in ranges.items():
+        if low is not None:
+            fits &= quoted(f"high_{key}") >= F.lit(low)
+        if high is not None:
+            fits &= quoted(f"low_{key}") <= F.lit(high)
+    return index.where(fits).select("file", "n")
+
+
+def read_range(spark: SparkSession, target: str, ranges: Mapping[str, tuple]) -> DataFrame:
+    """The rows of an indexed table within ``ranges`` (ends included; a NULL key is in no range).
+
+    Only the files that the index names are listed and opened, so a narrow range of a table
+    of many files costs neither their footers nor a listing.
+    """
+    within = F.lit(True)
+    for key, (low, high) in ranges.items():
+        within &= quoted(key).isNotNull()
+        within = within & (quoted(key) >= F.lit(low)) if low is not None else within
+        within = within & (quoted(key) <= F.lit(high)) if high is not None else within
+    root = target.rstrip("/")
+    names = [r["file"] for r in files_of_range(spark, target, ranges).take(MAX_LISTED_FILES + 1)]
+    if len(names) > MAX_LISTED_FILES:
+        return spark.read.parquet(root).where(within)
+    schema = spark.read.parquet(root).schema if not names else spark.read.parquet(f"{root}/{names[0]}").schema
+    if not names:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/{n}" for n in names]).where(within)
