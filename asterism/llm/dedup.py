@@ -9,9 +9,36 @@ from asterism.llm.common import ascii_lower, drop_documents, fresh, id_text, joi
 
 #: Characters of the normalised text that the prefix hash covers.
 PREFIX_CHARS = 128
-#: Buckets of the filter that lets surviving groups through to the full read. The
-#: filter is broadcast, so this is the bound of its rows.
-FILTER_BUCKETS = 1 << 18
+#: Bits of the filter for each surviving group: one row in 16 of the others passes it.
+FILTER_BITS = 16
+#: The filter is broadcast in rows of BLOCK bits, at most this many (some 150 MB). Beyond
+#: 64 million surviving groups it lets more of the other rows through, and never fewer of theirs.
+MAX_FILTER_ROWS = 1 << 21
+WORDS, WORD = 8, 64
+BLOCK = WORDS * WORD
+
+
+def _filter(groups: DataFrame) -> tuple[DataFrame, int]:
+    """The stored filter ``block, words`` of ``groups (n, prefix)``, as large as their number asks for, and its bits."""
+    bits = BLOCK
+    while bits < FILTER_BITS * groups.count() and bits < MAX_FILTER_ROWS * BLOCK:
+        bits *= 2
+    place = _place(bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (place % WORD).cast("int"))
+    words = [F.coalesce(F.bit_or(F.when(F.floor(place % BLOCK / WORD) == k, one)), F.lit(0).cast("long")) for k in range(WORDS)]
+    found = groups.groupBy(F.floor(place / BLOCK).alias("block")).agg(F.array(*words).alias("words"))
+    return spool(found, "dedup-filter"), bits
+
+
+def _place(bits: int):
+    return F.pmod(F.xxhash64("n", "prefix"), F.lit(bits))
+
+
+def _passes(bits: int):
+    """Whether a row with its block's ``words`` may belong to a surviving group."""
+    place = _place(bits)
+    word = F.element_at("words", (F.floor(place % BLOCK / WORD) + 1).cast("int"))
+    return F.coalesce(F.call_function("shiftrightunsigned", word, (place % WORD).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -24,9 +51,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Refinement: (1) rows are counted by byte length; (2) rows whose length occurs
     twice are counted by (length, hash of the first characters); (3) only rows that
     may be in a surviving group have their whole text hashed with SHA-256, and
-    groups form on (length, SHA-256). Step 3 tests rows against a filter of at most
-    ``FILTER_BUCKETS`` hash buckets of surviving groups, broadcast; a row that the
-    filter lets through wrongly only costs a hash. Texts are never shuffled.
+    groups form on (length, SHA-256). Step 3 tests rows against a bit filter of the
+    surviving groups, broadcast, whose size follows their number (FILTER_BITS, up to
+    MAX_FILTER_ROWS); a row that the filter lets through wrongly only costs a hash.
+    Texts are never shuffled.
     ``text_sha256`` is null for rows proven unique without a full read, unless
     ``hash_all`` asks for the digest of every text.
 
@@ -46,16 +74,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lengths = spool(sketch.groupBy("n").agg(F.count(F.lit(1)).alias("rows_n")).where("rows_n > 1"), "dedup-lengths")
     prefixes = (join_groups(sketch, lengths, "n", "rows_n").groupBy("n", "prefix")
                 .agg(F.count(F.lit(1)).alias("rows_p")).where("rows_p > 1"))
-    bucket = F.pmod(F.xxhash64("n", "prefix"), F.lit(FILTER_BUCKETS))
-    survivors = spool(prefixes.select(bucket.alias("bucket")).distinct(), "dedup-filter")
+    survivors, bits = _filter(spool(prefixes.select("n", "prefix"), "dedup-prefixes"))
 
-    passed = F.broadcast(survivors.withColumn("passed", F.lit(True)))
     full = F.sha2(text, 256)
     if not hash_all:
         full = F.when(F.col("passed"), full)
-    rows = spool(narrow.withColumn("bucket", bucket).join(passed, "bucket", "left")
-                 .select("doc_id", "n", full.alias("text_sha256"), F.col("passed").isNotNull().alias("passed")),
-                 "dedup-rows")
+    rows = spool(narrow.withColumn("block", F.floor(_place(bits) / BLOCK)).join(F.broadcast(survivors), "block", "left")
+                 .withColumn("passed", _passes(bits)).select("doc_id", "n", full.alias("text_sha256"), "passed"), "dedup-rows")
 
     # (length, digest) of a surviving row as one key; rows proven unique stand alone.
     keyed = rows.where("passed").withColumn("key", F.concat_ws(":", F.col("n").cast("string"), "text_sha256"))

@@ -191,6 +191,22 @@ def test_long_runs_are_tested_in_linear_time(spark):
 
 # --- exact dedup ---
 
+@pytest.mark.parametrize("n", [2_000, 60_000])
+def test_rows_hashed_in_full_keep_their_share_as_groups_grow(spark, n):
+    """Every tenth row has a copy; the others, of the same lengths, stay out of the full read at either size."""
+    text = F.format_string("%08d some words", F.when(F.col("id") % 10 == 9, F.col("id") - 1).otherwise(F.col("id")))
+    got = dedup.exact_dedup(spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text")))
+    copies, hashed = got.agg(F.count_if(F.col("group_size") > 1), F.count("text_sha256")).first()
+    assert copies == n / 5
+    assert copies <= hashed <= copies + 0.12 * (n - copies)
+
+
+def test_the_filter_lets_all_surviving_groups_through_when_it_is_full(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "MAX_FILTER_ROWS", 1)
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.format_string("%05d", F.floor(F.col("id") / 2)).alias("text"))
+    assert dedup.exact_dedup(docs).where("group_size = 2").count() == 4_000
+
+
 def brute_dedup(rows):
     groups = defaultdict(list)
     for doc_id, text in rows:
