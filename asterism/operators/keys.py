@@ -1,4 +1,5 @@
-"""Primary keys of tables that lie sorted in their files (V1): neighbours are compared where they lie."""
+"""Key checks that leave large tables where they are: primary keys of tables that lie sorted in their
+files (V1), foreign keys that are whole numbers (V2)."""
 
 from __future__ import annotations
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from asterism.functions.columns import any_null, quoted
 from asterism.session import scratch_path
@@ -123,3 +125,55 @@ def check_unique_sorted(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not ends.select(F.col("a.k").alias("low"), after.alias("before")).where(F.col("before") > F.col("low")).isEmpty():
         raise NotSortedError(f"files overlap in their ranges of {keys}")
     return (runs.groupBy(*[quoted(k) for k in keys]).agg(F.sum("n").alias("n")).where((F.col("n") > 1) | any_null(keys)))
+
+
+#: Keys of one row of a key map: WORDS longs of WORD bits.
+WORDS, WORD = 8, 64
+#: Orphan keys that are broadcast to the fact to be counted; more meet it by shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def key_map(df: DataFrame, key: str) -> DataFrame:
+    """``block, words``: which whole numbers occur as ``key``, a bit each, 512 consecutive ones to a row.
+
+    Combined map-side, so a task gives at most a row for each block it meets, however
+    often its keys repeat.
+    """
+    value = quoted(key).cast("long")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), value.bitwiseAND(F.lit(WORD - 1)).cast("int"))
+    word = F.shiftright(value, 6).bitwiseAND(F.lit(WORDS - 1))
+    bits = [F.coalesce(F.bit_or(F.when(word == k, one)), F.lit(0).cast("long")) for k in range(WORDS)]
+    return df.where(quoted(key).isNotNull()).groupBy(F.shiftright(value, 9).alias("block")).agg(F.array(*bits).alias("words"))
+
+
+def check_dense_foreign_key(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None) -> DataFrame:
+    """:func:`asterism.operators.quality.check_foreign_key` for one key of whole numbers, such as a surrogate id.
+
+    Both tables are reduced to maps of their keys, a bit for each, and only the maps are
+    shuffled: of a dense key 1/512 as many rows as it has values, however large the parent.
+    The bits that the fact has and the parent hasn't are the orphan keys, exactly; they are
+    stored, and the fact is read again, without a shuffle of its rows, only if there are any.
+    NULL passes. A key spread thinly over its range has a block of its own for each value;
+    ``check_foreign_key`` serves it better, and keys of other types.
+    """
+    spark, dim_key = fact.sparkSession, dim_key or fact_key
+    for df, key in ((fact, fact_key), (dim, dim_key)):
+        if not isinstance(df.schema[key].dataType, IntegralType):
+            raise ValueError(f"{key} isn't a whole number")
+    none = F.array_repeat(F.lit(0).cast("long"), WORDS)
+    lost = F.zip_with("f.words", F.coalesce("p.words", none), lambda f, p: f.bitwiseAND(F.bitwise_not(p)))
+    blocks = (key_map(fact, fact_key).alias("f").join(key_map(dim, dim_key).alias("p"), F.col("f.block") == F.col("p.block"), "left")
+              .select(F.col("f.block").alias("block"), lost.alias("lost")).where(F.exists("lost", lambda w: w != 0)))
+    word, bit = F.element_at("lost", F.shiftright("i", 6) + 1), F.col("i").bitwiseAND(F.lit(WORD - 1))
+    is_set = F.call_function("shiftrightunsigned", word, bit).bitwiseAND(F.lit(1)) == 1
+    keys = (blocks.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(WORDS * WORD - 1)))).where(is_set)
+            .select((F.shiftleft("block", 9) + F.col("i")).cast(fact.schema[fact_key].dataType).alias(fact_key)))
+    path = scratch_path(spark, "orphan-keys")
+    keys.write.parquet(path)
+    orphans = spark.read.parquet(path)
+    found = orphans.count()
+    if not found:
+        return orphans.withColumn("n", F.lit(1).cast("long"))
+    orphans = F.broadcast(orphans) if found <= MAX_BROADCAST_KEYS else orphans
+    return (fact.select(quoted(fact_key)).join(orphans, fact_key, "left_semi").groupBy(quoted(fact_key))
+            .agg(F.count(F.lit(1)).alias("n")))

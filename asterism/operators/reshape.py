@@ -44,14 +44,22 @@ def vocabulary_frame(df: DataFrame, col: str) -> DataFrame:
     return df.select(quoted(col)).distinct()
 
 
-def vocabulary(df: DataFrame, col: str) -> list[str]:
+#: Names that :func:`vocabulary` collects at most: each becomes a column.
+MAX_NAMES = 20_000
+
+
+def vocabulary(df: DataFrame, col: str, max_names: int = MAX_NAMES) -> list[str]:
     """Sorted distinct non-NULL values of ``col``, collected for use as pivot columns.
 
-    Runs a job when called. Each value becomes a column of the caller's result; for
-    names that are too many for columns, :func:`count_names` gives the same counts
-    as rows.
+    Runs a job when called. Each value becomes a column of the caller's result, so more
+    than ``max_names`` of them fail, before more than one name beyond has reached the
+    driver; :func:`count_names` gives the same counts as rows, for any number of names.
     """
-    return [r[0] for r in vocabulary_frame(df, col).where(quoted(col).isNotNull()).orderBy(quoted(col)).collect()]
+    names = vocabulary_frame(df, col).where(quoted(col).isNotNull())
+    found = [r[0] for r in names.take(max_names + 1)]
+    if len(found) > max_names:
+        raise ValueError(f"{col} has more than {max_names} names to become columns; count_names gives them as rows")
+    return sorted(found)
 
 
 def count_names(df: DataFrame, group_cols: Sequence[str], name_col: str = "offense_name",

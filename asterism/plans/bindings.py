@@ -111,6 +111,12 @@ def fk_orphans(spark, d):
     return quality.check_foreign_key(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
 
 
+def fk_orphans_dense(spark, d):
+    """Lines whose order is pending, as if such orders were missing: whole numbers, by maps of the keys."""
+    known = table(spark, d, "orders").where("o_orderstatus <> 'P'")
+    return key_checks.check_dense_foreign_key(table(spark, d, "lineitem"), known, "l_orderkey", "o_orderkey")
+
+
 def length_violations(spark, d):
     return quality.check_lengths(table(spark, d, "part"), "p_name", 10, ["p_partkey"])
 
@@ -587,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_violations": pk_violations,
     "pk_violations_sorted": pk_violations_sorted,
     "fk_orphans": fk_orphans,
+    "fk_orphans_dense": fk_orphans_dense,
     "length_violations": length_violations,
     "length_violations_all": length_violations_all,
     "conflicting_keys": conflicting_keys,

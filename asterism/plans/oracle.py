@@ -135,6 +135,8 @@ ORACLE_SQL: dict[str, str] = {
                             "HAVING count(*) > 1",
     "fk_orphans": "SELECT doc_id, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) "
                   "GROUP BY doc_id",
+    "fk_orphans_dense": "SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN "
+                        "(SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey",
     "length_violations": "SELECT p_partkey, p_name, CAST(length(p_name) AS INTEGER) AS len FROM part "
                          "WHERE length(p_name) > 10",
     "length_violations_all": "SELECT p_partkey, 'p_name' AS column, CAST(length(p_name) AS INTEGER) AS len "

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterism.operators import keys
-from asterism.operators.keys import NotSortedError, check_unique_sorted
-from asterism.operators.quality import check_unique
+from asterism.operators.keys import NotSortedError, check_dense_foreign_key, check_unique_sorted, key_map
+from asterism.operators.quality import check_foreign_key, check_unique
 from asterism.plans import bindings
 from asterism.sources.sinks import files_of_range, read_range, write_fact
 from tests.conftest import SF_SMALL, plan, rows
@@ -74,3 +74,27 @@ def test_a_range_reads_the_files_that_the_index_names(spark, tmp_dir):
 def test_bucketed_tables_join_without_a_shuffle(spark):
     text = plan(bindings.bucketed_join(spark, SF_SMALL))
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_dense_foreign_key_equals_the_grouped_check(spark):
+    r = random.Random(4)
+    edge = [0, 1, 63, 64, 511, 512, 513, -1, -64, -512, -513, 2 ** 31 - 1, -2 ** 31]
+    fact = spark.createDataFrame([(r.choice([None, *edge, r.randrange(2000)]),) for _ in range(3000)], "k int")
+    dim = spark.createDataFrame([(k,) for k in [None, *edge[::2], *range(0, 2000, 3), 2 ** 40, -2 ** 63, 2 ** 63 - 1]], "id long")
+    got = check_dense_foreign_key(fact, dim, "k", "id")
+    assert rows(got) == rows(check_foreign_key(fact, dim, ["k"], ["id"])) and got.schema["k"].dataType.simpleString() == "int"
+    assert rows(check_dense_foreign_key(fact, fact, "k")) == []
+    assert rows(check_dense_foreign_key(fact, dim.where("false"), "k", "id")) == rows(fact.where("k IS NOT NULL").groupBy("k").count())
+    with pytest.raises(ValueError, match="whole number"):
+        check_dense_foreign_key(spark.sql("SELECT 'a' AS k"), dim, "k", "id")
+
+
+def test_dense_foreign_key_shuffles_maps_and_not_the_fact(spark, tmp_dir):
+    spark.range(0, 200_000, 1, 4).selectExpr("id DIV 4 AS k").write.parquet(f"{tmp_dir}/fact")
+    spark.range(0, 49_000).write.parquet(f"{tmp_dir}/dim")
+    fact, dim = spark.read.parquet(f"{tmp_dir}/fact"), spark.read.parquet(f"{tmp_dir}/dim")
+    assert key_map(fact, "k").count() == 98  # 50,000 values, 512 to a row
+    got = check_dense_foreign_key(fact, dim, "k", "id")
+    text = plan(got)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert got.count() == 1000 and got.agg(F.sum("n")).first()[0] == 4000

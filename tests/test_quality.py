@@ -163,3 +163,10 @@ def test_conform_with_stored_copies(spark, dim, tmp_dir):
     assert rows(c.clean) == rows(conform_dimension(dim, ["k"]).clean)
     assert c.audit.first().asDict()["n_rows"] == 12
     assert "FileScan parquet" in plan(c.quarantine)
+
+
+def test_key_surplus_shuffles_digests_of_texts(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("A",), (None,), (None,), ("é" * 1000,), ("é" * 1000,)], "t string")
+    out = key_surplus(df, "t")
+    assert rows(out) == [(2,)] and "sha2" in plan(out)
+    assert rows(key_surplus(spark.createDataFrame([(1,), (1,), (None,)], "k int"), "k")) == [(1,)]

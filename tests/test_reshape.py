@@ -221,3 +221,10 @@ def test_full_join_spreads_a_hot_key(spark, tmp_dir):
     assert out.where("k = -1").count() == 30_000
     assert out.where("k = -1").select(F.countDistinct("a", "b")).first()[0] == 30_000
     assert out.count() == 30_000 + 20_000 + 6
+
+
+def test_a_vocabulary_beyond_its_limit_fails(spark):
+    df = spark.range(300).selectExpr("concat('n', id % 30) AS name")
+    assert len(vocabulary(df, "name", 30)) == 30
+    with pytest.raises(ValueError, match="count_names"):
+        vocabulary(df, "name", 29)
