@@ -71,6 +71,17 @@ def test_a_field_longer_than_many_blocks(spark, tmp_dir, block_size):
     assert rows(df) == [(1, "x"), (2, long), (3, "y"), (4, long + '"q"')]
 
 
+def test_records_name_their_file(spark, tmp_dir, block_size):
+    for name in ("a b.csv", "c%20d+é.csv"):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write('k\n1\n"2\n"\n')
+    block_size("5")
+    got = rows(records.read_records(spark, tmp_dir).selectExpr("record", "file"))
+    assert len(got) == 4 and len({f for _, f in got}) == 2 and all(f and f.startswith("file:") for _, f in got)
+    want = {r[0] for r in spark.read.text(tmp_dir).select("_metadata.file_path").distinct().collect()}
+    assert {f for _, f in got} == want
+
+
 def test_lines_of_records(spark, tmp_dir, block_size):
     with open(f"{tmp_dir}/n.csv", "w") as f:
         f.write('\n \nk,s\n1,"a\nb"\n\n2,c\n3,"d\n\n\ne"\n4,f')
@@ -105,12 +116,36 @@ def test_a_record_beyond_the_limit_fails(spark, tmp_dir, block_size, monkeypatch
     with open(f"{tmp_dir}/x.csv", "w") as f:
         f.write('k,s\n1,"' + "word\n" * 400 + '"\n2,b\n')
     block_size("300")
-    monkeypatch.setattr(records, "MAX_RECORD_CHARS", 1000)
-    with pytest.raises((PySparkException, Py4JJavaError), match="more than 1000 characters"):
+    monkeypatch.setattr(records, "MAX_RECORD_BYTES", 1000)
+    with pytest.raises((PySparkException, Py4JJavaError), match="more than 1000 bytes"):
         read_positional_csv(spark, f"{tmp_dir}/x.csv", "k INT, s STRING", multi_line=True).collect()
-    cut = records._cut(iter([pa.RecordBatch.from_pydict({"block": [1, 1], "open": [False, False], "value": ['1,"' + "w" * 999, 'x"']})]))
-    with pytest.raises(ValueError, match="more than 1000 characters"):
-        list(cut)
+    lines = {"block": [1, 1], "open": [False, False], "value": ['1,"' + "w" * 1200, "x"]}
+    with pytest.raises(ValueError, match="more than 1000 bytes"):
+        list(records._cut(iter([pa.RecordBatch.from_pydict(lines)])))
+
+
+def test_line_states_equal_a_scan_of_each_line():
+    r = random.Random(8)
+    for _ in range(400):
+        texts = ["".join(r.choice(['"', ",", "a", ',"', '",', '""', " "]) for _ in range(r.randrange(7))) for _ in range(r.randrange(1, 9))]
+        lines = pa.array(["skip", *texts])[1:]  # an offset into the buffer
+        for inside in (False, True):
+            states = [inside]
+            for t in texts:
+                states.append(records.ends_inside(t, states[-1]))
+            assert records._line_states(lines, inside).tolist() == states
+
+
+def test_records_that_cross_batches(spark, tmp_dir, block_size):
+    want = make(f"{tmp_dir}/a.csv", 5, 300)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size, batch in (("64m", "1"), ("64m", "3"), ("3k", "2")):
+            block_size(size)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert rows(read_positional_csv(spark, tmp_dir, "k INT, a STRING, b STRING", multi_line=True)) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
 def test_empty_files(spark, tmp_dir):
