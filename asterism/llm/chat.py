@@ -26,6 +26,11 @@ ESCAPED = r"([\\<\[])"
 #: Roles whose text a model learns from.
 LOSS_ROLES = ["assistant"]
 
+#: Sequence numbers that each turn has for its events in the log of :func:`log_of_turns`.
+STEPS = 8
+#: Turn numbers beyond this count as this, null as the least.
+MAX_TURN = 1 << 59
+
 
 def escape(text: Column) -> Column:
     """A backslash after each backslash, ``<`` and ``[``: reversible, and no control string survives."""
@@ -36,11 +41,40 @@ def unescape(text: str) -> str:
     return re.sub(r"([\\<\[])\\", r"\1", text)
 
 
+def log_of_turns(turns: DataFrame, streamed_roles: list[str] = LOSS_ROLES) -> DataFrame:
+    """The event log (``EVENT_COLS``) that ends in the rows of ``turns`` (``conv_id, turn, role, text``).
+
+    A streamed turn is an empty message, a delta with a draft, a regeneration and two
+    deltas; any other turn is a message with a draft, an edit and a delta. Drafts hold
+    words and half of the text, so that only a fold that drops them gives the turns.
+
+    Each row is a message of its own, so repeated rows are separate turns. A null turn
+    comes first, null texts are empty, null roles aren't streamed.
+    """
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor((F.length(text) + 1) / 2).cast("int")
+    first, rest = F.left(text, half), F.substring(text, half + 1, F.length(text))
+    draft = F.concat(F.lit("draft "), first)
+
+    def events(*steps: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(kind).alias("kind"), part.alias("text")) for kind, part in steps])
+
+    streamed = events((MESSAGE, F.lit("")), (DELTA, draft), (REGENERATE, F.lit("")), (DELTA, first), (DELTA, rest))
+    typed = events((MESSAGE, draft), (EDIT, first), (DELTA, rest))
+    base = F.least(F.greatest(F.col("turn").cast("long"), F.lit(-MAX_TURN)), F.lit(MAX_TURN)) * STEPS
+    log = turns.select(
+        "conv_id", F.monotonically_increasing_id().alias("msg"), base.alias("base"), "role",
+        F.when(F.col("role").isin(streamed_roles), streamed).otherwise(typed).alias("events"))
+    return (log.select("conv_id", "msg", "base", "role", F.posexplode("events").alias("step", "event"))
+            .select("conv_id", "msg", (F.col("base") + F.col("step")).alias("seq"), "event.kind", "role", "event.text"))
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages ``(conv_id, msg, seq, role, text)`` of an event log (``EVENT_COLS``).
 
-    The log is partitioned by message and sorted by sequence, then folded as a
-    stream: memory holds one message, however long its conversation. ``seq`` of a
+    The log is partitioned by conversation and message, so that a hot conversation
+    is spread, and sorted by sequence, then folded as a stream: memory holds one
+    message, however long its conversation. ``seq`` of a
     message is that of its first event, its place in the conversation. A ``message``
     event always starts a new message, so repeated rows stay separate turns; other
     events change the latest message of that ``msg`` and start one if there is none.
@@ -87,7 +121,7 @@ def render(messages: DataFrame, loss_roles: list[str] = LOSS_ROLES) -> DataFrame
     """Each message as its piece of the formatted conversation, with the span that a model learns from.
 
     ``conv_id, msg, seq, formatted, loss_start, loss_end``: a conversation is its pieces
-    in order of (seq, msg); ``[loss_start, loss_end)`` counts code points within the
+    in order of (seq, formatted); ``[loss_start, loss_end)`` counts code points within the
     piece and is null where the role is not learned from. Pieces stay rows, so a
     conversation of any length is never one value.
     """
@@ -125,7 +159,7 @@ def read_back(pieces: DataFrame) -> DataFrame:
     order and are hashed as a stream, so memory holds a batch of rows and the state
     of two digests, whatever the length.
     """
-    ordered = (pieces.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "msg", "formatted")
+    ordered = (pieces.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "formatted")
                .select("conv_id", "formatted", "loss_start", "loss_end"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -55,9 +55,7 @@ def op7_chat(spark, d):
     turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)],
                                   "conv_id long, turn long, role string, text string")
-    log = turns.unionByName(probe).select(
-        "conv_id", F.col("turn").alias("msg"), F.col("turn").alias("seq"), F.lit(chat.MESSAGE).alias("kind"), "role", "text")
-    return chat.read_back(chat.format_conversations(log))
+    return chat.read_back(chat.format_conversations(chat.log_of_turns(turns.unionByName(probe))))
 
 
 def op8_urls(spark, d):

@@ -364,6 +364,22 @@ def test_chat_query_equals_brute_force(spark):
     assert got == want
 
 
+def test_log_of_turns_ends_in_the_turns(spark):
+    rows = [(1, 0, "user", "hé"), (1, 1, "assistant", "abc"), (1, 1, "assistant", "abc"), (1, 1, "assistant", "abb"), (2, None, None, None),
+            (2, -1, "assistant", ""), (2, 1 << 62, "user", "x"), (None, 3, "tool", "</s>"), (3, 0, "assistant", "é[" * 50_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    log = chat.log_of_turns(turns)
+    kinds = Counter(r["kind"] for r in log.collect())
+    assert kinds == {"message": 9, "delta": 3 * 5 + 4, "regenerate": 5, "edit": 4}
+    got = sorted(((r["conv_id"], r["role"], r["text"]) for r in chat.fold_events(log).collect()), key=str)
+    assert got == sorted(((c, r or "", t or "") for c, _, r, t in rows), key=str)
+    whole = {r["conv_id"]: r["turns_sha256"] for r in chat.read_back(chat.format_conversations(log)).collect()}
+    sha = lambda *turns: hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert whole[1] == sha(("user", "hé"), ("assistant", "abb"), ("assistant", "abc"), ("assistant", "abc"))
+    assert whole[2] == sha(("", ""), ("assistant", ""), ("user", "x"))
+    assert chat.log_of_turns(turns.where("false")).count() == 0
+
+
 # --- urls ---
 
 def test_globs_equal_regular_expressions():
