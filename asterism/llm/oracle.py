@@ -15,16 +15,22 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 def _placed(kind: str, number: int, pattern: str, context: tuple[int, int] = (40, 24)) -> str:
     """Matches of a pattern in table ``d`` with their places, from the lengths of what lies between."""
     return f"""
-SELECT doc_id, {number} AS kind, '{kind}' AS name, hits[i] AS hit,
-       list_sum(list_transform(gaps[1:i], lambda g: length(g)))
-         + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS s,
-       right(gaps[i], {context[0]}) || ' ' || left(gaps[i + 1], {context[1]}) AS near,
+SELECT *, substr(text, greatest(s - {context[0]}, 0) + 1, least(s, {context[0]})) || ' '
+         || substr(text, s + length(hit) + 1, {context[1]}) AS near FROM (
+SELECT doc_id, text, {number} AS kind, '{kind}' AS name, hits[i] AS hit,
+       (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+         + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0))::BIGINT AS s,
        right(gaps[i], 1) || ' ' || left(gaps[i + 1], 1) AS beside
-FROM (SELECT doc_id, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
-      FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS hits, string_split_regex(text, {pattern}) AS gaps FROM d))
+FROM (SELECT doc_id, text, hits, gaps, unnest(range(1, len(hits) + 1)) AS i
+      FROM (SELECT doc_id, text, regexp_extract_all(text, {pattern}) AS hits, string_split_regex(text, {pattern}) AS gaps FROM d)))
 """
 
 
+def _words(words: str) -> str:
+    """The words as whole ones in a lower-cased text."""
+    return f"'(?:^|[^a-z])(?:{words})s?(?:[^a-z]|$)'"
+
+
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
 _LUHN = """
@@ -53,10 +59,10 @@ SELECT *, {_DIGITS} AS digits, replace(hit, ' ', '') AS account, lower(near) AS
 scored AS (
 SELECT doc_id, kind, name, s, s + length(hit) AS e, least(100,
   CASE kind WHEN 0 THEN 80 WHEN 1 THEN 50 WHEN 2 THEN 80 WHEN 3 THEN 60 WHEN 4 THEN 80 ELSE 40 END
-  + CASE WHEN regexp_matches(context, CASE kind WHEN 0 THEN 'mail|contact|write to' WHEN 1 THEN 'ip|host|server|address|login'
-      WHEN 2 THEN 'card|visa|credit|payment' WHEN 3 THEN 'phone|tel|call|mobile|fax' WHEN 4 THEN 'iban|bank|account'
-      ELSE 'ssn|social security|tax id' END) THEN 20 ELSE 0 END
-  - CASE WHEN regexp_matches(context, 'version|example|order no|isbn|serial') THEN 20 ELSE 0 END) AS score
+  + CASE WHEN regexp_matches(context, CASE kind WHEN 0 THEN {_words("e?mail|contact|write to")} WHEN 1 THEN {_words("ip|host|server|address|login")}
+      WHEN 2 THEN {_words("card|visa|credit|payment")} WHEN 3 THEN {_words("phone|tel|call|mobile|fax")}
+      WHEN 4 THEN {_words("iban|bank|account")} ELSE {_words("ssn|social security|tax id")} END) THEN 20 ELSE 0 END
+  - CASE WHEN regexp_matches(context, {_words("version|example|order no|isbn|serial")}) THEN 20 ELSE 0 END) AS score
 FROM told WHERE CASE kind WHEN 0 THEN true
   WHEN 1 THEN regexp_full_match(hit, '0*{_OCTET}([.]0*{_OCTET}){{3}}')
   WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND {_LUHN}

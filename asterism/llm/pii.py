@@ -30,8 +30,8 @@ OCTETS = r"^0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\.0*(25[0-5]|2[0-4][
 
 #: Score in percent of a confirmed span, before context.
 SCORES = {"email": 80, "ip": 50, "card": 80, "phone": 60, "iban": 80, "ssn": 40}
-#: Words near a span (any case) that make its kind likelier, and words that speak for something else.
-CONTEXT = {"email": "mail|contact|write to", "ip": "ip|host|server|address|login", "card": "card|visa|credit|payment",
+#: Whole words near a span (any case) that make its kind likelier, and words that speak for something else.
+CONTEXT = {"email": "e?mail|contact|write to", "ip": "ip|host|server|address|login", "card": "card|visa|credit|payment",
            "phone": "phone|tel|call|mobile|fax", "iban": "iban|bank|account", "ssn": "ssn|social security|tax id"}
 AGAINST = "version|example|order no|isbn|serial"
 BONUS, MALUS = 20, 20
@@ -75,10 +75,15 @@ def _confirmed(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+def _words(words: str) -> str:
+    """Pattern of these as whole words, a plural ``s`` allowed."""
+    return f"(?:^|[^a-z])(?:{words})s?(?:[^a-z]|$)"
+
+
 def _score(kind: str, span: Column) -> Column:
     near = F.lower(F.concat_ws(" ", span["before"], span["after"]))
-    raw = F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), BONUS).otherwise(0) - F.when(
-        near.rlike(AGAINST), MALUS).otherwise(0)
+    raw = F.lit(SCORES[kind]) + F.when(near.rlike(_words(CONTEXT[kind])), BONUS).otherwise(0) - F.when(
+        near.rlike(_words(AGAINST)), MALUS).otherwise(0)
     return F.least(raw, F.lit(100))
 
 
@@ -86,7 +91,7 @@ def pii_spans(text: Column) -> Column:
     """Array of (start, kind, end, score) sorted by start, then kind (an index into KINDS)."""
     def of(kind: str) -> Column:
         i = KINDS.index(kind)
-        found = F.filter(find_spans(text, PATTERNS[kind]), lambda s: _confirmed(kind, s["hit"]))
+        found = F.filter(find_spans(text, PATTERNS[kind], context=True), lambda s: _confirmed(kind, s["hit"]))
         if kind == "email":
             found = F.when(F.contains(text, F.lit("@")), found).otherwise(F.array())
         scored = F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"),
@@ -101,8 +106,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Patterns propose spans, checks confirm them (octets up to 255, Luhn over 14 to 19
     digits, 10 to 15 digits of a phone number, mod-97 of an account number), and
-    words within ``BEFORE`` characters before or ``AFTER`` after adjust the score
-    (percent). E-mail, ip, card and phone spans are kept whatever the score; other
+    whole words within ``BEFORE`` characters before or ``AFTER`` after, other spans
+    included, adjust the score (percent). E-mail, ip, card and phone spans are kept whatever the score; other
     kinds from ``MIN_SCORE``. One pass, no shuffle.
 
     Defined cases: null and empty texts have no spans; rows that repeat are judged

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from asterism.llm import decontam, dedup, pii, secret_scan, sharding
 from asterism.llm.common import join_groups, spool
+from asterism.llm.spans import AFTER, BEFORE, find_spans
 from tests.conftest import plan
 from tests.llm.conftest import documents
 
@@ -76,6 +77,23 @@ def test_ssn_needs_context(spark):
     assert {r["doc_id"]: r["spans"] for r in pii.summary(pii.find_pii(df)).collect()} == {1: "", 2: "ssn:4:15", 3: ""}
 
 
+def test_context_is_the_text_around_and_whole_words(spark):
+    rng = random.Random(4)
+    pattern = "[0-9]{5,}"
+    texts = ["".join(rng.choice(["12345", " ", "é", "a b", "1234567", "x" * 30]) for _ in range(60)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = df.select("doc_id", find_spans(F.col("text"), pattern, context=True).alias("s")).collect()
+    for i, spans in got:
+        want = [(m.start(), m.end(), m[0], texts[i][max(0, m.start() - BEFORE):m.start()], texts[i][m.end():m.end() + AFTER])
+                for m in re.finditer(pattern, texts[i])]
+        assert [tuple(s) for s in spans] == want
+    rows = ["ssn 123-45-6789, 223-45-6789", "ssns: 123-45-6789", "xssn 123-45-6789", "shipping 10.0.0.1", "ip 10.0.0.1, 10.0.0.2",
+            "hotel +49 30 1234567", "123-45-6789 is my SSN", "discard 4111 1111 1111 1111"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["spans"].count(":") // 2, r["scores"]) for r in pii.summary(pii.find_pii(df)).collect()}
+    assert found == {0: (2, "60,60"), 1: (1, "60"), 2: (0, ""), 3: (1, "50"), 4: (2, "70,70"), 5: (1, "60"), 6: (1, "60"), 7: (1, "80")}
+
+
 def test_many_spans_in_one_text(spark):
     text = "é ".join(f"u{i}@mail.example.com" for i in range(5000))
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
