@@ -135,7 +135,9 @@ SELECT p.page_id, host, path, arg_max(rule_host || rule_path, length(rule_host |
 FROM p LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 GROUP BY p.page_id, host, path)
 SELECT page_id, host, path, rule, coalesce(verdict,
-  CASE WHEN regexp_matches(host, 'casino|pills|spam') THEN 'block' ELSE 'allow' END) AS verdict FROM fits
+  CASE WHEN regexp_matches(host, 'casino|pills|poker|spam|torrent|warez|xxx')
+      OR regexp_matches(path, '/(ads|banner|cgi-bin|phpmyadmin|wp-admin)/|/wp-login[.]php$')
+      OR regexp_matches(host || path, '[.](apk|exe)$') THEN 'block' ELSE 'allow' END) AS verdict FROM fits
 """
 
 DECONTAM = r"""

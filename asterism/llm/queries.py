@@ -59,7 +59,7 @@ def op7_chat(spark, d):
 
 
 def op8_urls(spark, d):
-    return urls.judge_urls(table(spark, d, "pages"))
+    return urls.judge_urls(table(spark, d, "pages")).drop("canonical")
 
 
 def op9_secrets(spark, d):

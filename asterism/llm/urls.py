@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 #: URLs simulated side by side, and the cells (URLs x characters) of one such block.
 BLOCK_ROWS, BLOCK_CELLS = 8192, 1 << 22
 
-RESULT = "rule string, verdict string"
+RESULT = "rule string, verdict string, canonical string"
 
 
 @dataclass(frozen=True)
@@ -32,8 +33,51 @@ class Rule:
 #: The rules of the registered query.
 RULES = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
          Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
-#: Hosts blocked where no rule fits (globs over host and path; ``*`` stops at a slash, ``**`` doesn't).
-HOST_GLOBS = ["*casino*/**", "*pills*/**", "*spam*/**", "*casino*", "*pills*", "*spam*"]
+#: Words of hosts, and globs over host and path, blocked where no rule fits.
+#: ``*`` stops at a slash, ``**`` doesn't.
+HOST_WORDS = ["casino", "pills", "poker", "spam", "torrent", "warez", "xxx"]
+PATH_GLOBS = ["**/ads/**", "**/banner/**", "**/cgi-bin/**", "**/phpmyadmin/**", "**/wp-admin/**", "**/wp-login.php", "**.apk", "**.exe"]
+GLOBS = [f"*{w}*{end}" for w in HOST_WORDS for end in ("", "/**")] + PATH_GLOBS
+
+#: What :func:`canonical` takes for a scheme's own port.
+PORTS = {"http": "80", "https": "443", "ftp": "21"}
+
+
+def canonical(url: str | None) -> str:
+    """Host and path of a URL in one spelling; empty without ``://``.
+
+    Without user, the scheme's own port, final dots of the host, query and fragment;
+    A-Z of the host in lower case; escapes of letters, digits and ``-._~`` decoded, others
+    in upper case (broken ones stay); dot segments resolved; an empty path is ``/``.
+    """
+    scheme, found, rest = (url or "").partition("://")
+    if not found:
+        return ""
+    authority, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+    host, _, port = authority.rpartition("@")[2].partition(":") if "[" not in authority else (
+        authority.rpartition("@")[2].partition("]")[0] + "]", "", authority.rpartition("]")[2].lstrip(":"))
+    host = "".join(c.lower() if c.isascii() else c for c in host).rstrip(".")
+    port = "" if port in ("", PORTS.get(scheme.lower())) else f":{port}"
+    return host + port + _resolved(re.sub("%([0-9A-Fa-f]{2})", _unescaped, path))
+
+
+def _unescaped(escape: re.Match) -> str:
+    char = chr(int(escape[1], 16))
+    return char if char.isascii() and (char.isalnum() or char in "-._~") else escape[0].upper()
+
+
+def _resolved(path: str) -> str:
+    """The path without ``.`` and ``..`` segments."""
+    out: list[str] = []
+    segments = path.split("/")[1:]
+    for segment in segments:
+        if segment == "..":
+            del out[-1:]
+        elif segment != ".":
+            out.append(segment)
+    if segments[-1:] in (["."], [".."]):
+        out.append("")
+    return "/" + "/".join(out)
 
 
 class GlobAutomaton:
@@ -121,7 +165,10 @@ class GlobAutomaton:
 
 
 class UrlJudge:
-    """Rules and host globs in one automaton; the longest rule that fits decides, else the globs."""
+    """Rules and globs in one automaton; the longest rule that fits decides, else the globs.
+
+    Rules are held against host and path as they stand, globs against the canonical form.
+    """
 
     def __init__(self, rules: Sequence[Rule], globs: Sequence[str]):
         self.rules, patterns = list(rules), []
@@ -131,9 +178,13 @@ class UrlJudge:
         # longest first; of equal length the one listed first
         self.order = sorted(range(len(self.rules)), key=lambda i: (-len(self.rules[i].text), i))
 
-    def judge(self, urls: Sequence[str]) -> pd.DataFrame:
+    def judge(self, urls: Sequence[str], forms: Sequence[str] | None = None) -> pd.DataFrame:
+        """Rule and verdict of each host and path; ``forms`` are their canonical forms, if they differ."""
         hits = self.automaton.match([u.encode() for u in urls])
         blocked = hits[:, 2 * len(self.rules):].any(axis=1)
+        respelt = [i for i, form in enumerate(forms or []) if form != urls[i]]
+        if respelt:
+            blocked[respelt] = self.automaton.match([forms[i].encode() for i in respelt])[:, 2 * len(self.rules):].any(axis=1)
         rule = np.full(len(urls), None, object)
         verdict = np.where(blocked, "block", "allow").astype(object)
         free = np.ones(len(urls), bool)
@@ -155,28 +206,31 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, globs: Sequence[str] = HOST_GLOBS,
+def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, globs: Sequence[str] = GLOBS,
                id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """``page_id, host, path, rule, verdict`` for every row.
+    """``page_id, host, path, rule, verdict, canonical`` for every row.
 
     A rule fits its host and all subdomains where the path starts with the rule's;
     the longest decides (of equal length, the first listed). Where none fits, a URL
-    that matches a glob is blocked, else allowed. Rules and globs are one automaton,
-    run in blocks of URLs of like length; one pass, no shuffle.
+    whose canonical form (:func:`canonical`) matches a glob is blocked, else allowed.
+    Rules and globs are one automaton, run in blocks of URLs of like length; one
+    pass, no shuffle.
 
-    Defined cases: a null URL, or one without ``://``, has an empty host and path, fits
-    no rule and is allowed; rows that repeat are judged alike; a null id stays null; an
+    Defined cases: a null URL, or one without ``://``, has an empty host, path and
+    canonical form, fits no rule and is allowed; rows that repeat are judged alike; a null id stays null; an
     empty table gives an empty result; other columns are ignored.
     """
     rules, globs = list(rules), list(globs)
 
     @F.pandas_udf(RESULT)
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         by = UrlJudge(rules, globs)
-        for urls in batches:
-            yield by.judge(urls.tolist())
-
-    parts = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"),
-                         path_of(F.col(url_col)).alias("path"))
-    judged = parts.withColumn("judged", judge(F.concat("host", "path")))
-    return judged.select("page_id", "host", "path", "judged.rule", "judged.verdict")
+        for places, urls in batches:
+            forms = [canonical(u) for u in urls]
+            yield by.judge(places.tolist(), forms).assign(canonical=forms)
+
+    url = F.col(url_col)
+    parts = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"),
+                         path_of(url).alias("path"))
+    judged = parts.withColumn("judged", judge(F.concat("host", "path"), "url"))
+    return judged.select("page_id", "host", "path", "judged.rule", "judged.verdict", "judged.canonical")

@@ -402,7 +402,7 @@ def test_url_edges(spark):
             "http://spam-farm.org/y", "http://user@com:80/en/", "http://a.com/" + "z" * 30_000, "http://exämple.com/en/é",
             "x\ny://b.com/a\nb?c", "http://a.com/EN/://b.net/es/", "http://b.net/es/"]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate([*rows, rows[0]])], "page_id long, url string, rule string")
-    got = {r["page_id"]: tuple(r)[1:] for r in urls.judge_urls(df).collect()}
+    got = {r["page_id"]: tuple(r)[1:5] for r in urls.judge_urls(df).collect()}
     assert got[0] == ("a.example.com", "/en/x", "example.com/en/", "block") == got[len(rows)]
     assert got[1] == ("com", "", None, "allow") and got[2] == ("com", "/", "com/", "allow") and got[3][2] is None
     assert got[4][2:] == ("www.example.com/en/", "allow") and got[5] == got[6] == got[7] == ("", "", None, "allow")
@@ -412,6 +412,28 @@ def test_url_edges(spark):
     assert urls.judge_urls(df.where("false")).count() == 0
 
 
+def test_canonical_forms():
+    forms = {"HTTP://User:pw@WWW.Example.COM.:80/%7Ea/./b/../%2e%2E/c%2fd?q=1#f": "www.example.com/c%2Fd", "https://a.org": "a.org/",
+             "https://a.org:8443/x/..": "a.org:8443/", "http://[::1]:80/a/.": "[::1]/a/", "http://u@[::1]:81": "[::1]:81/",
+             "http://a.org/%zz%4/%": "a.org/%zz%4/%", "http://É.org/%C3%a9//x": "É.org/%C3%A9//x", "ftp://a.b:21/../../x": "a.b/x",
+             "http://a.org/%2541": "a.org/%2541", "://x/y": "x/y", "no scheme/../x": "", "": "", None: "",
+             "https://a.org:/x": "a.org/x", "http://a.org?x=/../": "a.org/", "http://a.org/" + "b/../" * 20_000: "a.org/"}
+    assert {u: urls.canonical(u) for u in forms} == forms
+    again = [f for f in forms.values() if f]
+    assert [urls.canonical("gopher://" + f) for f in again] == again
+
+
+def test_globs_judge_the_canonical_form(spark):
+    rows = [("http://x.org/a/../%61ds/1", "block"), ("http://x.org/a%2Fads/1", "allow"), ("http://SPAM.example.:80/", "block"),
+            ("http://spam@x.org/", "allow"), ("http://x.org/wp-login.php?x#y", "block"), ("http://x.org/ads/../y", "allow"),
+            ("http://x.org/a/setup.%65xe", "block"), ("http://x.net/es/../ads/", "block"), ("http://x.com/ads/", "allow")]
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge_urls(df).collect()}
+    assert [got[i][1] for i in range(len(rows))] == [v for _, v in rows]
+    assert got[7][0] == "net/es/" and got[8][0] == "com/"  # rules read the path as it stands
+    assert urls.UrlJudge(urls.RULES, urls.GLOBS).automaton.words > 4
+
+
 def test_the_longest_rule_wins_and_ties_go_to_the_first():
     rules = [urls.Rule("allow", "b.com", "/x/"), urls.Rule("block", "com", "/x/yy/"), urls.Rule("allow", "com", "/"),
              urls.Rule("block", "a.b.com", "/")]
