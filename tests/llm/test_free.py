@@ -225,6 +225,20 @@ def test_islands_search_on_spark(spark):
     assert packing._read(packing._write(best)) == best
 
 
+@pytest.mark.parametrize("bins,capacity,copies", [(20, 100, 1), (60, 1000, 1), (200, 2048, 1), (20, 100, 50)])
+def test_search_beats_best_fit_on_triplets(bins, capacity, copies):
+    """Full bins cut in three, which best fit can't put together again."""
+    rng, lengths = random.Random(3), Counter()
+    for _ in range(bins):
+        a = rng.randint(capacity // 4, capacity // 2 - 1)
+        b = rng.randint((capacity - a) // 2 - 5, (capacity - a) // 2)
+        for x in (a, b, capacity - a - b):
+            lengths[x] += copies
+    start = packing.best_fit({}, dict(lengths), capacity)
+    best = packing.evolve([start], dict(lengths), 1, capacity)[0]
+    assert bins * copies == packing.lower_bound(lengths, capacity) <= packing.cost(best, capacity)[0] < packing.cost(start, capacity)[0]
+
+
 # --- simhash ---
 
 def brute_fp(text):
