@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
@@ -53,8 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-#: Scratch paths given out and not released yet.
-_given: list[str] = []
+#: Scratch paths that each session was given and has not released yet.
+_given: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -64,18 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     and read it when they run.
     """
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _given.append(path)
+    _given.setdefault(spark, []).append(path)
     return path
 
 
 def release_scratch(spark: SparkSession) -> int:
-    """Remove all scratch written so far, on whatever store it is; the number of paths removed.
+    """Remove all scratch this session has written so far, on whatever store it is; the number of paths removed.
 
-    For callers that have stored or consumed every result so far: results that are
-    still lazy lose their input.
+    For callers that have stored or consumed every result so far: results of this
+    session that are still lazy lose their input. Other sessions keep theirs.
     """
     removed = 0
-    while _given:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
+    given = _given.pop(spark, [])
+    while given:
+        path = spark._jvm.org.apache.hadoop.fs.Path(given.pop())
         removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return removed

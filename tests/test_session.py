@@ -19,3 +19,15 @@ def test_release_scratch(spark):
     local = path.removeprefix("file:")
     assert os.path.isdir(local) and release_scratch(spark) == 1 and not os.path.exists(local)
     assert release_scratch(spark) == 0
+
+
+def test_sessions_release_their_own_scratch(spark):
+    from asterism.session import release_scratch, scratch_path
+
+    other = spark.newSession()
+    kept = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    frame = other.range(2)
+    frame.write.parquet(scratch_path(frame.sparkSession, "gone"))
+    assert release_scratch(other) == 1 and release_scratch(other) == 0
+    assert spark.read.parquet(kept).count() == 3 and release_scratch(spark) >= 1
