@@ -223,6 +223,28 @@ def test_full_join_spreads_a_hot_key(spark, tmp_dir):
     assert out.count() == 30_000 + 20_000 + 6
 
 
+def test_full_join_of_a_piece_without_rows(spark, tmp_dir):
+    """Rows of a split key at equal distances: a piece that is dealt none adds no rows of NULLs."""
+    spark.range(4000, numPartitions=1).selectExpr("IF(id % 8 = 0, -1, id) AS k", "id AS a").write.parquet(f"{tmp_dir}/a")
+    spark.range(2).selectExpr("-1L AS k", "id AS b").write.parquet(f"{tmp_dir}/b")
+    dfs = [spark.read.parquet(f"{tmp_dir}/{c}") for c in "ab"]
+    out = full_join_measures(dfs, ["k"], group_rows=100)
+    assert out.where("k = -1").agg(F.count(F.lit(1)), F.count("a"), F.countDistinct("a", "b")).first()[:] == (1000, 1000, 1000)
+
+
+def test_full_join_makes_large_products_by_joins(spark, tmp_dir):
+    """Few rows of each input but many together: joined by groups of bounded products, not exploded from one row."""
+    sizes = {"a": 300, "b": 300, "c": 300}
+    for c, n in sizes.items():
+        spark.range(n).selectExpr("IF(id < 200, 7, id) AS k", f"id AS {c}").write.parquet(f"{tmp_dir}/{c}")
+    dfs = [spark.read.parquet(f"{tmp_dir}/{c}") for c in sizes]
+    assert rows(key_shares(dfs, ["k"])) == [(7, 2, 1, 1)]
+    out = full_join_measures(dfs, ["k"])
+    assert "SortMergeJoin" in plan(out)
+    got = out.groupBy("k").agg(F.count(F.lit(1)), *[F.sum(c) for c in sizes])
+    assert rows(got) == rows(chained(dfs, ["k"]).groupBy("k").agg(F.count(F.lit(1)), *[F.sum(c) for c in sizes]))
+
+
 def test_a_vocabulary_beyond_its_limit_fails(spark):
     df = spark.range(300).selectExpr("concat('n', id % 30) AS name")
     assert len(vocabulary(df, "name", 30)) == 30
