@@ -23,7 +23,12 @@ def any_null(cols: Sequence[str]) -> Column:
 
 
 def regex_literal(text: str) -> str:
-    """Quote ``text`` so that Spark's regex functions match it literally."""
+    """Quote ``text`` so that Spark's regex functions match it literally.
+
+    A character of punctuation gets a backslash, by which Java splits without a regex.
+    """
+    if len(text) == 1 and text.isascii() and text.isprintable() and not text.isalnum():
+        return "\\" + text
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 

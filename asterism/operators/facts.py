@@ -59,3 +59,13 @@ def build_event_fact_from_lists(events: DataFrame, list_col: str, dates: DataFra
     """
     named = count_list_names(events, list_col, vocab, delim)
     return _attach_dates_hours(named, dates, hours, date_col, time_col)
+
+
+def dated_events(events: DataFrame, list_col: str, dates: DataFrame, hours: DataFrame,
+                 date_col: str, time_col: str) -> DataFrame:
+    """The event fact of :func:`build_event_fact_from_lists` but for its names: ``date_id, hour_id, events``.
+
+    ``count_list_names`` adds them row by row, so a fact that is laid out for writing is
+    moved without them and counted where it lies (``finish`` of :func:`~asterism.sources.sinks.write_fact`).
+    """
+    return _attach_dates_hours(events.where(quoted(list_col).isNotNull()), dates, hours, date_col, time_col)

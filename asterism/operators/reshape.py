@@ -115,17 +115,39 @@ def count_list_names(df: DataFrame, col: str, vocab: Sequence[str] | None = None
         vocab = list_vocabulary(df, col, delim)
     keep = list(df.columns if keep_cols is None else keep_cols)
     columns = pivot_column_names(vocab, reserved=keep + [count_col])
-    # Split once into a column that every count reads.
+    # Split and marked once, into columns that every count reads.
+    parts = F.split(quoted(col), regex_literal(delim), -1)
     split = df.where(quoted(col).isNotNull()).select(
-        *[quoted(c) for c in keep], F.split(quoted(col), regex_literal(delim), -1).alias("_parts"))
-    parts = F.col("_parts")
+        *[quoted(c) for c in keep], parts.alias("_parts") if len(delim) != 1 else F.size(parts).alias("_n"),
+        *([_marked(quoted(col), delim).alias("_marked")] if len(delim) == 1 else []))
+    size = F.col("_n") if len(delim) == 1 else F.size("_parts")
     counts = []
     for value, name in columns.items():
-        # occurrences = names − names left after removing this one (code-generated
-        # array functions, no lambda)
-        n = (F.size(parts) - F.size(F.array_remove(parts, F.lit(value)))).cast("long")
+        n = (_occurrences(F.col("_marked"), value, delim) if len(delim) == 1
+             # names − names left after removing this one (array functions, no lambda)
+             else F.size("_parts") - F.size(F.array_remove("_parts", F.lit(value)))).cast("long")
         counts.append((n > 0 if flags else n).alias(name))
-    return split.select(*[quoted(c) for c in keep], F.size(parts).cast("long").alias(count_col), *counts)
+    return split.select(*[quoted(c) for c in keep], size.cast("long").alias(count_col), *counts)
+
+
+def _mark(delim: str) -> str:
+    return "," if delim == "." else "."
+
+
+def _marked(text: Column, delim: str) -> Column:
+    """A list with each name between delimiters of its own, after a mark that keeps it from being empty: ``;.A;;.B;``."""
+    return F.concat(F.lit(delim + _mark(delim)), F.replace(text, F.lit(delim), F.lit(delim + delim + _mark(delim))), F.lit(delim))
+
+
+def _occurrences(marked: Column, name: str, delim: str) -> Column:
+    """How often a name stands in a :func:`_marked` list: the bytes that go with it, by those of one.
+
+    A name with the delimiter in it is none. No array is made: several times as fast as removing it from one.
+    """
+    if delim in name:
+        return F.lit(0)
+    whole = delim + _mark(delim) + name + delim
+    return (F.octet_length(marked) - F.octet_length(F.replace(marked, F.lit(whole), F.lit("")))) / len(whole.encode())
 
 
 def unpivot_measures(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str],

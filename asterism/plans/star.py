@@ -305,8 +305,10 @@ def _build(spark: SparkSession, cfg: StarConfig, write: bool) -> Star:
         for name, sort_keys in DIMENSION_SORT_KEYS.items():
             # Dimensions are small (they are broadcast): a global sort is cheap.
             sinks.write_table(tables[name].orderBy(*sort_keys), target(cfg.mart, name), cfg.mode)
-        sinks.write_fact(tables["fct_crime_incidents"], target(cfg.mart, "fct_crime_incidents"), "ori",
-                         ["ori", "date_id", "hour_id"], cfg.mode)
+        # laid out without the counts of names, which are added to the sorted rows
+        dated = facts.dated_events(incidents, "offenses", dates, hours, "incident_date", "incident_time")
+        sinks.write_fact(dated, target(cfg.mart, "fct_crime_incidents"), "ori", ["ori", "date_id", "hour_id"], cfg.mode,
+                         tie_cols=["id"], finish=lambda rows: reshape.count_list_names(rows, "offenses", vocab))
         sinks.write_fact(tables["fct_meteodata"], target(cfg.mart, "fct_meteodata"), "stn",
                          ["stn", "date_id", "hour_id"], cfg.mode)
         for name in ("agencies_ir", "full_dupe_oris", "ws_ir", "full_dupe_latlongs", *(["load_errors"] if inputs.loads else [])):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +42,8 @@ def append_log(log_rows: DataFrame, target: str, fmt: str = "parquet") -> None:
 def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[str],
                mode: str = "errorifexists", num_partitions: int | None = None,
                layout: str = "range", buckets: int | None = None, fmt: str = "parquet",
-               table_path: str | None = None, index: bool = False) -> None:
+               table_path: str | None = None, index: bool = False, tie_cols: Sequence[str] | None = None,
+               finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write a fact sorted by ``sort_keys`` so Parquet min/max statistics prune.
 
     ``layout="range"`` (default) range-partitions on ``dist_key`` then the sort
@@ -56,7 +57,13 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
     then a table name, and ``table_path`` the folder of its files (default: the warehouse's).
     A bucket is one file and one task of each join, so a hot key makes one long task there.
     ``index`` adds the least and largest keys of each file (:func:`write_index`).
+    ``tie_cols`` are columns that tell rows apart, if fewer than all do. ``finish`` is a step on the rows
+    of the range or hash layout, row by row, that leaves their keys and their order: the range layout
+    makes its rows twice, for a sample and to move them, so costly columns are better added there.
     """
+    if layout == "bucket" and finish:
+        raise ValueError("a bucketed table has no finishing step")
+    finish = finish or (lambda rows: rows)
     if index and layout == "bucket":
         raise ValueError("a bucketed table has no index of files")
     keys = [dist_key] + [k for k in sort_keys if k != dist_key]
@@ -65,15 +72,15 @@ def write_fact(df: DataFrame, target: str, dist_key: str, sort_keys: Sequence[st
         # A hash of the whole row as the last range key (not stored): rows that
         # share every declared key — say a third of all rows — are still spread
         # over several partitions, while files stay sorted by the declared keys.
-        tie = F.xxhash64(*[quoted(c) for c in df.columns])
+        tie = F.xxhash64(*[quoted(c) for c in tie_cols or df.columns])
         order = [quoted(k) for k in keys] + [tie]
         # Without an explicit count AQE may merge adjacent small ranges (order kept).
         ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-        laid = ranged.sortWithinPartitions(*order)
+        laid = finish(ranged.sortWithinPartitions(*order))
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "hash":
-        salt = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(SALTS))
-        laid = df.repartition(n, quoted(dist_key), salt).sortWithinPartitions(*[quoted(k) for k in keys])
+        salt = F.pmod(F.xxhash64(*[quoted(c) for c in tie_cols or df.columns]), F.lit(SALTS))
+        laid = finish(df.repartition(n, quoted(dist_key), salt).sortWithinPartitions(*[quoted(k) for k in keys]))
         laid.write.mode(mode).format(fmt).save(target)
     elif layout == "bucket":
         # one file a bucket: rows meet in the partition that their bucket is written from

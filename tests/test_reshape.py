@@ -140,6 +140,23 @@ def test_count_list_names_equals_split_then_pivot(lists):
     assert "Exchange" not in plan(count_list_names(lists, "offenses", vocab=["A", "B"]))
 
 
+@pytest.mark.parametrize("delim", [";", ".", "|", "a", "é", "::"])
+def test_count_list_names_of_odd_names(spark, delim):
+    """Names that are empty, repeat, hold each other or look like marks; a name with the delimiter is in no list."""
+    r = random.Random(delim)
+    vocab = [v for v in ("", "A", "AA", ".", ",", ".A", "B ", "é!", " ", "\\", "$1") if delim not in v]
+    lists = [delim.join(r.choice([*vocab, "other"]) for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(lists)), "id int, offenses string").coalesce(1)
+    vocab.append(f"A{delim}A")
+    got = count_list_names(df, "offenses", vocab=vocab, keep_cols=["id"], delim=delim).collect()
+    assert sorted(tuple(x) for x in got) == [(i, len(x.split(delim)), *[x.split(delim).count(v) for v in vocab])
+                                             for i, x in enumerate(lists)]
+
+
+def test_count_list_names_makes_no_arrays_for_counts(lists):
+    assert "array_remove" not in plan(count_list_names(lists, "offenses", vocab=["A", "B"]))
+
+
 def test_count_list_names_flags_and_vocabulary(lists):
     assert list_vocabulary(lists, "offenses") == ["", "A", "B", ODD, "a.b"]
     flags = count_list_names(lists.where("id < 4"), "offenses", vocab=["A"], keep_cols=["id"], flags=True)
