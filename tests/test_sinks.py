@@ -57,3 +57,19 @@ def test_hash_layout_shares_a_hot_value(spark, tmp_dir):
     write_fact(df, f"{tmp_dir}/h", "stn", ["date_id"], num_partitions=16, layout="hash")
     files = spark.read.parquet(f"{tmp_dir}/h").selectExpr("stn", "input_file_name() AS f").where("stn = 'hot'").groupBy("f").count()
     assert files.count() > 1 and files.agg({"count": "max"}).first()[0] <= 7_500
+
+
+@pytest.mark.parametrize("layout", ["range", "hash"])
+def test_write_fact_finishes_the_sorted_rows(spark, tmp_dir, layout):
+    """A step on the laid-out rows adds columns that are not moved, and leaves the layout as it is."""
+    df = spark.range(500).selectExpr("id % 7 AS k", "id")
+    step = lambda rows: rows.select("*", (F.col("id") * 2).alias("twice"))
+    write_fact(df, f"{tmp_dir}/f", "k", ["k"], layout=layout, tie_cols=["id"], finish=step)
+    write_fact(step(df), f"{tmp_dir}/g", "k", ["k"], layout=layout, tie_cols=["id"])
+    f, g = (spark.read.parquet(f"{tmp_dir}/{n}") for n in "fg")
+    assert f.columns == g.columns == ["k", "id", "twice"]
+    assert rows(f) == rows(g) == [(k, i, 2 * i) for k in range(7) for i in range(k, 500, 7)]
+    at = lambda d: [r["k"] for r in d.where("_metadata.file_name = '" + d.inputFiles()[0].rsplit("/", 1)[1] + "'").collect()]
+    assert at(f) == sorted(at(f))
+    with pytest.raises(ValueError, match="finishing"):
+        write_fact(df, "t", "k", ["k"], layout="bucket", finish=step)
