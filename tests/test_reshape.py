@@ -1,9 +1,11 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from asterism.operators import reshape
 from asterism.operators.reshape import (
     _dealt,
     count_list_names,
@@ -262,6 +264,25 @@ def test_full_join_makes_large_products_by_joins(spark, tmp_dir):
     assert rows(got) == rows(chained(dfs, ["k"]).groupBy("k").agg(F.count(F.lit(1)), *[F.sum(c) for c in sizes]))
 
 
+def test_full_join_has_tasks_by_the_rows_that_it_makes(spark, tmp_dir):
+    """A billion rows from three thousand: the number of tasks comes from the former."""
+    for c in "abc":
+        spark.range(1000).selectExpr("7 AS k", f"id AS {c}").write.parquet(f"{tmp_dir}/{c}")
+    text = plan(full_join_measures([spark.read.parquet(f"{tmp_dir}/{c}") for c in "abc"], ["k"]))
+    assert re.findall(r"hashpartitioning\(k#\w+, _g#\w+, (\d+)\), REPARTITION_BY_NUM", text) == ["50"] * 3
+
+
+def test_full_join_in_many_tasks_keeps_its_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(reshape, "JOINED_TASK_ROWS", 10_000)
+    for c, keys in (("a", 40), ("b", 39), ("c", 41)):  # some keys are in two inputs or in one only
+        spark.range(900).selectExpr(f"IF(id % 50 = 0, NULL, id % {keys}) AS k", f"id AS {c}").write.parquet(f"{tmp_dir}/{c}")
+    dfs = [spark.read.parquet(f"{tmp_dir}/{c}") for c in "abc"]
+    out = full_join_measures(dfs, ["k"])
+    assert "_g" not in out.columns and re.search(r"_g#\w+, (1\d|2\d|3\d|4\d)\), REPARTITION_BY_NUM", plan(out))
+    sums = lambda df: df.groupBy("k").agg(F.count(F.lit(1)), *[f(c) for c in "abc" for f in (F.count, F.sum)])
+    assert rows(sums(out)) == rows(sums(chained(dfs, ["k"])))
+
+
 def test_a_vocabulary_beyond_its_limit_fails(spark):
     df = spark.range(300).selectExpr("concat('n', id % 30) AS name")
     assert len(vocabulary(df, "name", 30)) == 30
